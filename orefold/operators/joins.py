@@ -1,8 +1,7 @@
 """Lookups and existence tests.
 
-No broadcast hint is given anywhere: Spark broadcasts a side only when its known
-or measured size is below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise
-shuffles, where adaptive execution splits skewed partitions of the left side.
+A lookup side is broadcast only after a check of its size. Otherwise both sides
+are shuffled and adaptive execution splits skewed partitions of the left side.
 What it cannot split, a skewed right side of an outer join, is handled here.
 """
 
@@ -11,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orefold.operators.skew import aside, hot_keys, set_aside
+from orefold.operators.skew import aside, hot_keys, measure, set_aside
+from orefold.session import limit
 
 SALTS = 64
 
@@ -19,24 +19,28 @@ SALTS = 64
 def left_lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """Left outer join on one key; the right key column is not returned.
 
-    Keeps every left row and, as any join does, repeats it per match. A right key
-    that repeats more often than one task should take is joined in ``SALTS``
-    parts: each right row belongs to the part of the task that reads it, each
-    left row of that key visits all parts. Such keys have matches by definition,
-    so an inner join is enough for them.
+    Keeps every left row and, as any join does, repeats it per match. A right side
+    too large to broadcast is searched for keys that repeat more often than one
+    task should take. Those are joined in ``SALTS`` parts: each right row belongs
+    to the part of the task that reads it, each left row of that key visits all
+    parts. Such keys have matches by definition, so an inner join is enough.
     """
     extra = [c for c in right.columns if c != right_key]
     clash = set(left.columns) & set(extra)
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
     columns = [*left.columns, *extra]
-    hot = hot_keys(right.where(F.col(right_key).isNotNull()), [right_key])
+    match = F.col(left_key) == F.col(aside(right_key))
+    keyed = right.where(F.col(right_key).isNotNull())
     right = set_aside(right, [right_key])
-    right_key = aside(right_key)
-    match = F.col(left_key) == F.col(right_key)
+    rows, size = measure(keyed)
+    if size <= limit(left.sparkSession, "broadcastBytes"):
+        return left.join(F.broadcast(right), match, "left").select(*columns)
+    hot = hot_keys(keyed, [right_key], rows)
     if hot is None:
         return left.join(right, match, "left").select(*columns)
 
+    right_key = aside(right_key)
     hot = hot.select(F.col(right_key).alias("__hot"))
     left_is_hot, right_is_hot = F.col(left_key) == F.col("__hot"), F.col(right_key) == F.col("__hot")
     ordinary = left.join(hot, left_is_hot, "left_anti").join(right.join(hot, right_is_hot, "left_anti"), match, "left")
@@ -64,12 +68,12 @@ def rows_not_in(df: DataFrame, key: str, listed: DataFrame, listed_key: str) ->
     An empty list keeps every row; a NULL in the list keeps none; a NULL key is
     kept only when the list is empty. Spark would plan ``NOT IN`` as a broadcast
     of the list whatever its size, so the rules are spelled out around an
-    ordinary anti join. The two facts about the list are scalar subqueries.
+    ordinary anti join. Which rule applies is one scalar subquery over the list.
     """
-    size = listed.agg(F.count("*").alias("n")).scalar()
-    nulls = listed.agg(F.count_if(F.col(listed_key).isNull()).alias("n")).scalar()
+    nulls = F.count_if(F.col(listed_key).isNull())
+    rule = listed.agg(F.when(F.count("*") == 0, "all").when(nulls > 0, "none").otherwise("matching").alias("rule")).scalar()
     seen = listed.select(F.col(listed_key).alias("__seen")).where(F.col("__seen").isNotNull()).distinct()
-    keep = (size == 0) | ((nulls == 0) & F.col(key).isNotNull())
+    keep = (rule == "all") | ((rule == "matching") & F.col(key).isNotNull())
     return df.where(keep).join(seen, F.col(key) == F.col("__seen"), "left_anti")
 
 

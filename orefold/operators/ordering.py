@@ -16,7 +16,14 @@ _PLACE = "__place"
 _SEAT_BITS = 33
 
 
-def number_rows(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+def total_order(columns: list[str], order: list[str], skip: tuple[str, ...] = ()) -> list[Column]:
+    """The given order ("-name" is descending), ties broken by the other columns."""
+    first = [F.col(c[1:]).desc() if c.startswith("-") else F.col(c) for c in order]
+    named = {c.lstrip("-") for c in order}
+    return first + [F.col(c) for c in columns if c not in named and c not in skip]
+
+
+def number_rows(df: DataFrame, order: list[str], name: str) -> DataFrame:
     """Add ``name``: the 1-based position of each row in the given order.
 
     Equal to ``row_number() over (order by ...)`` but in parallel: a range sort
@@ -28,10 +35,9 @@ def number_rows(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     The sorted rows are stored before anything is counted, so both steps see the
     same partitions even if executors are lost in between.
     """
-    rest = [F.col(c) for c in df.columns]
     placed = (
         df.withColumn(_TASK, F.spark_partition_id())
-        .sort(*order, *rest, _TASK)
+        .sort(*total_order(df.columns, order), _TASK)
         .drop(_TASK)
         .withColumn(_SEAT, F.monotonically_increasing_id())
     )
@@ -48,24 +54,24 @@ def number_rows(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     return stored.withColumn(name, F.element_at(before, part + 1) + seat + 1).drop(_SEAT)
 
 
-def surrogate_key(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+def surrogate_key(df: DataFrame, order: list[str], name: str) -> DataFrame:
     """Dense integer key in front of the columns; more than 2^31 rows is an error."""
     numbered = number_rows(df, order, name)
     return numbered.select(F.col(name).cast("int").alias(name), *df.columns)
 
 
-def number_within(df: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
+def number_within(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
     """Add ``name``: ``row_number()`` per key, ties broken by the remaining columns.
 
     Ordinary keys use a window. Hot keys are numbered together by ``number_rows``
     and shifted by the first position of their key.
     """
-    full_order = [*order, *(F.col(c) for c in df.columns if c not in keys)]
+    window = W.partitionBy(*keys).orderBy(*total_order(df.columns, order, tuple(keys)))
     cold, hot = split_hot(df, keys)
-    numbered = cold.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(*full_order)))
+    numbered = cold.withColumn(name, F.row_number().over(window))
     if hot is None:
         return numbered
-    placed = number_rows(hot, [*map(F.col, keys), *full_order], _PLACE)
+    placed = number_rows(hot, [*keys, *order], _PLACE)
     first = set_aside(placed.groupBy(*keys).agg(F.min(_PLACE).alias("__first")), keys)
     shifted = placed.join(first, same_key(keys)).select(
         *df.columns,
@@ -74,33 +80,33 @@ def number_within(df: DataFrame, keys: list[str], order: list[Column], name: str
     return numbered.unionByName(shifted)
 
 
-def lead_within(df: DataFrame, keys: list[str], order: list[Column], value: str, name: str) -> DataFrame:
+def lead_within(df: DataFrame, keys: list[str], order: list[str], value: str, name: str) -> DataFrame:
     """Add ``name``: ``value`` of the next row of the same key, NULL on the last.
 
     Ordinary keys use a window. Rows of hot keys are numbered and joined to the
     row one place further on, a join on unique positions.
     """
-    full_order = [*order, *(F.col(c) for c in df.columns if c not in keys)]
+    window = W.partitionBy(*keys).orderBy(*total_order(df.columns, order, tuple(keys)))
     cold, hot = split_hot(df, keys)
-    ahead = cold.withColumn(name, F.lead(value).over(W.partitionBy(*keys).orderBy(*full_order)))
+    ahead = cold.withColumn(name, F.lead(value).over(window))
     if hot is None:
         return ahead
-    placed = number_rows(hot, [*map(F.col, keys), *full_order], _PLACE)
+    placed = number_rows(hot, [*keys, *order], _PLACE)
     following = set_aside(placed.select(*keys, (F.col(_PLACE) - 1).alias("__before"), F.col(value).alias(name)), keys)
     match = same_key(keys) & (F.col(_PLACE) == F.col("__before"))
     linked = placed.join(following, match, "left").select(*df.columns, name)
     return ahead.unionByName(linked)
 
 
-def latest_per_key(df: DataFrame, keys: list[str], order: list[Column], name: str | None = None) -> DataFrame:
+def latest_per_key(df: DataFrame, keys: list[str], order: list[str], name: str | None = None) -> DataFrame:
     """The first row of each key in the given order.
 
     The filter on ``row_number() = 1`` lets Spark drop all but one row per key in
     every map task before the shuffle (WindowGroupLimit), so hot keys do not
     matter and need no split. ``name`` keeps the (constant 1) number as a column.
     """
-    full_order = [*order, *(F.col(c) for c in df.columns if c not in keys)]
+    window = W.partitionBy(*keys).orderBy(*total_order(df.columns, order, tuple(keys)))
     label = name or "__rank"
-    ranked = df.withColumn(label, F.row_number().over(W.partitionBy(*keys).orderBy(*full_order)))
+    ranked = df.withColumn(label, F.row_number().over(window))
     latest = ranked.where(F.col(label) == 1)
     return latest if name else latest.drop(label)

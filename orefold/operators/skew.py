@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orefold.session import hot_group_rows, stash
+from orefold.session import limit, stash
 
 
 def aside(name: str) -> str:
@@ -24,15 +24,29 @@ def same_key(keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(aside(k))) for k in keys])
 
 
-def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame | None:
+def measure(df: DataFrame) -> tuple[int, int]:
+    """Rows, and bytes of all values: text by its length, anything else as eight."""
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema if f.dataType.simpleString() == "string"]
+    width = reduce(lambda a, b: a + b, texts, F.lit(8 * (len(df.columns) - len(texts))))
+    rows, size = df.agg(F.count("*"), F.sum(width.cast("bigint"))).first()
+    return rows, size or 0
+
+
+def hot_keys(df: DataFrame, keys: list[str], rows: int | None = None) -> DataFrame | None:
     """Keys with more rows than one task should take, or None; names set aside.
 
-    The count reads only the key columns and combines before the shuffle, so it
-    is itself immune to skew. There are at most rows / limit such keys.
+    A table with no more rows than that (``rows``, if counted already) has none.
+    Otherwise the count per key reads only the key columns and combines before
+    the shuffle, so it is itself immune to skew. There are at most rows / limit
+    hot keys.
     """
-    limit = hot_group_rows(df.sparkSession)
-    hot = df.groupBy(*keys).count().where(F.col("count") > limit).select(*keys)
-    return None if hot.isEmpty() else stash(set_aside(hot, keys), "hot-keys")
+    most = limit(df.sparkSession, "hotGroupRows")
+    if (df.count() if rows is None else rows) <= most:
+        return None
+    counts = df.groupBy(*keys).agg(F.count("*").alias("__rows"))
+    if counts.agg(F.max("__rows")).first()[0] <= most:
+        return None
+    return stash(set_aside(counts.where(F.col("__rows") > most).select(*keys), keys), "hot-keys")
 
 
 def split_hot(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame | None]:

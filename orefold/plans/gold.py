@@ -60,7 +60,7 @@ def customer_attributes(customers: DataFrame, demographics: DataFrame, locations
 
 def dim_customers(customers: DataFrame, demographics: DataFrame, locations: DataFrame) -> DataFrame:
     attributes = customer_attributes(customers, demographics, locations)
-    return surrogate_key(attributes, [F.col("customer_id")], "customer_key")
+    return surrogate_key(attributes, ["customer_id"], "customer_key")
 
 
 def product_attributes(products: DataFrame, categories: DataFrame) -> DataFrame:
@@ -72,7 +72,7 @@ def product_attributes(products: DataFrame, categories: DataFrame) -> DataFrame:
 
 def dim_products(products: DataFrame, categories: DataFrame) -> DataFrame:
     attributes = product_attributes(products, categories)
-    return surrogate_key(attributes, [F.col("start_date"), F.col("product_number")], "product_key")
+    return surrogate_key(attributes, ["start_date", "product_number"], "product_key")
 
 
 def with_product_key(sales: DataFrame, products: DataFrame) -> DataFrame:

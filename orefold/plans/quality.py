@@ -23,7 +23,7 @@ OLDEST_BIRTH = dt.date(1924, 1, 1)
 
 def numbered_customers(customers: DataFrame) -> DataFrame:
     """Every record with its age rank inside the customer id, newest first."""
-    return number_within(customers, ["cst_id"], [F.col(NEWEST_FIRST).desc()], "flag_last")
+    return number_within(customers, ["cst_id"], NEWEST_FIRST, "flag_last")
 
 
 def superseded_customers(customers: DataFrame) -> DataFrame:
@@ -32,7 +32,7 @@ def superseded_customers(customers: DataFrame) -> DataFrame:
 
 
 def newest_customers(customers: DataFrame) -> DataFrame:
-    return latest_per_key(customers, ["cst_id"], [F.col(NEWEST_FIRST).desc()], "flag_last")
+    return latest_per_key(customers, ["cst_id"], NEWEST_FIRST, "flag_last")
 
 
 def bad_customer_ids(customers: DataFrame) -> DataFrame:

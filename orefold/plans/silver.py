@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 from orefold.functions import cleaning as c
 from orefold.operators.ordering import latest_per_key, lead_within
 
-NEWEST_FIRST = "cst_create_date"
+NEWEST_FIRST = ["-cst_create_date"]
 
 
 def customers(raw: DataFrame) -> DataFrame:
     """Latest record per customer id, names trimmed, codes spelled out."""
-    latest = latest_per_key(raw.where(F.col("cst_id").isNotNull()), ["cst_id"], [F.col(NEWEST_FIRST).desc()])
+    latest = latest_per_key(raw.where(F.col("cst_id").isNotNull()), ["cst_id"], NEWEST_FIRST)
     return latest.withColumns(
         {
             "cst_firstname": c.trimmed(F.col("cst_firstname")),
@@ -31,7 +31,7 @@ def customers(raw: DataFrame) -> DataFrame:
 
 def with_version_ends(raw: DataFrame, name: str) -> DataFrame:
     """Add ``name``: the day before the next version of the same raw key starts."""
-    ahead = lead_within(raw, ["prd_key"], [F.col("prd_start_dt")], "prd_start_dt", "__next")
+    ahead = lead_within(raw, ["prd_key"], ["prd_start_dt"], "prd_start_dt", "__next")
     return ahead.withColumn(name, F.date_sub(F.to_date("__next"), 1)).drop("__next")
 
 

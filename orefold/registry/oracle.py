@@ -13,6 +13,10 @@ def _int(expression: str) -> str:
     return f"CAST({expression} AS INTEGER)"
 
 
+def _padded(number: str, width: int) -> str:
+    return f"lpad(CAST({number} AS VARCHAR), greatest({width}, CAST(length(CAST({number} AS VARCHAR)) AS INTEGER)), '0')"
+
+
 def _ymd(moment: str) -> str:
     return f"(year({moment}) * 10000 + month({moment}) * 100 + day({moment}))"
 
@@ -71,7 +75,7 @@ REBUILT_END = f"CAST({NEXT_START} AS DATE) - 1"
 EXPRESSIONS = {
     "raw_cust": f"""
         SELECT if(c_custkey % 97 = 0, NULL, {_int('c_custkey')}) AS cst_id,
-               'AW' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS cst_key,
+               'AW' || {_padded('c_custkey', 8)} AS cst_key,
                if(c_custkey % 7 = 0, ' ', '') || c_name AS cst_firstname,
                c_mktsegment || if(c_custkey % 11 = 0, ' ', '') AS cst_lastname,
                ['S', 'm ', NULL, 'X'][c_custkey % 4 + 1] AS cst_marital_status,
@@ -81,7 +85,7 @@ EXPRESSIONS = {
     "raw_prd": f"""
         SELECT {_int('p_partkey')} AS prd_id,
                ['AC-BR', 'AC-HE', 'BI-MB', 'CL-CA', 'CO-RF', 'CO-PE', 'CO-WH'][p_partkey // 3 % 7 + 1]
-                   || '-P' || lpad(CAST(p_partkey // 3 AS VARCHAR), 6, '0') AS prd_key,
+                   || '-P' || {_padded('p_partkey // 3', 6)} AS prd_key,
                p_name AS prd_nm,
                if(p_partkey % 50 = 0, NULL, {_int('floor(p_retailprice)')}) AS prd_cost,
                ['M ', 'r ', 'S ', 'T ', NULL][p_partkey % 5 + 1] AS prd_line,
@@ -95,7 +99,7 @@ EXPRESSIONS = {
         FROM lineitem""",
     "raw_sales": f"""
         SELECT 'SO' || CAST(o_orderkey AS VARCHAR) AS sls_ord_num,
-               'P' || lpad(CAST(l_partkey // 3 AS VARCHAR), 6, '0') AS sls_prd_key,
+               'P' || {_padded('l_partkey // 3', 6)} AS sls_prd_key,
                {_int('o_custkey')} AS sls_cust_id,
                {_int(f'''CASE 0 WHEN o_orderkey % 50 THEN 0 WHEN o_orderkey % 53 THEN 5489
                     WHEN o_orderkey % 59 THEN 20130229 ELSE {_ymd('o_orderdate')} END''')} AS sls_order_dt,
@@ -107,12 +111,12 @@ EXPRESSIONS = {
                CASE kind WHEN 5 THEN NULL WHEN 6 THEN 0 WHEN 7 THEN -each WHEN 8 THEN -each ELSE each END AS sls_price
         FROM lines JOIN orders ON o_orderkey = l_orderkey""",
     "raw_az12": f"""
-        SELECT if(c_custkey % 3 = 0, 'NAS', '') || 'AW' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS cid,
+        SELECT if(c_custkey % 3 = 0, 'NAS', '') || 'AW' || {_padded('c_custkey', 8)} AS cid,
                DATE '1920-01-01' + {_int('c_custkey * 527 % 40000')} AS bdate,
                ['F', 'Female', ' male', 'M', '', NULL][c_custkey % 6 + 1] AS gen
         FROM customer WHERE c_custkey % 13 <> 0""",
-    "raw_loc": """
-        SELECT 'AW-' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS cid,
+    "raw_loc": f"""
+        SELECT 'AW-' || {_padded('c_custkey', 8)} AS cid,
                CASE c_nationkey WHEN 0 THEN 'DE' WHEN 1 THEN 'US ' WHEN 2 THEN 'USA' WHEN 3 THEN ''
                     WHEN 4 THEN NULL ELSE n_name END AS cntry
         FROM customer JOIN nation ON n_nationkey = c_nationkey""",

@@ -93,7 +93,7 @@ QUERIES = {
         f"SELECT sls_ord_num, sls_order_dt FROM raw_sales WHERE {o.suspect('sls_order_dt')}",
     ),
     "f12_filter_window": (
-        lambda lake: latest_per_key(_cust(lake), ["cst_id"], [F.col("cst_create_date").desc()]).select("cst_id", "cst_create_date"),
+        lambda lake: latest_per_key(_cust(lake), ["cst_id"], silver.NEWEST_FIRST).select("cst_id", "cst_create_date"),
         "SELECT cst_id, max(cst_create_date) AS cst_create_date FROM raw_cust GROUP BY cst_id",
     ),
     "f13_current_versions": (
@@ -205,7 +205,7 @@ QUERIES = {
     ),
     # Cleaning in steps.
     "s01_customers_trimmed": (
-        lambda lake: latest_per_key(_cust(lake), ["cst_id"], [F.col("cst_create_date").desc()]).withColumns(
+        lambda lake: latest_per_key(_cust(lake), ["cst_id"], silver.NEWEST_FIRST).withColumns(
             {n: F.trim(n) for n in ("cst_firstname", "cst_lastname")}
         ),
         f"""SELECT * EXCLUDE (flag_last) REPLACE (trim(cst_firstname) AS cst_firstname, trim(cst_lastname) AS cst_lastname)

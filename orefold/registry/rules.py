@@ -66,7 +66,7 @@ QUERIES = {
         lambda lake: latest_per_key(
             lake.raw("crm_cust_info").where(_col("cst_id").isNotNull()),
             ["cst_id"],
-            [_col("cst_create_date").desc()],
+            silver.NEWEST_FIRST,
         ),
         "SELECT * FROM newest_cust",
     ),

@@ -7,17 +7,22 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# A key with more rows than this is taken out of the ordinary window or join
-# and spread over many tasks. Override with the Spark setting of this name.
-HOT_GROUP_ROWS_KEY = "spark.orefold.hotGroupRows"
-HOT_GROUP_ROWS = 4_000_000
+# Limits, each overridden by the Spark setting of this name.
+LIMITS = {
+    # A key with more rows than this is taken out of the ordinary window or join
+    # and spread over many tasks.
+    "spark.orefold.hotGroupRows": 4_000_000,
+    # A lookup side measured below this many bytes is broadcast.
+    "spark.orefold.broadcastBytes": 64 << 20,
+}
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.parquet.filterPushdown": "true",
+    # Without call-site tracking a column expression costs the driver less.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -31,8 +36,9 @@ def build_session(app: str = "orefold", master: str | None = None, **extra: str)
     return builder.getOrCreate()
 
 
-def hot_group_rows(spark: SparkSession) -> int:
-    return int(spark.conf.get(HOT_GROUP_ROWS_KEY, str(HOT_GROUP_ROWS)))
+def limit(spark: SparkSession, name: str) -> int:
+    key = f"spark.orefold.{name}"
+    return int(spark.conf.get(key, str(LIMITS[key])))
 
 
 def scratch_folder(spark: SparkSession) -> str:

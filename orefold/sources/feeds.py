@@ -31,7 +31,14 @@ def _pick(number: Column, *values) -> Column:
 
 
 def _padded(number: Column, width: int) -> Column:
-    return F.lpad(number.cast("string"), width, "0")
+    """Zeros in front up to ``width``; longer numbers keep all digits."""
+    digits = number.cast("string")
+    return F.when(F.length(digits) < width, F.lpad(digits, width, "0")).otherwise(digits)
+
+
+def _family(part: Column) -> Column:
+    """Three parts in a row are versions of one product."""
+    return F.call_function("div", part, F.lit(3))
 
 
 def _date_key(moment: Column) -> Column:
@@ -44,9 +51,12 @@ class Feeds:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._sources: dict[str, DataFrame] = {}
 
     def source(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._sources:
+            self._sources[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._sources[name]
 
     def feed(self, table: str) -> DataFrame:
         return conform(getattr(self, f"_{table}")(), BRONZE[table])
@@ -66,7 +76,7 @@ class Feeds:
 
     def _crm_prd_info(self) -> DataFrame:
         key = F.col("p_partkey")
-        family = F.floor(key / 3)
+        family = _family(key)
         start = F.date_add(F.lit("2011-07-01").cast("date"), ((key % 3) * 365).cast("int"))
         return self.source("part").select(
             key.alias("prd_id"),
@@ -108,7 +118,7 @@ class Feeds:
         return self.source("lineitem").select(
             "l_orderkey",
             F.concat(F.lit("SO"), F.col("l_orderkey").cast("string")).alias("sls_ord_num"),
-            F.concat(F.lit("P"), _padded(F.floor(F.col("l_partkey") / 3), 6)).alias("sls_prd_key"),
+            F.concat(F.lit("P"), _padded(_family(F.col("l_partkey")), 6)).alias("sls_prd_key"),
             _date_key(F.col("l_shipdate")).alias("sls_ship_dt"),
             _date_key(F.col("l_shipdate")).alias("sls_due_dt"),
             F.when(kind == 1, None)
@@ -146,7 +156,7 @@ class Feeds:
         )
 
     def _erp_px_cat_g1v2(self) -> DataFrame:
-        families = self.source("part").select((F.floor(F.col("p_partkey") / 3) % 7).alias("family")).distinct()
+        families = self.source("part").select((_family(F.col("p_partkey")) % 7).alias("family")).distinct()
         return families.select(
             *[_pick(F.col("family"), *values).alias(name) for name, values in CATEGORY_COLUMNS.items()]
         )
