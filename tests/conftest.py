@@ -29,13 +29,17 @@ def spark():
 
 @pytest.fixture
 def hot(spark):
-    """Lower the hot-group limit so that small tables take the spread path."""
-
-    def limit(rows):
-        spark.conf.set("spark.orefold.hotGroupRows", str(rows))
-
-    yield limit
-    spark.conf.unset("spark.orefold.hotGroupRows")
+    """Lower the limits so that small tables take the paths for large ones."""
+    lowered = {
+        "spark.orefold.hotGroupRows": "5",
+        "spark.orefold.broadcastBytes": "0",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    for key, value in lowered.items():
+        spark.conf.set(key, value)
+    yield
+    for key in lowered:
+        spark.conf.unset(key)
 
 
 @pytest.fixture(scope="session")
