@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orefold.functions.cleaning import preferred_gender
-from orefold.operators.joins import left_lookup
+from orefold.operators.joins import left_lookup, repeated_keys
 from orefold.operators.ordering import surrogate_key
 
 # Business names of the cleaned columns, in output order.
@@ -83,9 +85,23 @@ def with_customer_key(sales: DataFrame, customers: DataFrame) -> DataFrame:
     return left_lookup(sales, customers.select("customer_id", "customer_key"), "sls_cust_id", "customer_id")
 
 
-def fact_sales(sales: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
+def key_is_unique(dimension: DataFrame, key: str) -> bool:
+    """Whether a lookup on ``key`` finds at most one row; NULL finds none anyway."""
+    return repeated_keys(dimension.where(F.col(key).isNotNull()), key, "rows").isEmpty()
+
+
+def fact_sales(
+    sales: DataFrame, products: DataFrame, customers: DataFrame, columns: Sequence[str] = tuple(SALES_NAMES)
+) -> DataFrame:
     """Sales lines with the keys of the current product version and the customer.
 
-    Only the business and surrogate key of a dimension enter the join.
+    Only the business and surrogate key of a dimension enter the join. A dimension
+    whose key is not asked for is left out if its business key is unique: the
+    join would change nothing, but the planner cannot know and would shuffle all
+    sales for it.
     """
-    return renamed(with_customer_key(with_product_key(sales, products), customers), SALES_NAMES)
+    if "product_key" in columns or not key_is_unique(products, "product_number"):
+        sales = with_product_key(sales, products)
+    if "customer_key" in columns or not key_is_unique(customers, "customer_id"):
+        sales = with_customer_key(sales, customers)
+    return renamed(sales, {name: SALES_NAMES[name] for name in columns})

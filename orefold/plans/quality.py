@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orefold.functions import cleaning as c
-from orefold.operators.joins import orphans, repeated_keys, rows_not_in, rows_used
+from orefold.operators.joins import left_lookup, orphans, repeated_keys, rows_not_in, rows_used
 from orefold.operators.ordering import latest_per_key, number_within
 from orefold.plans.silver import NEWEST_FIRST, sales_measures
 
@@ -167,17 +167,29 @@ def facts_without_product(facts: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def gate(facts: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
-    """Offending rows per star-schema check; the gate is open when all are zero."""
-    checks = {
+    """Offending rows per star-schema check; the gate is open when all are zero.
+
+    One pass over the facts serves both orphan checks.
+    """
+    repeated = {
         "repeated_customer_key": repeated_customer_keys(customers),
         "repeated_product_key": repeated_product_keys(products),
         "repeated_customer_id": repeated_customer_ids(customers),
         "repeated_product_number": repeated_product_numbers(products),
-        "fact_without_customer": facts_without_customer(facts, customers),
-        "fact_without_product": facts_without_product(facts, products),
     }
     counts = [
         df.agg(F.count("*").alias("failing_rows")).select(F.lit(name).alias("check_name"), "failing_rows")
-        for name, df in checks.items()
+        for name, df in repeated.items()
     ]
+    known = facts.select("customer_key", "product_key")
+    for dimension, key in ((customers, "customer_key"), (products, "product_key")):
+        # One row per key, so that a repeated key cannot repeat the fact.
+        present = dimension.select(key).distinct().withColumn(f"has_{key}", F.lit(True))
+        known = left_lookup(known, present, key, key)
+    orphaned = known.agg(
+        F.count_if(F.col("has_customer_key").isNull()).alias("fact_without_customer"),
+        F.count_if(F.col("has_product_key").isNull()).alias("fact_without_product"),
+    )
+    names = ["fact_without_customer", "fact_without_product"]
+    counts.append(orphaned.unpivot([], names, "check_name", "failing_rows"))
     return reduce(DataFrame.unionByName, counts)

@@ -6,6 +6,7 @@ The load-time column is added by the job that stores the table.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,8 +55,11 @@ def products(raw: DataFrame) -> DataFrame:
     )
 
 
-def sales_dates() -> dict[str, Column]:
-    return {name: c.date_from_key(F.col(name)) for name in ("sls_order_dt", "sls_ship_dt", "sls_due_dt")}
+SALES_DATES = ("sls_order_dt", "sls_ship_dt", "sls_due_dt")
+
+
+def sales_dates(columns: Sequence[str] = SALES_DATES) -> dict[str, Column]:
+    return {name: c.date_from_key(F.col(name)) for name in SALES_DATES if name in columns}
 
 
 def sales_measures() -> dict[str, Column]:
@@ -65,7 +69,7 @@ def sales_measures() -> dict[str, Column]:
 
 
 def sales(raw: DataFrame) -> DataFrame:
-    return raw.withColumns({**sales_dates(), **sales_measures()})
+    return raw.withColumns({**sales_dates(raw.columns), **sales_measures()})
 
 
 def demographics(raw: DataFrame, as_of: dt.date) -> DataFrame:

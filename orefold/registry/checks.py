@@ -121,7 +121,7 @@ QUERIES = {
     "d23_facts_without_customer": (lambda lake: q.facts_without_customer(lake.facts, lake.customers), _NO_CUSTOMER),
     "d24_facts_without_product": (lambda lake: q.facts_without_product(lake.facts, lake.products), _NO_PRODUCT),
     "gate_star_schema": (
-        lambda lake: q.gate(lake.facts, lake.customers, lake.products),
+        lambda lake: q.gate(lake.fact_columns("customer_key", "product_key"), lake.customers, lake.products),
         " UNION ALL ".join(
             f"SELECT '{name}' AS check_name, count(*) AS failing_rows FROM ({sql})" for name, sql in _GATE.items()
         ),

@@ -39,11 +39,15 @@ QUERIES = {
            FROM fact LEFT JOIN dim_prd USING (product_key) LEFT JOIN dim_cust USING (customer_key)""",
     ),
     "m02_sales_by_product_group": (
-        lambda lake: marts.sales_by_product_group(lake.facts, lake.products),
+        lambda lake: marts.sales_by_product_group(
+            lake.fact_columns("order_number", "product_key", "quantity", "sales_amount"), lake.products
+        ),
         f"SELECT category, product_line, {_TOTALS} FROM fact LEFT JOIN dim_prd USING (product_key) GROUP BY ALL",
     ),
     "m02_sales_by_customer_group": (
-        lambda lake: marts.sales_by_customer_group(lake.facts, lake.customers),
+        lambda lake: marts.sales_by_customer_group(
+            lake.fact_columns("order_number", "customer_key", "quantity", "sales_amount"), lake.customers
+        ),
         f"SELECT country, gender, marital_status, {_TOTALS} FROM fact LEFT JOIN dim_cust USING (customer_key) GROUP BY ALL",
     ),
     "m03_customer_profile": (

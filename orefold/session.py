@@ -21,6 +21,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Where every partition of a lookup side is small enough to hash, the other
+    # side need not be sorted for the join.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # Without call-site tracking a column expression costs the driver less.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
