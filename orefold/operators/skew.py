@@ -46,7 +46,9 @@ def hot_keys(df: DataFrame, keys: list[str], rows: int | None = None) -> DataFra
     counts = df.groupBy(*keys).agg(F.count("*").alias("__rows"))
     if counts.agg(F.max("__rows")).first()[0] <= most:
         return None
-    return stash(set_aside(counts.where(F.col("__rows") > most).select(*keys), keys), "hot-keys")
+    hot = stash(set_aside(counts.where(F.col("__rows") > most).select(*keys), keys), "hot-keys")
+    short = measure(hot)[1] <= limit(df.sparkSession, "hotListBytes")
+    return F.broadcast(hot) if short else hot
 
 
 def split_hot(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame | None]:

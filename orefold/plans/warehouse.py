@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orefold import schemas
+from orefold.operators.skew import measure
 from orefold.plans import gold, silver
+from orefold.session import hadoop_path, limit
 from orefold.sources.flatfiles import read_feed, read_feed_tolerant
 
 # Load order of the two jobs.
@@ -81,6 +83,21 @@ class Warehouse:
         self.spark.catalog.refreshTable(target)
         return seen.get["rows"]
 
+    def expire(self, layer: str, table: str, keep: int = 1) -> int:
+        """Delete the files of older runs; returns how many runs went.
+
+        The current rows stay, and those of ``keep`` earlier runs for readers that
+        began before the last refresh.
+        """
+        details = self.spark.sql(f"DESCRIBE FORMATTED {self.name(layer, table)}").where("col_name = 'Location'")
+        files, current = hadoop_path(self.spark, details.first().data_type)
+        runs = [s for s in files.listStatus(current.getParent()) if s.getPath().getName().startswith("run-")]
+        older = [s for s in runs if s.getPath().getName() != current.getName()]
+        older.sort(key=lambda s: s.getModificationTime(), reverse=True)
+        for status in older[keep:]:
+            files.delete(status.getPath(), True)
+        return len(older[keep:])
+
     def log(self, entries: list[tuple]) -> None:
         """Append one entry per loaded table to the run log."""
         frame = self.spark.createDataFrame(entries, schemas.struct(schemas.RUN_LOG))
@@ -153,8 +170,9 @@ def load_silver(warehouse: Warehouse, as_of: dt.date, run_ts: dt.datetime, run_i
 def publish_gold(warehouse: Warehouse, run_id: str) -> DataFrame:
     """Store both dimensions, so keys hold until the next run, and define the fact view.
 
-    The fact stays a view: nothing of its size is copied. Its joins are left to
-    the planner, which knows the stored sizes of the dimensions.
+    The fact stays a view: nothing of its size is copied. The dimensions do not
+    change until the next run, so their measured sizes decide here which of them
+    the view broadcasts.
     """
     table = warehouse.table
     steps = {
@@ -164,12 +182,16 @@ def publish_gold(warehouse: Warehouse, run_id: str) -> DataFrame:
         "dim_products": lambda: gold.dim_products(table("silver", "crm_prd_info"), table("silver", "erp_px_cat_g1v2")),
     }
     log = _run(warehouse, "gold", steps, run_id)
+    keys = {"dim_products": ("product_number", "product_key"), "dim_customers": ("customer_id", "customer_key")}
+    bound = limit(warehouse.spark, "broadcastBytes")
+    small = [t for t, columns in keys.items() if measure(table("gold", t).select(*columns))[1] <= bound]
+    hint = f"/*+ BROADCAST({', '.join(small)}) */" if small else ""
     columns = ", ".join(f"{old} AS {new}" for new, old in gold.SALES_NAMES.items())
     warehouse.spark.sql(
-        f"CREATE OR REPLACE VIEW {warehouse.name('gold', 'fact_sales')} AS SELECT {columns}"
+        f"CREATE OR REPLACE VIEW {warehouse.name('gold', 'fact_sales')} AS SELECT {hint} {columns}"
         f" FROM {warehouse.name('silver', 'crm_sales_details')}"
-        f" LEFT JOIN {warehouse.name('gold', 'dim_products')} ON product_number = sls_prd_key"
-        f" LEFT JOIN {warehouse.name('gold', 'dim_customers')} ON customer_id = sls_cust_id"
+        f" LEFT JOIN {warehouse.name('gold', 'dim_products')} AS dim_products ON product_number = sls_prd_key"
+        f" LEFT JOIN {warehouse.name('gold', 'dim_customers')} AS dim_customers ON customer_id = sls_cust_id"
     )
     return log
 

@@ -85,6 +85,10 @@ _CLEAN = {
 QUERIES = {
     "p03_csv_scan": (_csv_sales, "SELECT * FROM raw_sales"),
     "p05_stored_customers": (lambda lake: _stored(lake, "silver", "crm_cust_info"), "SELECT * FROM cln_cust"),
+    "p06_load_time": (
+        lambda lake: w.with_load_time(lake.clean("erp_loc_a101"), RUN_TS),
+        f"SELECT *, TIMESTAMP '{RUN_TS}' AS dwh_create_date FROM cln_loc",
+    ),
     "p07_fact_view": (lambda lake: _stored(lake, "gold", "fact_sales"), "SELECT * FROM fact"),
     "p09_bronze_load": (lambda lake: _log(lake, "bronze"), _counts("bronze", _RAW)),
     "p10_silver_load": (lambda lake: _log(lake, "silver"), _counts("silver", _CLEAN)),

@@ -8,6 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from orefold.plans import gold, silver
+from orefold.session import at_once
 from orefold.sources.feeds import Feeds
 
 # Stands for the current date, so that results do not change from day to day.
@@ -44,10 +45,12 @@ class Lake:
 
     @cached_property
     def facts(self) -> DataFrame:
-        return gold.fact_sales(self.clean("crm_sales_details"), self.products, self.customers)
+        products, customers = at_once(self.spark, lambda: self.products, lambda: self.customers)
+        return gold.fact_sales(self.clean("crm_sales_details"), products, customers)
 
     def fact_columns(self, *columns: str) -> DataFrame:
         """Some columns of the fact, without the joins that only the others need."""
+        at_once(self.spark, lambda: self.products, lambda: self.customers)
         alone = not {"customer_key", "order_date"} & set(columns) and gold.key_is_unique(self.customers, "customer_id")
         sales = silver.sales(self.lines) if alone else self.clean("crm_sales_details")
         return gold.fact_sales(sales, self.products, self.customers, columns)

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # Limits, each overridden by the Spark setting of this name.
@@ -14,6 +17,9 @@ LIMITS = {
     "spark.orefold.hotGroupRows": 4_000_000,
     # A lookup side measured below this many bytes is broadcast.
     "spark.orefold.broadcastBytes": 64 << 20,
+    # The same for the list of hot keys, which rows must meet before they are
+    # shuffled by key.
+    "spark.orefold.hotListBytes": 64 << 20,
 }
 
 SETTINGS = {
@@ -44,6 +50,12 @@ def limit(spark: SparkSession, name: str) -> int:
     return int(spark.conf.get(key, str(LIMITS[key])))
 
 
+def at_once(spark: SparkSession, *builders: Callable[[], DataFrame]) -> list[DataFrame]:
+    """Build independent tables side by side, so their jobs fill each other's gaps."""
+    with ThreadPoolExecutor(len(builders)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(b)) for b in builders]]
+
+
 def scratch_folder(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -61,8 +73,25 @@ def scratch_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+def _own_scratch(spark: SparkSession) -> str:
+    return f"{scratch_folder(spark)}/orefold-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path below the folder of this application."""
+    return f"{_own_scratch(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """File system and path object, for the few file operations Spark has no API for."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), location
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application stashed; tables built on it can no longer be read."""
+    files, folder = hadoop_path(spark, _own_scratch(spark))
+    files.delete(folder, True)
 
 
 def stash(df: DataFrame, label: str) -> DataFrame:

@@ -33,6 +33,7 @@ def hot(spark):
     lowered = {
         "spark.orefold.hotGroupRows": "5",
         "spark.orefold.broadcastBytes": "0",
+        "spark.orefold.hotListBytes": "0",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
     }
     for key, value in lowered.items():

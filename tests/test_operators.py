@@ -72,9 +72,11 @@ def test_latest_per_key(spark, skewed):
     assert limited._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") == 2
 
 
+@pytest.mark.parametrize("list_bytes", ["0", "1000000"])
 @pytest.mark.parametrize("rows", [5000, 50, 0])
-def test_left_lookup(spark, hot, rows):
+def test_left_lookup(spark, hot, rows, list_bytes):
     spark.conf.set("spark.orefold.hotGroupRows", str(rows))
+    spark.conf.set("spark.orefold.hotListBytes", list_bytes)
     i = F.col("id")
     left = spark.range(0, 60, 1, 4).select(
         F.when(i % 10 == 9, None).otherwise(i % 8).cast("int").alias("k"), i.alias("line")

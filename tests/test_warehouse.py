@@ -10,6 +10,7 @@ from orefold import schemas
 from orefold.plans import quality, warehouse as w
 from orefold.registry.jobs import RUN_TS, write_feeds
 from orefold.registry.lake import AS_OF, Lake
+from orefold.session import stash
 from orefold.sources.flatfiles import TooManyRejects, feed_path, read_feed, read_feed_tolerant
 
 
@@ -73,6 +74,10 @@ def test_full_load(spark, house, small, tmp_path):
     assert bag(house.table("gold", "dim_products")) == bag(lake.products)
     facts = house.table("gold", "fact_sales")
     assert bag(facts) == bag(lake.facts)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = house.table("gold", "fact_sales")._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("BroadcastHashJoin") == 2
 
     gate = quality.gate(facts, house.table("gold", "dim_customers"), house.table("gold", "dim_products"))
     failing = {r.check_name: r.failing_rows for r in gate.collect()}
@@ -116,3 +121,20 @@ def test_tolerant_load(spark, house, small, tmp_path):
     dirty.write_text("cid,bdate,gen\nA,1970-01-01,M\nB,not a date,F\n")
     w.load_bronze(house, {**paths, "erp_cust_az12": str(dirty)}, "tolerant", max_rejects=10)
     assert column(house.table("bronze", "erp_cust_az12"), "cid") == ["A"]
+
+
+def test_older_runs_expire(spark, house, tmp_path):
+    rows = spark.createDataFrame([("A", "x")], schemas.struct(schemas.BRONZE["erp_loc_a101"]))
+    for run in ("a", "b", "c"):
+        house.replace("bronze", "erp_loc_a101", rows, run)
+    folder = tmp_path / "warehouse" / "bronze" / "erp_loc_a101"
+    house.expire("bronze", "erp_loc_a101", keep=1)
+    left = sorted(p.name for p in folder.iterdir() if p.is_dir() and p.name != "run-empty")
+    assert left == ["run-b", "run-c"]
+    assert bag(house.table("bronze", "erp_loc_a101")) == {("A", "x"): 1}
+
+
+def test_scratch_belongs_to_the_application(spark):
+    stored = stash(spark.range(3), "probe")
+    assert spark.sparkContext.applicationId in stored.inputFiles()[0]
+    assert stored.count() == 3
