@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from orefold.operators.skew import same_key, set_aside, split_hot
+from orefold.operators.skew import same_key, set_aside, short_list, split_hot
 from orefold.session import stash
 
 _TASK = "__task"
@@ -23,24 +23,27 @@ def total_order(columns: list[str], order: list[str], skip: tuple[str, ...] = ()
     return first + [F.col(c) for c in columns if c not in named and c not in skip]
 
 
+def sorted_rows(df: DataFrame, order: list[str]) -> DataFrame:
+    """Rows in the given order over all partitions, ties broken by the other columns.
+
+    Copies equal in all columns are told apart by the task they come from, so the
+    range sort can divide even a large group of copies among tasks.
+    """
+    tagged = df.withColumn(_TASK, F.spark_partition_id())
+    return tagged.sort(*total_order(df.columns, order), _TASK).drop(_TASK)
+
+
 def number_rows(df: DataFrame, order: list[str], name: str) -> DataFrame:
     """Add ``name``: the 1-based position of each row in the given order.
 
     Equal to ``row_number() over (order by ...)`` but in parallel: a range sort
     spreads the rows, each task counts its own, and the count of everything
-    before a task is added. Ties are broken by the remaining columns; copies
-    equal in all columns are told apart by the task they come from, so even a
-    large group of copies is spread by the range sort.
+    before a task is added.
 
     The sorted rows are stored before anything is counted, so both steps see the
     same partitions even if executors are lost in between.
     """
-    placed = (
-        df.withColumn(_TASK, F.spark_partition_id())
-        .sort(*total_order(df.columns, order), _TASK)
-        .drop(_TASK)
-        .withColumn(_SEAT, F.monotonically_increasing_id())
-    )
+    placed = sorted_rows(df, order).withColumn(_SEAT, F.monotonically_increasing_id())
     stored = stash(placed, "sorted")
     part = F.shiftright(F.col(_SEAT), _SEAT_BITS).cast("int")
     # One row per written partition: bounded by the shuffle partition count.
@@ -73,7 +76,7 @@ def number_within(df: DataFrame, keys: list[str], order: list[str], name: str) -
         return numbered
     placed = number_rows(hot, [*keys, *order], _PLACE)
     first = set_aside(placed.groupBy(*keys).agg(F.min(_PLACE).alias("__first")), keys)
-    shifted = placed.join(first, same_key(keys)).select(
+    shifted = placed.join(short_list(first), same_key(keys)).select(
         *df.columns,
         (F.col(_PLACE) - F.col("__first") + 1).cast("int").alias(name),
     )

@@ -32,6 +32,12 @@ def measure(df: DataFrame) -> tuple[int, int]:
     return rows, size or 0
 
 
+def short_list(per_key: DataFrame) -> DataFrame:
+    """One row per hot key, for a broadcast if it measures small enough."""
+    fits = measure(per_key)[1] <= limit(per_key.sparkSession, "hotListBytes")
+    return F.broadcast(per_key) if fits else per_key
+
+
 def hot_keys(df: DataFrame, keys: list[str], rows: int | None = None) -> DataFrame | None:
     """Keys with more rows than one task should take, or None; names set aside.
 
@@ -46,9 +52,7 @@ def hot_keys(df: DataFrame, keys: list[str], rows: int | None = None) -> DataFra
     counts = df.groupBy(*keys).agg(F.count("*").alias("__rows"))
     if counts.agg(F.max("__rows")).first()[0] <= most:
         return None
-    hot = stash(set_aside(counts.where(F.col("__rows") > most).select(*keys), keys), "hot-keys")
-    short = measure(hot)[1] <= limit(df.sparkSession, "hotListBytes")
-    return F.broadcast(hot) if short else hot
+    return short_list(stash(set_aside(counts.where(F.col("__rows") > most).select(*keys), keys), "hot-keys"))
 
 
 def split_hot(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame | None]:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from orefold.functions import cleaning as c
 from orefold.operators.joins import left_lookup, orphans, repeated_keys, rows_not_in, rows_used
-from orefold.operators.ordering import latest_per_key
+from orefold.operators.ordering import latest_per_key, sorted_rows
 from orefold.plans import gold, quality, silver
 from orefold.registry import oracle as o
 from orefold.registry.lake import AS_OF
@@ -196,11 +196,16 @@ QUERIES = {
         "SELECT cntry FROM raw_loc GROUP BY ALL ORDER BY cntry NULLS FIRST",
     ),
     "o02_three_columns": (
-        lambda lake: lake.lines.select("sls_sales", "sls_quantity", "sls_price").orderBy("sls_sales", "sls_quantity", "sls_price"),
+        lambda lake: sorted_rows(
+            lake.lines.select("sls_sales", "sls_quantity", "sls_price"), ["sls_sales", "sls_quantity", "sls_price"]
+        ),
         "SELECT sls_sales, sls_quantity, sls_price FROM raw_sales ORDER BY ALL NULLS FIRST",
     ),
     "o03_output_alias": (
-        lambda lake: lake.lines.select("sls_ord_num", silver.sales_measures()["sls_price"].alias("sls_price")).orderBy("sls_price", "sls_ord_num"),
+        lambda lake: sorted_rows(
+            lake.lines.select("sls_ord_num", silver.sales_measures()["sls_price"].alias("sls_price")),
+            ["sls_price", "sls_ord_num"],
+        ),
         f"SELECT sls_ord_num, {o.GOOD_PRICE} AS sls_price FROM raw_sales ORDER BY 2 NULLS FIRST, 1",
     ),
     # Cleaning in steps.
