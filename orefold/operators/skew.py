@@ -28,7 +28,7 @@ def measure(df: DataFrame) -> tuple[int, int]:
     """Rows, and bytes of all values: text by its length, anything else as eight."""
     texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema if f.dataType.simpleString() == "string"]
     width = reduce(lambda a, b: a + b, texts, F.lit(8 * (len(df.columns) - len(texts))))
-    rows, size = df.agg(F.count("*"), F.sum(width.cast("bigint"))).first()
+    rows, size = df.agg(F.count("*"), F.sum(width.cast("bigint"))).collect()[0]
     return rows, size or 0
 
 
@@ -50,7 +50,7 @@ def hot_keys(df: DataFrame, keys: list[str], rows: int | None = None) -> DataFra
     if (df.count() if rows is None else rows) <= most:
         return None
     counts = df.groupBy(*keys).agg(F.count("*").alias("__rows"))
-    if counts.agg(F.max("__rows")).first()[0] <= most:
+    if counts.agg(F.max("__rows")).collect()[0][0] <= most:
         return None
     return short_list(stash(set_aside(counts.where(F.col("__rows") > most).select(*keys), keys), "hot-keys"))
 
