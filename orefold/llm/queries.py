@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orefold.llm import mixing, quality_rules
+from orefold.llm import decontaminate, licenses, mixing, pii, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,28 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.pii_spans(table(spark, folder, "documents"), [F.col("doc_id")], F.col("text"))
+    spans = F.col("pii")
+    base = F.filter(spans, lambda s: s["kind"].isin(*pii.BASE))
+    kinds = F.transform(spans, lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in pii.BASE]
+    return found.select("doc_id", *counts, F.sha2(pii.joined(base).cast("binary"), 256).alias("base_sha256"), pii.joined(spans).alias("spans"))
+
+
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.hits(table(spark, folder, "documents"), ["doc_id"], "text", table(spark, folder, "benchmark"))
+    n_hit = decontaminate.hit_words()
+    return found.select(
+        "doc_id",
+        F.col("d_words").alias("n_words"),
+        n_hit.alias("n_hit"),
+        F.size("d_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("d_items", ",").cast("binary"), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     return quality_rules.quality_rules(docs, labels, ["doc_id"])
@@ -34,7 +56,14 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.labelled(table(spark, folder, "documents"), ["doc_id"])
+
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
+    "op3_pii": (op3_pii, None),
+    "op4_decontamination": (op4_decontamination, None),
     "op6_quality_rules": (op6_quality_rules, None),
     "op7_mixing": (op7_mixing, None),
+    "op8_licenses": (op8_licenses, None),
 }
