@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orefold.llm import decontaminate, licenses, mixing, pii, quality_rules
+from orefold.llm import decontaminate, licenses, mixing, pii, quality_gam, quality_rules, wrappers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    text = wrappers.extract(table(spark, folder, "pages"), ["page_id", "url"])
+    return text.select("page_id", "url", F.col("w_text").alias("text"), F.length("w_text").cast("long").alias("n_chars"))
+
+
 def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.pii_spans(table(spark, folder, "documents"), [F.col("doc_id")], F.col("text"))
     spans = F.col("pii")
@@ -38,6 +43,14 @@ def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = quality_gam.fit(docs, table(spark, folder, "labels"))
+    scores = quality_gam.scored(docs, model, [F.col("doc_id")], F.col("text"))
+    score = F.col("g_score")
+    return scores.select("doc_id", quality_gam.held_out(F.col("doc_id")).alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     return quality_rules.quality_rules(docs, labels, ["doc_id"])
@@ -61,8 +74,10 @@ def op8_licenses(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, tuple[Query, str | None]] = {
+    "op2_html_extraction": (op2_html_extraction, None),
     "op3_pii": (op3_pii, None),
     "op4_decontamination": (op4_decontamination, None),
+    "op5_quality_classifier": (op5_quality_classifier, None),
     "op6_quality_rules": (op6_quality_rules, None),
     "op7_mixing": (op7_mixing, None),
     "op8_licenses": (op8_licenses, None),
