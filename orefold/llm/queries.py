@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orefold.llm import decontaminate, licenses, mixing, pii, quality_gam, quality_rules, wrappers
+from orefold.llm import decontaminate, licenses, mixing, ngram_join, pii, quality_gam, quality_rules, wrappers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    found = ngram_join.near_duplicates(table(spark, folder, "documents"), ["doc_id"], k=4, percent=85)
+    return found.select("doc_id", F.col("j_size").alias("n_shingles"), F.col("j_component").alias("component_id"))
+
+
 def op2_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     text = wrappers.extract(table(spark, folder, "pages"), ["page_id", "url"])
     return text.select("page_id", "url", F.col("w_text").alias("text"), F.length("w_text").cast("long").alias("n_chars"))
@@ -74,6 +79,7 @@ def op8_licenses(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, tuple[Query, str | None]] = {
+    "op1_ngram_join": (op1_ngram_join, None),
     "op2_html_extraction": (op2_html_extraction, None),
     "op3_pii": (op3_pii, None),
     "op4_decontamination": (op4_decontamination, None),
