@@ -32,3 +32,27 @@ def unpack(blob: bytes) -> list[np.ndarray]:
         out.append(np.frombuffer(raw[at:end], np.uint8).reshape(dtype.itemsize, size).T.copy().view(dtype).reshape(size))
         at = end
     return out
+
+
+def first_of_runs(*sorted_columns: np.ndarray) -> np.ndarray:
+    """Whether a row of sorted columns differs from the one before."""
+    out = np.ones(len(sorted_columns[0]), dtype=bool)
+    out[1:] = False
+    for c in sorted_columns:
+        out[1:] |= c[1:] != c[:-1]
+    return out
+
+
+def run_starts(*sorted_columns: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(first_of_runs(*sorted_columns))
+
+
+def united(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Intervals that overlap or touch, as one; ``start`` ascends."""
+    if not len(start):
+        return start, end
+    reach = np.maximum.accumulate(end)
+    first = np.ones(len(start), dtype=bool)
+    first[1:] = start[1:] > reach[:-1]
+    at = np.flatnonzero(first)
+    return start[at], np.maximum.reduceat(end, at)

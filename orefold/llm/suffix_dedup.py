@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orefold.llm.packing import pack, unpack
+from orefold.llm.packing import first_of_runs, pack, run_starts, united, unpack
 from orefold.llm.scratch import Scratch
 from orefold.llm.words import _BASE, mix, text_slices
 
@@ -48,10 +48,13 @@ OFFSETS = LENGTH - SEED + 1
 WIDTH = LENGTH + OFFSETS - 1
 HOT_TEXTS = 200_000
 # Anchors of a range, and suffixes of a partition, that a task holds at once.
-ANCHORS_PER_TASK = 1_500_000
-SUFFIXES_PER_TASK = 400_000
-# Anchors that a task gathers before it hands a batch on.
+ANCHORS_PER_TASK = 1_000_000
+SUFFIXES_PER_TASK = 150_000
+# Anchors and suffixes that a task gathers before it hands a batch on.
 BATCH_ANCHORS = 1_500_000
+BATCH_SUFFIXES = 300_000
+# Hashing takes some fifty bytes per byte of text at once.
+_SLICE = 1 << 20
 # Texts, and suffix heads of theirs, from which splitters are chosen.
 SAMPLED_TEXTS = 4_000
 SAMPLED_HEADS = 100_000
@@ -110,14 +113,6 @@ _ANCHORS = "d_range int, d_blob binary"
 _PLACES = "d_key long, d_rank long, d_places binary, d_hot binary"
 
 
-def _first_of_runs(*sorted_columns: np.ndarray) -> np.ndarray:
-    out = np.ones(len(sorted_columns[0]), dtype=bool)
-    out[1:] = False
-    for c in sorted_columns:
-        out[1:] |= c[1:] != c[:-1]
-    return out
-
-
 def _anchor_blobs(ranges: int):
     def run(batches):
         held: list = []
@@ -127,7 +122,7 @@ def _anchor_blobs(ranges: int):
             held.clear()
             order = np.lexsort((place, key, gram))
             gram, key, rank, place = gram[order], key[order], rank[order], place[order]
-            once = _first_of_runs(gram, key)  # further places of the gram in a text are found again from the first
+            once = first_of_runs(gram, key)  # further places of the gram in a text are found again from the first
             # equal texts: the smallest id stands for all
             starts = np.flatnonzero(once)
             rank = np.minimum.reduceat(rank, starts) if len(starts) else rank
@@ -148,7 +143,7 @@ def _anchor_blobs(ranges: int):
         size = 0
         for batch in batches:
             keys, ranks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for texts in text_slices(batch.column(2)):
+            for texts in text_slices(batch.column(2), _SLICE):
                 row, place, gram = anchors(texts.data, texts.offsets)
                 if len(row):
                     held.append((gram, keys[texts.first + row], ranks[texts.first + row], place - texts.offsets[row]))
@@ -175,15 +170,15 @@ def _shared_places(hot_texts: int):
         del columns
         order = np.lexsort((rank, key, gram))
         gram, key, rank, place = gram[order], key[order], rank[order], place[order]
-        once = _first_of_runs(gram, key)
+        once = first_of_runs(gram, key)
         gram, key, rank, place = gram[once], key[once], rank[once], place[once]
-        starts = np.flatnonzero(_first_of_runs(gram)) if len(gram) else np.empty(0, np.int64)
+        starts = run_starts(gram)
         texts = np.repeat(np.diff(np.append(starts, len(gram))), np.diff(np.append(starts, len(gram))))
         shared = texts > 1
         key, rank, place, hot = key[shared], rank[shared], place[shared], texts[shared] > hot_texts
         order = np.lexsort((place, rank, key))
         key, rank, place, hot = key[order], rank[order], place[order], hot[order]
-        starts = np.flatnonzero(_first_of_runs(key, rank)) if len(key) else np.empty(0, np.int64)
+        starts = run_starts(key, rank)
         cold_blobs, hot_blobs = [], []
         for i, j in zip(starts, np.append(starts[1:], len(key))):
             p, h = place[i:j], hot[i:j]
@@ -280,7 +275,7 @@ def _sorted_runs(splitters: np.ndarray):
             rows, after, before = _suffixes(texts.data, texts.offsets, row, place)
             held.append((rows, after, before, keys[row], ranks[row], place - texts.offsets[row]))
             size += len(row)
-            if size >= SUFFIXES_PER_TASK:
+            if size >= BATCH_SUFFIXES:
                 yield from flush()
                 size = 0
         if held:
@@ -293,7 +288,7 @@ def _with_places(batches, column: int):
     """Slices of texts that have places in ``column``."""
     for batch in batches:
         keys, ranks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        for texts in text_slices(batch.column(2)):
+        for texts in text_slices(batch.column(2), _SLICE):
             s = slice(texts.first, texts.first + len(texts))
             blobs = batch.column(column)[s].to_pylist()
             if any(x for b in blobs if b for x in b):
@@ -425,7 +420,7 @@ def _intervals(rows, common, after, before, rank, group):
             continue
         string = mix(same_after * _BASE ^ backwards)[able]
         order = np.argsort(string, kind="stable")
-        starts = np.flatnonzero(_first_of_runs(string[order]))
+        starts = run_starts(string[order])
         smallest = np.full(len(active), _LAST)
         found = np.minimum.reduceat(least[active][able][order], starts)
         spread = np.empty(len(string), np.int64)
@@ -471,25 +466,16 @@ def _merge_partition(table: pa.Table) -> pa.Table:
 def _by_text(key: np.ndarray, rank: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Table:
     order = np.lexsort((start, key))
     key, rank, start, end = key[order], rank[order], start[order], end[order]
-    firsts = np.flatnonzero(_first_of_runs(key)) if len(key) else np.empty(0, np.int64)
+    firsts = run_starts(key)
     starts, ends = [], []
     for i, j in zip(firsts, np.append(firsts[1:], len(key))):
-        s, e = _united(start[i:j], end[i:j])
+        s, e = united(start[i:j], end[i:j])
         starts.append(s.astype("<u4").tobytes())
         ends.append(e.astype("<u4").tobytes())
     columns = [pa.array(key[firsts], pa.int64()), pa.array(rank[firsts], pa.int64()), pa.array(starts, pa.binary()), pa.array(ends, pa.binary())]
     return pa.table(columns, names=["d_key", "d_rank", "d_starts", "d_ends"])
 
 
-def _united(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Intervals that overlap or touch, as one; ``start`` ascends."""
-    reach = np.maximum.accumulate(end)
-    first = np.ones(len(start), dtype=bool)
-    first[1:] = start[1:] > reach[:-1]
-    at = np.flatnonzero(first)
-    return start[at], np.maximum.reduceat(end, at)
-
-
 # --- hot grams -----------------------------------------------------------------------------
 
 
@@ -536,7 +522,7 @@ def _cut(with_text: bool):
                     i = texts.first + r
                     start, end = (np.frombuffer(b"".join(batch.column(c)[i].as_py()), "<u4").astype(np.int64) for c in (2, 3))
                     order = np.argsort(start, kind="stable")
-                    start, end = _united(start[order], end[order])
+                    start, end = united(start[order], end[order])
                     body = raw[texts.offsets[r] : texts.offsets[r + 1]]
                     edges = [0, *np.stack([start, end], axis=1).ravel().tolist(), len(body)]
                     rest = b"".join(body[a:b] for a, b in zip(edges[::2], edges[1::2]))

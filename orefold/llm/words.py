@@ -121,7 +121,7 @@ class Words:
     rows: np.ndarray
 
 
-def text_slices(column: pa.Array) -> Iterator[Texts]:
+def text_slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[Texts]:
     """The rows of a string column in slices of bounded size; null counts as empty."""
     if column.null_count:
         column = pc.fill_null(column, "")
@@ -132,7 +132,7 @@ def text_slices(column: pa.Array) -> Iterator[Texts]:
     data = np.frombuffer(chars, dtype=np.uint8) if chars is not None else np.empty(0, dtype=np.uint8)
     i = 0
     while i < len(column):
-        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + SLICE_BYTES, "right")) - 1)
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + size, "right")) - 1)
         yield Texts(i, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
         i = j
 
