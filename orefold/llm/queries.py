@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orefold.llm import decontaminate, licenses, mixing, ngram_join, pii, quality_gam, quality_rules, suffix_dedup, wrappers
+from orefold.llm import decontaminate, licenses, mixing, ngram_join, passages, pii, quality_gam, quality_rules, suffix_dedup, wrappers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,6 +78,10 @@ def op8_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.labelled(table(spark, folder, "documents"), ["doc_id"])
 
 
+def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, folder, "documents"), ["doc_id"])
+
+
 def op10_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.deduplicated(table(spark, folder, "documents"), ["doc_id"])
 
@@ -91,5 +95,6 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op6_quality_rules": (op6_quality_rules, None),
     "op7_mixing": (op7_mixing, None),
     "op8_licenses": (op8_licenses, None),
+    "op9_substring_dedup": (op9_substring_dedup, None),
     "op10_suffix_array_dedup": (op10_suffix_array_dedup, None),
 }
