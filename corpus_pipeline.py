@@ -1,18 +1,77 @@
-"""A corpus pipeline: quality rules, near copies, benchmark passages, personal data, mixing."""
+"""A corpus pipeline over ``documents``: five stages, each an operator of ``orefold.llm``.
+
+Every stage takes the rows its predecessor left and returns documents of the same
+columns, except the last, which returns what the mix takes of each.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES = []
+from orefold.llm import decontaminate, mixing, ngram_join, pii, quality_rules
 
 # Cutoffs learnt from labels, components of a graph and a random order are not SQL.
 ORACLE_SQL = None
 
 
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules do not reject."""
+    columns = docs.columns
+    judged = quality_rules.quality_rules(docs, _table(spark, sf_dir, "labels"), columns)
+    return judged.where("kept").select(*columns)
+
+
+def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies (five-word shingles, Jaccard 0.8) the smallest id."""
+    return ngram_join.one_per_group(docs)
+
+
+def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark window."""
+    columns = docs.columns
+    found = decontaminate.hits(docs, columns, "text", _table(spark, sf_dir, "benchmark"))
+    return found.where(F.size("d_spans") == 0).select(*columns)
+
+
+def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by its kind; ``n_chars`` follows the new text."""
+    found = pii.pii_redacted(docs, [F.struct(*docs.columns).alias("row")], F.col("text"))
+    text = F.when(F.col("row.text").isNotNull(), F.col("pii_text"))
+    new = {"text": text, "n_chars": F.length(text).cast("long")}
+    return found.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Per document: words, its source's words and target, and words taken into the mix."""
+    key = mixing.row_key(F.col("doc_id"), F.col("source"), F.col("text"))
+    mix = mixing.mixture(docs, mixing.word_count(F.col("text")), F.col("source"), key, [F.col("doc_id"), F.col("source")])
+    return mix.select(
+        "doc_id",
+        "source",
+        F.col("m_size").alias("size"),
+        F.col("m_total").alias("source_size"),
+        F.col("m_target").alias("target"),
+        (F.col("m_copies") * F.col("m_size")).cast("long").alias("taken"),
+    )
+
+
+STAGES = [
+    ("quality rules", keep_good),
+    ("n-gram Jaccard join", keep_one_of_near_copies),
+    ("benchmark decontamination", keep_uncontaminated),
+    ("PII", hide_personal_data),
+    ("mixing sources to target weights", mix_sources),
+]
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages one after the other over ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = _table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
     return docs
