@@ -51,8 +51,8 @@ HOT_TEXTS = 200_000
 ANCHORS_PER_TASK = 1_000_000
 SUFFIXES_PER_TASK = 150_000
 # Anchors and suffixes that a task gathers before it hands a batch on.
-BATCH_ANCHORS = 1_500_000
-BATCH_SUFFIXES = 300_000
+BATCH_ANCHORS = 1_000_000
+BATCH_SUFFIXES = 150_000
 # Hashing takes some fifty bytes per byte of text at once.
 _SLICE = 1 << 20
 # Texts, and suffix heads of theirs, from which splitters are chosen.
@@ -116,42 +116,40 @@ _PLACES = "d_key long, d_rank long, d_places binary, d_hot binary"
 def _anchor_blobs(ranges: int):
     def run(batches):
         held: list = []
+        owners: list = []
 
         def flush():
-            gram, key, rank, place = (np.concatenate(x) for x in zip(*held))
+            gram, text, place = (np.concatenate(x) for x in zip(*held))
+            key, rank = (np.concatenate(x) for x in zip(*owners))
             held.clear()
-            order = np.lexsort((place, key, gram))
-            gram, key, rank, place = gram[order], key[order], rank[order], place[order]
-            once = first_of_runs(gram, key)  # further places of the gram in a text are found again from the first
-            # equal texts: the smallest id stands for all
-            starts = np.flatnonzero(once)
-            rank = np.minimum.reduceat(rank, starts) if len(starts) else rank
-            gram, key, place = gram[once], key[once], place[once]
-            part = (gram >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
-            edges = np.searchsorted(part, np.arange(ranges + 1))
+            owners.clear()
+            # texts and places ascend as gathered, and the sort is stable
+            order = np.argsort(gram, kind="stable")
+            gram, text, place = gram[order], text[order], place[order]
+            once = first_of_runs(gram, text)  # further places of the gram in a text are found again from the first
+            gram, text, place = gram[once], text[once], place[once]
+            edges = np.searchsorted((gram >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32), np.arange(ranges + 1))
             rows = []
             for r in range(ranges):
                 i, j = edges[r], edges[r + 1]
                 if i < j:
-                    texts, which = np.unique(key[i:j], return_inverse=True)
-                    ids = np.full(len(texts), _LAST)
-                    np.minimum.at(ids, which, rank[i:j])
+                    texts, which = np.unique(text[i:j], return_inverse=True)
                     steps = np.diff(gram[i:j], prepend=np.uint64(0))
-                    rows.append((r, pack(steps, which.astype(np.uint32), place[i:j].astype(np.uint32), texts, ids)))
+                    rows.append((r, pack(steps, which.astype(np.uint32), place[i:j], key[texts], rank[texts])))
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in rows], pa.int32()), pa.array([x[1] for x in rows], pa.binary())], names=["d_range", "d_blob"])
 
-        size = 0
+        size = n_texts = 0
         for batch in batches:
             keys, ranks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for texts in text_slices(batch.column(2), _SLICE):
                 row, place, gram = anchors(texts.data, texts.offsets)
-                if len(row):
-                    held.append((gram, keys[texts.first + row], ranks[texts.first + row], place - texts.offsets[row]))
-                    size += len(row)
+                held.append((gram, (row + n_texts).astype(np.uint32), (place - texts.offsets[row]).astype(np.uint32)))
+                owners.append((keys[texts.first : texts.first + len(texts)], ranks[texts.first : texts.first + len(texts)]))
+                size, n_texts = size + len(row), n_texts + len(texts)
                 if size >= BATCH_ANCHORS:
                     yield from flush()
-                    size = 0
-        if held:
+                    size = n_texts = 0
+        if size:
             yield from flush()
 
     return run
@@ -161,31 +159,43 @@ def _shared_places(hot_texts: int):
     """Of one range of hashes: the places whose gram more than one text has, per text."""
 
     def run(table: pa.Table) -> pa.Table:
-        columns: list = [[], [], [], []]
-        for blob in table.column("d_blob").to_pylist():
-            steps, which, place, keys, ranks = unpack(blob)
-            for c, x in zip(columns, (np.cumsum(steps, dtype=np.uint64), keys[which], ranks[which], place)):
+        columns: list = [[], [], []]
+        owners: list = [[], []]
+        n = 0
+        for blob in table.column("d_blob"):
+            steps, which, place, keys, ranks = unpack(blob.as_py())
+            for c, x in zip(columns, (np.cumsum(steps, dtype=np.uint64), which + np.uint32(n), place)):
                 c.append(x)
-        gram, key, rank, place = (np.concatenate(c) for c in columns)
-        del columns
-        order = np.lexsort((rank, key, gram))
-        gram, key, rank, place = gram[order], key[order], rank[order], place[order]
-        once = first_of_runs(gram, key)
-        gram, key, rank, place = gram[once], key[once], rank[once], place[once]
+            owners[0].append(keys)
+            owners[1].append(ranks)
+            n += len(keys)
+        key, rank = (np.concatenate(c) for c in owners)
+        gram, text, place = (np.concatenate(c) for c in columns)
+        del columns, owners
+        # copies of a text are one text, and the smallest id stands for all
+        names, text_of = np.unique(key, return_inverse=True)
+        least = np.full(len(names), _LAST)
+        np.minimum.at(least, text_of, rank)
+        text = text_of.astype(np.uint32)[text]
+        order = np.lexsort((text, gram))
+        gram, text, place = gram[order], text[order], place[order]
+        once = first_of_runs(gram, text)
+        gram, text, place = gram[once], text[once], place[once]
         starts = run_starts(gram)
-        texts = np.repeat(np.diff(np.append(starts, len(gram))), np.diff(np.append(starts, len(gram))))
+        size = np.diff(np.append(starts, len(gram)))
+        texts = np.repeat(size, size)
         shared = texts > 1
-        key, rank, place, hot = key[shared], rank[shared], place[shared], texts[shared] > hot_texts
-        order = np.lexsort((place, rank, key))
-        key, rank, place, hot = key[order], rank[order], place[order], hot[order]
-        starts = run_starts(key, rank)
+        text, place, hot = text[shared], place[shared], texts[shared] > hot_texts
+        order = np.lexsort((place, text))
+        text, place, hot = text[order], place[order], hot[order]
+        starts = run_starts(text)
         cold_blobs, hot_blobs = [], []
-        for i, j in zip(starts, np.append(starts[1:], len(key))):
+        for i, j in zip(starts, np.append(starts[1:], len(text))):
             p, h = place[i:j], hot[i:j]
             cold_blobs.append(p[~h].astype("<u4").tobytes())
             hot_blobs.append(p[h].astype("<u4").tobytes() or None)
         return pa.table(
-            [pa.array(key[starts]), pa.array(rank[starts]), pa.array(cold_blobs, pa.binary()), pa.array(hot_blobs, pa.binary())],
+            [pa.array(names[text[starts]], pa.int64()), pa.array(least[text[starts]], pa.int64()), pa.array(cold_blobs, pa.binary()), pa.array(hot_blobs, pa.binary())],
             names=["d_key", "d_rank", "d_places", "d_hot"],
         )
 
