@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +15,18 @@ from orefold.llm.words import Texts, text_slices
 TEXT = "__text"
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int):
+    """Within, Spark hands tasks at most ``rows`` rows at a time, where rows carry whole texts."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def append(docs: DataFrame, keep: list[Column], text: Column, added: T.StructType, work: Callable[[], Callable[[Texts, pa.RecordBatch], list[pa.Array]]]) -> DataFrame:
     """``keep`` and the columns ``added``, which ``work`` makes from each slice of whole texts.
 

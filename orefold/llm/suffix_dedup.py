@@ -38,6 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orefold.llm.arrow import small_batches
 from orefold.llm.packing import first_of_runs, pack, run_starts, united, unpack
 from orefold.llm.scratch import Scratch
 from orefold.llm.words import _BASE, mix, text_slices
@@ -51,8 +52,12 @@ HOT_TEXTS = 200_000
 ANCHORS_PER_TASK = 1_000_000
 SUFFIXES_PER_TASK = 150_000
 # Anchors and suffixes that a task gathers before it hands a batch on.
-BATCH_ANCHORS = 1_000_000
+BATCH_ANCHORS = 800_000
 BATCH_SUFFIXES = 150_000
+# Bytes of text whose places are brought together at once.
+BUCKET_BYTES = 16 << 20
+# Texts that Spark hands to a task at a time.
+BATCH_TEXTS = 2_000
 # Hashing takes some fifty bytes per byte of text at once.
 _SLICE = 1 << 20
 # Texts, and suffix heads of theirs, from which splitters are chosen.
@@ -110,6 +115,7 @@ def _refuse():
 # --- step 1: anchors whose gram only one text has are dropped ----------------------------
 
 _ANCHORS = "d_range int, d_blob binary"
+_SHARED = "d_bucket int, d_blob binary"
 _PLACES = "d_key long, d_rank long, d_places binary, d_hot binary"
 
 
@@ -155,8 +161,12 @@ def _anchor_blobs(ranges: int):
     return run
 
 
-def _shared_places(hot_texts: int):
-    """Of one range of hashes: the places whose gram more than one text has, per text."""
+def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix(keys.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _shared_places(hot_texts: int, buckets: int):
+    """Of one range of hashes: the places whose gram more than one text has, packed by bucket of texts."""
 
     def run(table: pa.Table) -> pa.Table:
         columns: list = [[], [], []]
@@ -186,22 +196,43 @@ def _shared_places(hot_texts: int):
         texts = np.repeat(size, size)
         shared = texts > 1
         text, place, hot = text[shared], place[shared], texts[shared] > hot_texts
-        order = np.lexsort((place, text))
-        text, place, hot = text[order], place[order], hot[order]
-        starts = run_starts(text)
-        cold_blobs, hot_blobs = [], []
-        for i, j in zip(starts, np.append(starts[1:], len(text))):
-            p, h = place[i:j], hot[i:j]
-            cold_blobs.append(p[~h].astype("<u4").tobytes())
-            hot_blobs.append(p[h].astype("<u4").tobytes() or None)
-        return pa.table(
-            [pa.array(names[text[starts]], pa.int64()), pa.array(least[text[starts]], pa.int64()), pa.array(cold_blobs, pa.binary()), pa.array(hot_blobs, pa.binary())],
-            names=["d_key", "d_rank", "d_places", "d_hot"],
-        )
+        bucket = _bucket(names, buckets)[text]
+        order = np.lexsort((place, text, bucket))
+        text, place, hot, bucket = text[order], place[order], hot[order], bucket[order]
+        edges = np.searchsorted(bucket, np.arange(buckets + 1))
+        rows = []
+        for b in range(buckets):
+            i, j = edges[b], edges[b + 1]
+            if i < j:
+                own, which = np.unique(text[i:j], return_inverse=True)
+                rows.append((b, pack(which.astype(np.uint32), place[i:j], hot[i:j].astype(np.uint8), names[own], least[own])))
+        return pa.table([pa.array([x[0] for x in rows], pa.int32()), pa.array([x[1] for x in rows], pa.binary())], names=["d_bucket", "d_blob"])
 
     return run
 
 
+def _places_by_text(table: pa.Table) -> pa.Table:
+    """One row per text of a bucket, with its places from all ranges."""
+    columns: list = [[], [], [], []]
+    for blob in table.column("d_blob"):
+        which, place, hot, keys, ranks = unpack(blob.as_py())
+        for c, x in zip(columns, (keys[which], ranks[which], place, hot)):
+            c.append(x)
+    key, rank, place, hot = (np.concatenate(c) for c in columns)
+    order = np.lexsort((place, key))
+    key, rank, place, hot = key[order], rank[order], place[order].astype("<u4"), hot[order] > 0
+    starts = run_starts(key)
+    cold_blobs, hot_blobs = [], []
+    for i, j in zip(starts, np.append(starts[1:], len(key))):
+        p, h = place[i:j], hot[i:j]
+        cold_blobs.append(p[~h].tobytes())
+        hot_blobs.append(p[h].tobytes() or None)
+    return pa.table(
+        [pa.array(key[starts], pa.int64()), pa.array(rank[starts], pa.int64()), pa.array(cold_blobs, pa.binary()), pa.array(hot_blobs, pa.binary())],
+        names=["d_key", "d_rank", "d_places", "d_hot"],
+    )
+
+
 # --- step 2: sorted runs, front-coded ---------------------------------------------------
 
 _RUNS = "d_part int, d_run binary"
@@ -210,7 +241,7 @@ _RUNS = "d_part int, d_run binary"
 def _all_places(data: np.ndarray, cuts: np.ndarray, blobs: list) -> tuple[np.ndarray, np.ndarray]:
     """Row and place of every anchor whose gram is that of a listed place."""
     row, place, gram = anchors(data, cuts)
-    firsts = [np.frombuffer(b"".join(x for x in b if x), "<u4").astype(np.int64) + cuts[r] for r, b in enumerate(blobs)]
+    firsts = [np.frombuffer(b, "<u4").astype(np.int64) + cuts[r] for r, b in enumerate(blobs)]
     listed = np.zeros(len(place), dtype=bool)
     listed[np.searchsorted(place, np.concatenate(firsts))] = True
     # a gram listed for one row is not for another unless listed there too
@@ -301,8 +332,8 @@ def _with_places(batches, column: int):
         for texts in text_slices(batch.column(2), _SLICE):
             s = slice(texts.first, texts.first + len(texts))
             blobs = batch.column(column)[s].to_pylist()
-            if any(x for b in blobs if b for x in b):
-                yield keys[s], ranks[s], texts, [b or [] for b in blobs]
+            if any(blobs):
+                yield keys[s], ranks[s], texts, [b or b"" for b in blobs]
 
 
 # --- step 3: merge with a loser tree that knows common prefixes -----------------------------
@@ -554,7 +585,7 @@ def _splitters(sample: list[bytes], parts: int) -> np.ndarray:
 def _heads(batches):
     """Some suffix heads of each text, to choose splitters by."""
     for keys, _, texts, blobs in _with_places(batches, 3):
-        firsts = np.concatenate([np.frombuffer(b"".join(x for x in b if x), "<u4").astype(np.int64) + texts.offsets[r] for r, b in enumerate(blobs)])[::7]
+        firsts = np.concatenate([np.frombuffer(b, "<u4").astype(np.int64) + texts.offsets[r] for r, b in enumerate(blobs)])[::7]
         heads = [texts.data[p : p + SEED].tobytes() for p in firsts]
         yield pa.RecordBatch.from_arrays([pa.array(heads, pa.binary())], names=["head"])
 
@@ -565,6 +596,11 @@ def deduplicated(docs: DataFrame, keep: list[str], doc_id: str = "doc_id", text:
     ``with_text`` adds ``kept_text``, in which bytes of a split character are left
     out; ``keep`` must then have the text.
     """
+    with small_batches(docs.sparkSession, BATCH_TEXTS):
+        return _deduplicated(docs, keep, doc_id, text, with_text)
+
+
+def _deduplicated(docs: DataFrame, keep: list[str], doc_id: str, text: str, with_text: bool) -> DataFrame:
     spark = docs.sparkSession
     scratch = Scratch(spark)
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
@@ -576,10 +612,12 @@ def deduplicated(docs: DataFrame, keep: list[str], doc_id: str = "doc_id", text:
     texts = docs.select(*own, body.alias("d_text")).where(F.octet_length("d_text") >= LENGTH)
 
     ranges = max(1, -(-size * 2 // ((OFFSETS + 1) * ANCHORS_PER_TASK)))
+    buckets = max(1, -(-size // BUCKET_BYTES))
     blobs = texts.mapInArrow(_anchor_blobs(ranges), _ANCHORS)
-    places = scratch.keep(blobs.groupBy("d_range").applyInArrow(_shared_places(HOT_TEXTS), _PLACES), "suffix-places")
+    shared = blobs.groupBy("d_range").applyInArrow(_shared_places(HOT_TEXTS, buckets), _SHARED)
+    places = scratch.keep(shared.groupBy("d_bucket").applyInArrow(_places_by_text, _PLACES), "suffix-places")
     found = places.agg(F.sum(F.octet_length("d_places")).alias("cold"), F.sum(F.octet_length("d_hot")).alias("hot")).first()
-    by_text = places.groupBy("d_key", "d_rank").agg(F.collect_list("d_places").alias("places"), F.collect_list("d_hot").alias("hot"))
+    by_text = places.select("d_key", "d_rank", F.col("d_places").alias("places"), F.col("d_hot").alias("hot"))
     joined = texts.join(by_text, ["d_key", "d_rank"]).select("d_key", "d_rank", "d_text", "places", "hot")
 
     # splitters come from the suffixes of a bounded sample of texts; they only balance the work
