@@ -95,6 +95,7 @@ def mixture(docs: DataFrame, size: Column, source: Column, key: Column, keep: li
 
     # copies asked for: in proportion to the weight, MAX_COPIES at most
     asked = F.least(F.lit(float(MAX_COPIES)), F.coalesce(F.col("m_weight") * F.col("m_target") / F.nullif(F.col("m_mass"), F.lit(0.0)), F.lit(0.0)))
+    asked = F.when(F.col("m_size") > 0, asked).otherwise(F.lit(0.0))
     chance = F.shiftrightunsigned(F.col("m_key"), 11) / F.lit(float(1 << 53))
     odds = (chance / (1 - chance)) / (F.col("m_part") / (1 - F.col("m_part")))
     ranked = (

@@ -152,14 +152,14 @@ def cutoffs(measured: DataFrame, labels: DataFrame, doc_id: str = "doc_id", stra
     """One row per stratum with labels: ``__q_stratum`` and a cutoff (or null) per rule."""
     values = rule_values()
     marked = labels.select(F.col(doc_id).alias("__q_id"), "quality").where("quality in (0, 1)").groupBy("__q_id").agg(F.max("quality").alias("__q_good"))
-    known = measured.where(~base_failed()).join(marked, F.col(doc_id) == F.col("__q_id"))
+    known = measured.where(~base_failed()).join(marked, F.col(f"`{doc_id}`") == F.col("__q_id"))
     counted = [F.count_if(F.col("__q_good") == 1).alias("n_good")]
     for rule, grid in CUTOFFS.items():
         for j, cut in enumerate(grid):
             over = values[rule] > cut
             counted.append(F.count_if(over & (F.col("__q_good") == 1)).alias(f"{rule}_good_{j}"))
             counted.append(F.count_if(over & (F.col("__q_good") == 0)).alias(f"{rule}_bad_{j}"))
-    by_stratum = known.groupBy(F.col(stratum).alias("__q_stratum")).agg(*counted)
+    by_stratum = known.groupBy(F.col(f"`{stratum}`").alias("__q_stratum")).agg(*counted)
     level = by_stratum.agg((F.log(F.lit(error / len(CUTOFFS))) - F.log(F.count(F.lit(1)))).alias("log_level"))
     rate = F.lit(risk / len(CUTOFFS))
     # one row on the right
@@ -193,15 +193,17 @@ def judged(measured: DataFrame, chosen: DataFrame, stratum: str = "lang") -> Dat
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, keep: list[str], doc_id: str = "doc_id", text: str = "text", stratum: str = "lang") -> DataFrame:
-    """``keep`` with the counts, ``base_failed`` and ``kept`` of every document.
+    """``row`` (the columns ``keep``), the counts, ``base_failed`` and ``kept`` of every document.
 
     The counts are stored once, for the cutoffs and the verdict alike.
     """
     scratch = Scratch(docs.sparkSession)
-    columns = list(dict.fromkeys([*keep, doc_id, stratum]))
-    measured = scratch.keep(measures(docs, columns, text), "measured")
-    chosen = scratch.keep(cutoffs(measured, labels, doc_id, stratum), "cutoffs")
-    return judged(measured, chosen, stratum).select(*[F.col(f"`{c}`") for c in keep], *[c for c in COUNTS if c not in keep], "base_failed", "kept")
+    wanted = {"row": F.struct(*[F.col(f"`{c}`") for c in keep]), "__q_doc": F.col(f"`{doc_id}`"), "__q_of": F.col(f"`{stratum}`"), "__q_body": F.col(f"`{text}`")}
+    source = docs.select(*[c.alias(name) for name, c in wanted.items()])
+    measured = scratch.keep(measures(source, ["row", "__q_doc", "__q_of"], "__q_body"), "measured")
+    known = labels.select(F.col(doc_id).alias("__q_doc"), "quality")
+    chosen = scratch.keep(cutoffs(measured, known, "__q_doc", "__q_of"), "cutoffs")
+    return judged(measured, chosen, "__q_of").select("row", *COUNTS, "base_failed", "kept")
 
 
 def smallest_stratum(risk: float = RISK, error: float = ERROR, strata: int = 1) -> int:

@@ -58,7 +58,7 @@ def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
-    return quality_rules.quality_rules(docs, labels, ["doc_id"])
+    return quality_rules.quality_rules(docs, labels, ["doc_id"]).select("row.doc_id", *quality_rules.COUNTS, "base_failed", "kept")
 
 
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:

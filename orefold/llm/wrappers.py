@@ -162,13 +162,13 @@ def parse(page: str) -> list:
     return root
 
 
-# A wrapper node: [label, optional, repeated, pages, text mass, text hash or None once it differs, children].
-# A group of several kinds that repeat has the label "(...)".
-L, OPT, REP, PAGES, MASS, SAME, KIDS = range(7)
+# A wrapper node: [label, optional, repeated, pages, text mass, hashes of texts that all pages have there, whether
+# any page has others, children]. A group of several kinds that repeat has the label "(...)".
+L, OPT, REP, PAGES, MASS, SAME, SLOT, KIDS = range(8)
 
 
 def _leaf(text: str) -> list:
-    return ["#", False, False, 1, len(text), hash_text(text), []]
+    return ["#", False, False, 1, len(text), [hash_text(text)], False, []]
 
 
 def hash_text(text: str) -> int:
@@ -178,7 +178,7 @@ def hash_text(text: str) -> int:
 def of_page(tree: list) -> list:
     """The wrapper of one page."""
     kids = [_leaf(x[0]) if len(x) == 1 else of_page(x) for x in tree[1]]
-    return [tree[0], False, False, 1, 0, None, collapse(kids)]
+    return [tree[0], False, False, 1, 0, [], False, collapse(kids)]
 
 
 def collapse(kids: list) -> list:
@@ -194,10 +194,10 @@ def collapse(kids: list) -> list:
                 out.append(kids[i])
                 i += 1
                 continue
-            group = kids[i] if size == 1 else [f"({'|'.join(labels[i : i + size])})", False, False, 1, 0, None, kids[i : i + size]]
+            group = kids[i] if size == 1 else [f"({'|'.join(labels[i : i + size])})", False, False, 1, 0, [], False, kids[i : i + size]]
             for j in range(1, n):
                 at = i + j * size
-                again = kids[at] if size == 1 else [group[L], False, False, 1, 0, None, kids[at : at + size]]
+                again = kids[at] if size == 1 else [group[L], False, False, 1, 0, [], False, kids[at : at + size]]
                 group = fold(group, again, same_page=True)
             group[REP] = True
             out.append(group)
@@ -209,8 +209,9 @@ def collapse(kids: list) -> list:
 def fold(a: list, b: list, same_page: bool = False) -> list:
     """The wrapper of all that either matches; both have one label."""
     pages = max(a[PAGES], b[PAGES]) if same_page else a[PAGES] + b[PAGES]
-    same = a[SAME] if a[SAME] == b[SAME] else None
-    return [a[L], a[OPT] or b[OPT], a[REP] or b[REP], pages, a[MASS] + b[MASS], same, align(a[KIDS], b[KIDS], same_page)]
+    x, y = set(a[SAME]), set(b[SAME])
+    slot = a[SLOT] or b[SLOT] or (not same_page and x != y)
+    return [a[L], a[OPT] or b[OPT], a[REP] or b[REP], pages, a[MASS] + b[MASS], sorted(x | y if same_page else x & y), slot, align(a[KIDS], b[KIDS], same_page)]
 
 
 def _skipped(node: list) -> list:
@@ -241,7 +242,7 @@ def align(a: list, b: list, same_page: bool) -> list:
 def expression(node: list) -> str:
     """The wrapper in the usual notation of regular expressions."""
     if node[L] == "#":
-        return "#slot" if node[SAME] is None else "#text"
+        return "#slot" if node[SLOT] else "#text"
     inner = " ".join(expression(k) for k in node[KIDS])
     mark = {(False, False): "", (True, False): "?", (False, True): "+", (True, True): "*"}[node[OPT], node[REP]]
     return f"<{node[L]}>{inner}</>{mark}" if node[L][:1] != "(" else f"({inner}){mark}"
@@ -250,7 +251,7 @@ def expression(node: list) -> str:
 def _mass(node: list, variable: bool) -> int:
     if node[L][:1] == _OUT:
         return 0
-    own = node[MASS] if node[L] == "#" and (not variable or node[SAME] is None) else 0
+    own = node[MASS] if node[L] == "#" and (not variable or node[SLOT]) else 0
     return own + sum(_mass(k, variable) for k in node[KIDS])
 
 
@@ -272,7 +273,7 @@ def _path_to_article(wrapper: list) -> tuple[str, ...]:
 
 
 def _template(node: list) -> set:
-    found = {node[SAME]} if node[L] == "#" and node[SAME] is not None and node[PAGES] >= SUPPORT else set()
+    found = set(node[SAME]) if node[L] == "#" and node[PAGES] >= SUPPORT else set()
     return found.union(*[_template(k) for k in node[KIDS]])
 
 

@@ -87,3 +87,62 @@ def base_licenses(text):
         places += at
         labels |= {label} if at else set()
     return len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels))
+
+
+def shingle_set(text, k):
+    words = SPACED.findall(lower(text))
+    if not words:
+        return frozenset()
+    return frozenset(tuple(words[i : i + k]) for i in range(max(1, len(words) - k + 1)))
+
+
+def linked(sets, percent):
+    """Component label (smallest index) of each set, by comparing all pairs that share an n-gram."""
+    parent = list(range(len(sets)))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    holders = collections.defaultdict(list)
+    for i, s in enumerate(sets):
+        for x in s:
+            holders[x].append(i)
+    for i, j in {(a, b) for v in holders.values() for a in v for b in v if a < b}:
+        if 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+            a, b = find(i), find(j)
+            parent[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(sets))]
+
+
+def without_repeats(docs, length=50):
+    """(n_bytes, n_removed, n_spans, sha of the rest) for (id, text) rows, in their order."""
+    last = float("inf")
+    first = {}
+    bodies = [(last if i is None else i, (t or "").encode()) for i, t in docs]
+    for i, body in bodies:
+        for j in range(len(body) - length + 1):
+            gram = body[j : j + length]
+            first[gram] = min(first.get(gram, last), i)
+    out = []
+    for i, body in bodies:
+        gone = [False] * len(body)
+        for j in range(len(body) - length + 1):
+            if first[body[j : j + length]] < i:
+                gone[j : j + length] = [True] * length
+        rest = bytes(c for c, g in zip(body, gone) if not g)
+        spans = sum(g and not (k and gone[k - 1]) for k, g in enumerate(gone))
+        out.append((len(body), sum(gone), spans, hashlib.sha256(rest).hexdigest()))
+    return out
+
+
+def repeated_words(docs, size=50):
+    """Per (id, text): the words in windows of ``size`` that another document has as well."""
+    holders = collections.defaultdict(set)
+    words = [ALNUM.findall(lower(t)) for _, t in docs]
+    for n, w in enumerate(words):
+        for j in range(len(w) - size + 1):
+            holders[tuple(w[j : j + size])].add(n)
+    return [{i for j in range(len(w) - size + 1) if len(holders[tuple(w[j : j + size])]) > 1 for i in range(j, j + size)} for w in words]

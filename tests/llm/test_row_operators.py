@@ -183,7 +183,7 @@ def test_quality_cutoffs(spark):
     rows += [(i, " ".join(f"w{j * i}###" for j in range(60)), "fr") for i in range(1260, 1270)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     labels = spark.createDataFrame([(i, int(i < 1200), 0) for i in range(1270)], "doc_id long, quality int, toxic int")
-    got = {r.doc_id: r.kept for r in quality_rules.quality_rules(docs, labels, ["doc_id"]).collect()}
+    got = {r.doc_id: r.kept for r in quality_rules.quality_rules(docs, labels, ["doc_id"]).select("row.doc_id", "kept").collect()}
     assert quality_rules.smallest_stratum(strata=2) <= 1200
     assert all(got[i] for i in range(1200))
     assert not any(got[i] for i in range(1200, 1260))
@@ -193,3 +193,12 @@ def test_quality_cutoffs(spark):
 def test_quality_without_rows(spark, no_documents):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert quality_rules.quality_rules(no_documents, labels, ["doc_id"]).count() == 0
+
+
+def test_quality_edges(spark, odd_documents):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(12)] + [(3, 0), (None, 1)], "doc_id long, quality int")
+    got = quality_rules.quality_rules(odd_documents, labels, odd_documents.columns).collect()
+    assert len(got) == odd_documents.count()
+    for r in got:
+        assert tuple(r[n] for n in NAMES) == quality_counts(r.row.text)
+        assert r.kept == (not r.base_failed)
