@@ -11,9 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orefold.operators.skew import aside, hot_keys, measure, set_aside
-from orefold.session import limit
-
-SALTS = 64
+from orefold.session import limit, stash
 
 
 def left_lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
@@ -21,9 +19,10 @@ def left_lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str
 
     Keeps every left row and, as any join does, repeats it per match. A right side
     too large to broadcast is searched for keys that repeat more often than one
-    task should take. Those are joined in ``SALTS`` parts: each right row belongs
-    to the part of the task that reads it, each left row of that key visits all
-    parts. Such keys have matches by definition, so an inner join is enough.
+    task should take. Those are joined in parts, as many as the hottest key needs:
+    each right row belongs to one of them by its place in a stored copy, wherever
+    it was before, and each left row of that key visits all parts. Such keys have
+    matches by definition, so an inner join is enough.
     """
     extra = [c for c in right.columns if c != right_key]
     clash = set(left.columns) & set(extra)
@@ -31,8 +30,9 @@ def left_lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str
         raise ValueError(f"columns on both sides: {sorted(clash)}")
     columns = [*left.columns, *extra]
     match = F.col(left_key) == F.col(aside(right_key))
+    # NULL keys match nothing, so what is measured is what is joined
     keyed = right.where(F.col(right_key).isNotNull())
-    right = set_aside(right, [right_key])
+    right = set_aside(keyed, [right_key])
     rows, size = measure(keyed)
     if size <= limit(left.sparkSession, "broadcastBytes"):
         return left.join(F.broadcast(right), match, "left").select(*columns)
@@ -44,14 +44,20 @@ def left_lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str
     hot = hot.select(F.col(right_key).alias("__hot"))
     left_is_hot, right_is_hot = F.col(left_key) == F.col("__hot"), F.col(right_key) == F.col("__hot")
     ordinary = left.join(hot, left_is_hot, "left_anti").join(right.join(hot, right_is_hot, "left_anti"), match, "left")
-    parts = right.withColumn("__part", F.spark_partition_id() % SALTS).join(hot, right_is_hot, "left_semi")
-    visits = left.join(hot, left_is_hot, "left_semi").withColumn(
-        "__visit", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    )
-    salted = visits.join(parts, match & (F.col("__visit") == F.col("__part")))
+    busy = stash(right.join(hot, right_is_hot, "left_semi"), "hot-rows")
+    parts = _parts(busy, right_key)
+    placed = busy.withColumn("__part", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts)).cast("int"))
+    visits = left.join(hot, left_is_hot, "left_semi").withColumn("__visit", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    salted = visits.join(placed, match & (F.col("__visit") == F.col("__part")))
     return ordinary.select(*columns).unionByName(salted.select(*columns))
 
 
+def _parts(busy: DataFrame, key: str) -> int:
+    """Parts of about ``hotGroupRows`` rows for the hottest key."""
+    hottest = busy.groupBy(key).agg(F.count("*").alias("__rows")).agg(F.max("__rows")).collect()[0][0] or 1
+    return max(2, -(-hottest // max(1, limit(busy.sparkSession, "hotGroupRows"))))
+
+
 def rows_used(df: DataFrame, key: str, users: DataFrame, user_key: str) -> DataFrame:
     """Rows whose key occurs among the users (``IN``).
 
@@ -79,7 +85,7 @@ def rows_not_in(df: DataFrame, key: str, listed: DataFrame, listed_key: str) ->
 
 def orphans(facts: DataFrame, fact_key: str, dimension: DataFrame, dimension_key: str) -> DataFrame:
     """Fact rows without a dimension row; a NULL key has none."""
-    keys = dimension.select(F.col(dimension_key).alias("__key"))
+    keys = dimension.select(F.col(dimension_key).alias("__key")).distinct()
     return facts.join(keys, F.col(fact_key) == F.col("__key"), "left_anti")
 
 

@@ -46,15 +46,13 @@ def number_rows(df: DataFrame, order: list[str], name: str) -> DataFrame:
     placed = sorted_rows(df, order).withColumn(_SEAT, F.monotonically_increasing_id())
     stored = stash(placed, "sorted")
     part = F.shiftright(F.col(_SEAT), _SEAT_BITS).cast("int")
-    # One row per written partition: bounded by the shuffle partition count.
-    sizes = {r["part"]: r["rows"] for r in stored.groupBy(part.alias("part")).agg(F.count("*").alias("rows")).collect()}
-    starts, total = [], 0
-    for p in range(max(sizes, default=-1) + 1):
-        starts.append(f"{total}L")
-        total += sizes.get(p, 0)
-    before = F.expr(f"array({', '.join(starts or ['0L'])})")
+    # One row per written partition, so the window and the broadcast hold a few numbers each.
+    sizes = stored.groupBy(part.alias("__part")).agg(F.count("*").alias("__rows"))
+    earlier = W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
+    before = sizes.select("__part", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__before"))
     seat = F.col(_SEAT).bitwiseAND(F.lit((1 << _SEAT_BITS) - 1))
-    return stored.withColumn(name, F.element_at(before, part + 1) + seat + 1).drop(_SEAT)
+    placed = stored.join(F.broadcast(before), part == F.col("__part"))
+    return placed.select(*df.columns, (F.col("__before") + seat + 1).alias(name))
 
 
 def surrogate_key(df: DataFrame, order: list[str], name: str) -> DataFrame:

@@ -91,17 +91,15 @@ def key_is_unique(dimension: DataFrame, key: str) -> bool:
 
 
 def fact_sales(
-    sales: DataFrame, products: DataFrame, customers: DataFrame, columns: Sequence[str] = tuple(SALES_NAMES)
+    sales: DataFrame, products: DataFrame, customers: DataFrame | None, columns: Sequence[str] = tuple(SALES_NAMES)
 ) -> DataFrame:
     """Sales lines with the keys of the current product version and the customer.
 
-    Only the business and surrogate key of a dimension enter the join. A dimension
-    whose key is not asked for is left out if its business key is unique: the
-    join would change nothing, but the planner cannot know and would shuffle all
-    sales for it.
+    Only the business and surrogate key of a dimension enter the join. The customer
+    lookup is left out if ``customers`` is None: for callers that do not ask for its
+    key and know that the business key is unique, so the join would change nothing.
     """
-    if "product_key" in columns or not key_is_unique(products, "product_number"):
-        sales = with_product_key(sales, products)
-    if "customer_key" in columns or not key_is_unique(customers, "customer_id"):
+    sales = with_product_key(sales, products)
+    if customers is not None:
         sales = with_customer_key(sales, customers)
     return renamed(sales, {name: SALES_NAMES[name] for name in columns})

@@ -52,6 +52,7 @@ class Warehouse:
                 if layer != "gold" or table in GOLD_TABLES:
                     self._create_table(self.name(layer, table), columns, self._folder(layer, table, "empty"))
         self._create_table(self.name("audit", "run_log"), schemas.RUN_LOG, f"{self.root}/audit/run_log")
+        self._create_table(self.name("audit", "rejected_lines"), schemas.REJECTED_LINES, f"{self.root}/audit/rejected_lines")
 
     def _folder(self, layer: str, table: str, run: str) -> str:
         return f"{self.root}/{layer}/{table}/run-{run}"
@@ -62,41 +63,55 @@ class Warehouse:
     def replace(self, layer: str, table: str, df: DataFrame, run_id: str) -> int:
         """Full refresh; returns the row count, taken while writing.
 
-        The rows go to a folder of their own through a table of the declared
-        types, which refuses values that do not fit. Only then does the real
-        table point to the new folder, so readers see the old or the new rows,
-        and a failed load leaves the old ones.
+        The rows go to a folder of their own, new for every attempt, through a table
+        of the declared types, which refuses values that do not fit. Only then does
+        the real table point to the new folder, so readers see the old or the new
+        rows. A failed attempt leaves the old ones and takes its folder away.
         """
         target = self.name(layer, table)
-        loading = f"{target}__{run_id}"
-        folder = self._folder(layer, table, run_id)
+        attempt = f"{run_id}-{uuid.uuid4().hex}"
+        loading = f"{target}__{uuid.uuid4().hex}"
+        folder = self._folder(layer, table, attempt)
         columns = schemas.TABLES[layer][table]
         self._create_table(loading, columns, folder)
         try:
             seen = Observation()
             rows = df.select(*columns).observe(seen, F.count(F.lit(1)).alias("rows"))
             rows.write.insertInto(loading)
-        finally:
-            # The files stay: the table is external.
-            self.spark.sql(f"DROP TABLE {loading}")
+        except BaseException:
+            self._drop(loading)
+            files, path = hadoop_path(self.spark, folder)
+            files.delete(path, True)
+            raise
+        self._drop(loading)
         self.spark.sql(f"ALTER TABLE {target} SET LOCATION '{folder}'")
         self.spark.catalog.refreshTable(target)
         return seen.get["rows"]
 
+    def _drop(self, name: str) -> None:
+        """The files stay: the table is external."""
+        self.spark.sql(f"DROP TABLE {name}")
+
     def expire(self, layer: str, table: str, keep: int = 1) -> int:
-        """Delete the files of older runs; returns how many runs went.
+        """Delete the files of older runs; returns how many folders went.
 
-        The current rows stay, and those of ``keep`` earlier runs for readers that
-        began before the last refresh.
+        The live rows stay, and those of the ``keep`` last other runs that the log
+        knows as loaded, for readers that began before the last refresh. The order is
+        the log's, since stores need not keep times of folders.
         """
         details = self.spark.sql(f"DESCRIBE FORMATTED {self.name(layer, table)}").where("col_name = 'Location'")
-        files, current = hadoop_path(self.spark, details.first().data_type)
-        runs = [s for s in files.listStatus(current.getParent()) if s.getPath().getName().startswith("run-")]
-        older = [s for s in runs if s.getPath().getName() != current.getName()]
-        older.sort(key=lambda s: s.getModificationTime(), reverse=True)
-        for status in older[keep:]:
-            files.delete(status.getPath(), True)
-        return len(older[keep:])
+        files, live = hadoop_path(self.spark, details.first().data_type)
+        folders = [s.getPath() for s in files.listStatus(live.getParent()) if s.getPath().getName().startswith("run-")]
+        log = self.table("audit", "run_log").where((F.col("layer") == layer) & (F.col("table_name") == table) & (F.col("status") == "loaded"))
+        # one row per run of this table that still has a folder, at most as many as there are folders
+        runs = {p.getName().removeprefix("run-").rpartition("-")[0] for p in folders} - {""}
+        last = log.where(F.col("run_id").isin(*runs)).groupBy("run_id").agg(F.max("ended_at").alias("at")).orderBy(F.desc("at")).collect() if runs else []
+        current = live.getName().removeprefix("run-").rpartition("-")[0]
+        kept = [r.run_id for r in last if r.run_id != current][:keep]
+        gone = [p for p in folders if p.getName() != live.getName() and p.getName().removeprefix("run-").rpartition("-")[0] not in kept]
+        for path in gone:
+            files.delete(path, True)
+        return len(gone)
 
     def log(self, entries: list[tuple]) -> None:
         """Append one entry per loaded table to the run log."""
@@ -104,30 +119,31 @@ class Warehouse:
         frame.coalesce(1).write.insertInto(self.name("audit", "run_log"))
 
 
-def _run(warehouse: Warehouse, layer: str, steps: Mapping[str, Callable[[], DataFrame]], run_id: str) -> DataFrame:
-    """Refresh tables in order and log each; the first failure is logged and raised."""
-    entries = []
-    try:
-        for table, build in steps.items():
-            started = _now()
-            rows, failure = None, None
-            try:
-                rows = warehouse.replace(layer, table, build(), run_id)
-            except Exception as error:
-                failure = error
-                raise
-            finally:
-                ended = _now()
-                known = isinstance(failure, PySparkException)
-                entries.append((
-                    run_id, layer, table, started, ended, int((ended - started).total_seconds()), rows,
-                    "failed" if failure else "loaded",
-                    (known and failure.getCondition()) or (type(failure).__name__ if failure else None),
-                    failure.getSqlState() if known else None,
-                    str(failure) if failure else None,
-                ))
-    finally:
-        warehouse.log(entries)
+def _run(warehouse: Warehouse, layer: str, steps: Mapping[str, Callable[[], DataFrame]], run_id: str, rejected: Callable[[str], int] | None = None) -> DataFrame:
+    """Refresh tables in order; the first failure is raised.
+
+    Each table is logged as soon as it is done, so a driver that dies leaves a trace
+    of what is already live.
+    """
+    for table, build in steps.items():
+        started = _now()
+        rows, failure = None, None
+        try:
+            rows = warehouse.replace(layer, table, build(), run_id)
+        except Exception as error:
+            failure = error
+            raise
+        finally:
+            ended = _now()
+            known = isinstance(failure, PySparkException)
+            warehouse.log([(
+                run_id, layer, table, started, ended, int((ended - started).total_seconds()), rows,
+                rejected(table) if rejected and not failure else None,
+                "failed" if failure else "loaded",
+                (known and failure.getCondition()) or (type(failure).__name__ if failure else None),
+                failure.getSqlState() if known else None,
+                str(failure) if failure else None,
+            )])
     return run_log(warehouse, run_id)
 
 
@@ -140,17 +156,23 @@ def load_bronze(
 ) -> DataFrame:
     """Load the six extracts as they are; returns the run's log.
 
-    A malformed line fails the load, unless ``max_rejects`` allows some: those
-    lines are then left out.
+    A malformed line fails the load, unless ``max_rejects`` allows some: those lines
+    go to ``audit.rejected_lines``, and the log has their number beside the rows'.
     """
+    counts: dict[str, int] = {}
 
     def read(table: str) -> DataFrame:
         columns = schemas.BRONZE[table]
         if max_rejects is None:
             return read_feed(warehouse.spark, paths[table], columns)
-        return read_feed_tolerant(warehouse.spark, paths[table], columns, max_rejects)[0]
-
-    return _run(warehouse, "bronze", {t: lambda t=t: read(t) for t in BRONZE_ORDER}, run_id)
+        good, rejected = read_feed_tolerant(warehouse.spark, paths[table], columns, max_rejects)
+        seen = Observation()
+        lines = rejected.select(F.lit(run_id).alias("run_id"), F.lit(table).alias("table_name"), "rejected_line")
+        lines.observe(seen, F.count(F.lit(1)).alias("lines")).write.insertInto(warehouse.name("audit", "rejected_lines"))
+        counts[table] = seen.get["lines"]
+        return good
+
+    return _run(warehouse, "bronze", {t: lambda t=t: read(t) for t in BRONZE_ORDER}, run_id, lambda t: counts.get(t, 0))
 
 
 def with_load_time(df: DataFrame, run_ts: dt.datetime) -> DataFrame:

@@ -22,7 +22,7 @@ def _check(source: str, plan, sql: str):
 
 
 def _lines(plan, sql: str):
-    return lambda lake: plan(lake.lines), sql.format(t="raw_sales")
+    return lambda lake: plan(lake.raw("crm_sales_details")), sql.format(t="raw_sales")
 
 
 def _values(source: str, column: str):
@@ -73,12 +73,13 @@ QUERIES = {
         "SELECT prd_id, count(*) AS record_count FROM {t} GROUP BY prd_id HAVING prd_id IS NULL OR record_count > 1",
     ),
     "d06_unknown_categories": (
-        lambda lake: q.products_without_category(lake.raw("crm_prd_info"), lake.raw("erp_px_cat_g1v2")),
-        f"SELECT *, {o.CAT_ID} AS cat_id FROM raw_prd WHERE {o.CAT_ID} NOT IN (SELECT id FROM raw_cat)",
+        # the id that is missing has a check of its own; left in, it would hide every finding of this one
+        lambda lake: q.products_without_category(lake.raw("crm_prd_info"), lake.raw("erp_px_cat_g1v2").where("id IS NOT NULL")),
+        f"SELECT *, {o.CAT_ID} AS cat_id FROM raw_prd WHERE {o.CAT_ID} NOT IN (SELECT id FROM raw_cat WHERE id IS NOT NULL)",
     ),
     "d06_null_category_ids": _check("cat", q.null_category_ids, "SELECT * FROM {t} WHERE id IS NULL"),
     "d07_products_sold": (
-        lambda lake: q.products_sold(lake.raw("crm_prd_info"), lake.lines),
+        lambda lake: q.products_sold(lake.raw("crm_prd_info"), lake.raw("crm_sales_details")),
         f"""SELECT *, {o.CAT_ID} AS cat_id, {o.PRD_NUM} AS product_number FROM raw_prd
             WHERE {o.PRD_NUM} IN (SELECT sls_prd_key FROM raw_sales)""",
     ),

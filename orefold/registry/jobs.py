@@ -9,8 +9,10 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from orefold import schemas
+from orefold.plans import silver
 from orefold.plans import warehouse as w
 from orefold.registry.lake import AS_OF, Lake
 from orefold.session import scratch_path
@@ -44,7 +46,67 @@ def _log(lake: Lake, layer: str) -> DataFrame:
 
 
 def _stored(lake: Lake, layer: str, table: str) -> DataFrame:
-    return _loaded(lake, layer)[0].table(layer, table).drop(schemas.AUDIT_COLUMN)
+    """One stored table; below the star schema only its own feed is loaded for it."""
+    if layer == "gold":
+        return _loaded(lake, layer)[0].table(layer, table)
+    house = w.Warehouse(lake.spark, scratch_path(lake.spark, "warehouse"), f"run_{w.new_run_id()}_")
+    house.create()
+    path = scratch_path(lake.spark, "feed")
+    write_feed(lake.raw(table), path)
+    house.replace("bronze", table, read_feed(lake.spark, path, schemas.BRONZE[table]), "run")
+    if layer == "silver":
+        cleaned = silver.clean(table, house.table("bronze", table), AS_OF)
+        house.replace("silver", table, w.with_load_time(cleaned, RUN_TS), "run")
+    return house.table(layer, table).drop(schemas.AUDIT_COLUMN)
+
+
+def _reloaded(lake: Lake) -> DataFrame:
+    """The raw sales after loading them twice under one run id."""
+    house = w.Warehouse(lake.spark, scratch_path(lake.spark, "warehouse"), f"run_{w.new_run_id()}_")
+    house.create()
+    for _ in range(2):
+        house.replace("bronze", "crm_sales_details", lake.raw("crm_sales_details"), "same-run")
+    return house.table("bronze", "crm_sales_details")
+
+
+# Customers whose line is made unreadable in the tests of tolerant and failed loads.
+_BROKEN = "c_custkey % 17 = 0"
+
+
+def _broken_extract(lake: Lake) -> str:
+    """An extract of customer locations in which some keys are followed by a date that is none."""
+    path = scratch_path(lake.spark, "broken")
+    lines = lake.feeds.source("customer").selectExpr(
+        "concat('K', c_custkey) AS cid", f"if({_BROKEN}, 'no date', '1970-01-01') AS bdate", "c_mktsegment AS gen"
+    )
+    write_feed(lines, path)
+    return path
+
+
+def _rejected(lake: Lake) -> DataFrame:
+    """The stored rejected lines of a tolerant load, and the count in its log."""
+    house = w.Warehouse(lake.spark, scratch_path(lake.spark, "warehouse"), f"run_{w.new_run_id()}_")
+    house.create()
+    paths = {**write_feeds(lake, scratch_path(lake.spark, "feeds")), "erp_cust_az12": _broken_extract(lake)}
+    w.load_bronze(house, paths, "tolerant", max_rejects=1 << 40)
+    logged = w.run_log(house, "tolerant").select("table_name", "rejected_count")
+    lines = house.table("audit", "rejected_lines").select("table_name", "rejected_line")
+    return lines.join(logged, "table_name")
+
+
+def _failed(lake: Lake) -> DataFrame:
+    """The log of a load that fails on purpose, and the rows the table keeps."""
+    house = w.Warehouse(lake.spark, scratch_path(lake.spark, "warehouse"), f"run_{w.new_run_id()}_")
+    house.create()
+    house.replace("bronze", "erp_cust_az12", lake.raw("erp_cust_az12"), "good")
+    paths = {**write_feeds(lake, scratch_path(lake.spark, "feeds")), "erp_cust_az12": _broken_extract(lake)}
+    try:
+        w.load_bronze(house, paths, "bad")
+    except Exception:
+        pass  # the load has to fail; what it leaves behind is the result
+    kept = house.table("bronze", "erp_cust_az12").agg(F.count("*").alias("kept_rows"))
+    log = w.run_log(house, "bad").select("table_name", "status", F.col("error_class").isNotNull().alias("has_error"))
+    return log.join(F.broadcast(kept))
 
 
 def _csv_sales(lake: Lake) -> DataFrame:
@@ -82,9 +144,36 @@ _CLEAN = {
     "erp_px_cat_g1v2": "raw_cat",
 }
 
+# An empty field of an extract is read as NULL.
+_AS_READ = {
+    "crm_cust_info": "REPLACE (nullif(cst_gndr, '') AS cst_gndr)",
+    "erp_loc_a101": "REPLACE (nullif(cntry, '') AS cntry)",
+    "erp_cust_az12": "REPLACE (nullif(gen, '') AS gen)",
+}
+
 QUERIES = {
     "p03_csv_scan": (_csv_sales, "SELECT * FROM raw_sales"),
+    "p03_rejected_lines": (
+        _rejected,
+        f"""SELECT 'erp_cust_az12' AS table_name, 'K' || c_custkey || ',no date,' || c_mktsegment AS rejected_line,
+                   count(*) OVER () AS rejected_count FROM customer WHERE {_BROKEN}""",
+    ),
+    "p04_reload": (_reloaded, "SELECT * FROM raw_sales"),
+    **{
+        f"p04_stored_{table}": (lambda lake, t=table: _stored(lake, "bronze", t), f"SELECT * {_AS_READ.get(table, '')} FROM {name}")
+        for table, name in _RAW.items()
+    },
+    **{
+        f"p05_stored_{table}": (lambda lake, t=table: _stored(lake, "silver", t), f"SELECT * FROM {name}")
+        for table, name in _CLEAN.items()
+    },
     "p05_stored_customers": (lambda lake: _stored(lake, "silver", "crm_cust_info"), "SELECT * FROM cln_cust"),
+    "p13_failed_load": (
+        _failed,
+        """SELECT table_name, status, status = 'failed' AS has_error, (SELECT count(*) FROM raw_az12) AS kept_rows
+           FROM (VALUES ('crm_cust_info', 'loaded'), ('crm_prd_info', 'loaded'), ('crm_sales_details', 'loaded'),
+                        ('erp_loc_a101', 'loaded'), ('erp_cust_az12', 'failed')) AS v(table_name, status)""",
+    ),
     "p06_load_time": (
         lambda lake: w.with_load_time(lake.clean("erp_loc_a101"), RUN_TS),
         f"SELECT *, TIMESTAMP '{RUN_TS}' AS dwh_create_date FROM cln_loc",

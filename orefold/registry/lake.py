@@ -28,11 +28,6 @@ class Lake:
     def clean(self, table: str) -> DataFrame:
         return silver.clean(table, self.raw(table), AS_OF)
 
-    @property
-    def lines(self) -> DataFrame:
-        """Raw sales without the columns that come from orders."""
-        return self.feeds.sales_lines()
-
     @cached_property
     def customers(self) -> DataFrame:
         return gold.dim_customers(
@@ -43,14 +38,23 @@ class Lake:
     def products(self) -> DataFrame:
         return gold.dim_products(self.clean("crm_prd_info"), self.clean("erp_px_cat_g1v2"))
 
-    @cached_property
+    @property
     def facts(self) -> DataFrame:
-        products, customers = at_once(self.spark, lambda: self.products, lambda: self.customers)
-        return gold.fact_sales(self.clean("crm_sales_details"), products, customers)
+        return self.fact_columns(*gold.SALES_NAMES)
+
+    @cached_property
+    def one_row_per_customer(self) -> bool:
+        """Whether a customer id occurs once in the dimension.
+
+        It does before the lookups (one record per id is kept), so only the keys of
+        the two ERP tables need counting, not the dimension.
+        """
+        return all(gold.key_is_unique(self.clean(t), "cid") for t in ("erp_cust_az12", "erp_loc_a101"))
 
     def fact_columns(self, *columns: str) -> DataFrame:
-        """Some columns of the fact, without the joins that only the others need."""
-        at_once(self.spark, lambda: self.products, lambda: self.customers)
-        alone = not {"customer_key", "order_date"} & set(columns) and gold.key_is_unique(self.customers, "customer_id")
-        sales = silver.sales(self.lines) if alone else self.clean("crm_sales_details")
-        return gold.fact_sales(sales, self.products, self.customers, columns)
+        """Some columns of the fact, without the customer lookup where it changes nothing."""
+        if "customer_key" in columns or not self.one_row_per_customer:
+            products, customers = at_once(self.spark, lambda: self.products, lambda: self.customers)
+        else:
+            products, customers = self.products, None
+        return gold.fact_sales(self.clean("crm_sales_details"), products, customers, columns)

@@ -83,8 +83,8 @@ EXPRESSIONS = {
                DATE '2025-10-06' + {_int('c_custkey % 100 + version')} AS cst_create_date
         FROM customer, unnest(if(c_custkey % 10 = 0, [0, 1], [0])) AS u(version)""",
     "raw_prd": f"""
-        SELECT {_int('p_partkey')} AS prd_id,
-               ['AC-BR', 'AC-HE', 'BI-MB', 'CL-CA', 'CO-RF', 'CO-PE', 'CO-WH'][p_partkey // 3 % 7 + 1]
+        SELECT if(p_partkey % 83 = 0, NULL, {_int('p_partkey')}) AS prd_id,
+               ['AC-BR', 'AC-HE', 'BI-MB', 'CL-CA', 'CO-RF', 'CO-PE', 'CO-WH'][(p_partkey // 3 + again) % 7 + 1]
                    || '-P' || {_padded('p_partkey // 3', 6)} AS prd_key,
                p_name AS prd_nm,
                if(p_partkey % 50 = 0, NULL, {_int('floor(p_retailprice)')}) AS prd_cost,
@@ -92,29 +92,30 @@ EXPRESSIONS = {
                CAST(DATE '2011-07-01' + {_int('p_partkey % 3 * 365')} AS TIMESTAMP) AS prd_start_dt,
                if(p_partkey % 3 = 2, NULL,
                   CAST(DATE '2011-07-01' + {_int('p_partkey % 3 * 365 - 1000')} AS TIMESTAMP)) AS prd_end_dt
-        FROM part""",
+        FROM part, unnest(if(p_partkey % 101 = 0, [0, 1], [0])) AS u(again)""",
     "lines": f"""
-        SELECT *, l_orderkey % 20 AS kind, {_int('l_quantity')} AS units,
+        SELECT *, l_orderkey % 20 AS kind, l_partkey % 100 AS spot, {_int('l_quantity')} AS units,
+               CAST(l_shipdate AS DATE) + {_int('l_orderkey % 15 - 5')} AS due,
                {_int('floor(l_extendedprice)')} AS whole, {_int('floor(l_extendedprice / l_quantity)')} AS each
         FROM lineitem""",
     "raw_sales": f"""
         SELECT 'SO' || CAST(o_orderkey AS VARCHAR) AS sls_ord_num,
-               'P' || {_padded('l_partkey // 3', 6)} AS sls_prd_key,
+               if(spot = 17, 'P-UNKNOWN', 'P' || {_padded('l_partkey // 3', 6)}) AS sls_prd_key,
                {_int('o_custkey')} AS sls_cust_id,
                {_int(f'''CASE 0 WHEN o_orderkey % 50 THEN 0 WHEN o_orderkey % 53 THEN 5489
                     WHEN o_orderkey % 59 THEN 20130229 ELSE {_ymd('o_orderdate')} END''')} AS sls_order_dt,
-               {_int(_ymd('l_shipdate'))} AS sls_ship_dt,
-               {_int(_ymd('l_shipdate'))} AS sls_due_dt,
+               {_int(f"CASE spot WHEN 23 THEN 0 WHEN 29 THEN 20999 ELSE {_ymd('l_shipdate')} END")} AS sls_ship_dt,
+               {_int(f"CASE spot WHEN 31 THEN 21001231 WHEN 37 THEN NULL ELSE {_ymd('due')} END")} AS sls_due_dt,
                CASE kind WHEN 1 THEN NULL WHEN 2 THEN 0 WHEN 3 THEN -whole WHEN 8 THEN -whole
                     WHEN 4 THEN whole + 1 ELSE units * each END AS sls_sales,
-               units AS sls_quantity,
+               CASE spot WHEN 41 THEN 0 WHEN 43 THEN NULL ELSE units END AS sls_quantity,
                CASE kind WHEN 5 THEN NULL WHEN 6 THEN 0 WHEN 7 THEN -each WHEN 8 THEN -each ELSE each END AS sls_price
         FROM lines JOIN orders ON o_orderkey = l_orderkey""",
     "raw_az12": f"""
         SELECT if(c_custkey % 3 = 0, 'NAS', '') || 'AW' || {_padded('c_custkey', 8)} AS cid,
                DATE '1920-01-01' + {_int('c_custkey * 527 % 40000')} AS bdate,
                ['F', 'Female', ' male', 'M', '', NULL][c_custkey % 6 + 1] AS gen
-        FROM customer WHERE c_custkey % 13 <> 0""",
+        FROM customer, unnest(if(c_custkey % 79 = 0, [0, 1], [0])) AS u(again) WHERE c_custkey % 13 <> 0""",
     "raw_loc": f"""
         SELECT 'AW-' || {_padded('c_custkey', 8)} AS cid,
                CASE c_nationkey WHEN 0 THEN 'DE' WHEN 1 THEN 'US ' WHEN 2 THEN 'USA' WHEN 3 THEN ''
@@ -126,7 +127,11 @@ EXPRESSIONS = {
                      (2, 'BI_MB', 'Bikes', 'Mountain Bikes', 'Yes'), (3, 'CL_CA', 'Clothing', 'Caps', 'No'),
                      (4, 'CO_RF', 'Components', 'Road Frames', 'Yes'), (5, 'CO_PD', 'Components', 'Pedals', 'No'),
                      (6, 'CO_WH', 'Components', 'Wheels', 'Yes')) AS v(family, id, cat, subcat, maintenance)
-        WHERE family IN (SELECT p_partkey // 3 % 7 FROM part)""",
+        WHERE family IN (SELECT p_partkey // 3 % 7 FROM part)
+        UNION ALL
+        SELECT if(p_size % 50 = 7, NULL, 'X' || replace(p_brand, 'Brand#', '') || '_' || p_size),
+               p_brand || if(p_size % 9 = 0, ' ', ''), 'Size ' || p_size, if(p_size % 2 = 0, 'Yes', 'No')
+        FROM (SELECT DISTINCT p_brand, p_size FROM part)""",
     "newest_cust": f"SELECT DISTINCT ON (cst_id) * FROM raw_cust WHERE cst_id IS NOT NULL ORDER BY cst_id, {CUST_TIES}",
     "cln_cust": f"""
         SELECT * REPLACE (trim(cst_firstname) AS cst_firstname, trim(cst_lastname) AS cst_lastname,
@@ -150,7 +155,7 @@ EXPRESSIONS = {
                a.bdate AS birthdate, cst_create_date AS create_date
         FROM cln_cust LEFT JOIN cln_az12 a ON a.cid = cst_key LEFT JOIN cln_loc l ON l.cid = cst_key""",
     "dim_prd": f"""
-        SELECT {_int('row_number() OVER (ORDER BY prd_start_dt NULLS FIRST, prd_key NULLS FIRST, prd_id NULLS FIRST)')} AS product_key,
+        SELECT {_int('row_number() OVER (ORDER BY prd_start_dt NULLS FIRST, prd_key NULLS FIRST, prd_id NULLS FIRST, prd_nm NULLS FIRST, cat_id NULLS FIRST)')} AS product_key,
                prd_id AS product_id, prd_key AS product_number, prd_nm AS product_name, cat_id AS category_id,
                cat AS category, subcat AS subcategory, maintenance, prd_cost AS cost, prd_line AS product_line,
                prd_start_dt AS start_date

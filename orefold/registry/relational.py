@@ -52,7 +52,7 @@ QUERIES = {
     # Projections and filters.
     "f01_projection": (lambda lake: _az12(lake).select("cid", "bdate", "gen"), "SELECT cid, bdate, gen FROM raw_az12"),
     "f02_rename": (
-        lambda lake: gold.renamed(lake.lines, {"order_number": "sls_ord_num", "quantity": "sls_quantity", "price": "sls_price"}),
+        lambda lake: gold.renamed(lake.raw("crm_sales_details"), {"order_number": "sls_ord_num", "quantity": "sls_quantity", "price": "sls_price"}),
         "SELECT sls_ord_num AS order_number, sls_quantity AS quantity, sls_price AS price FROM raw_sales",
     ),
     "f03_all_plus_computed": (
@@ -68,15 +68,15 @@ QUERIES = {
         "SELECT sls_ord_num, sls_order_dt FROM raw_sales WHERE sls_order_dt > 20000101",
     ),
     "f06_compare_columns": (
-        lambda lake: lake.lines.where(F.col("sls_sales") != F.col("sls_quantity") * F.col("sls_price")),
-        "SELECT * EXCLUDE (sls_cust_id, sls_order_dt) FROM raw_sales WHERE sls_sales <> sls_quantity * sls_price",
+        lambda lake: lake.raw("crm_sales_details").where(F.col("sls_sales") != F.col("sls_quantity") * F.col("sls_price")),
+        "SELECT * FROM raw_sales WHERE sls_sales <> sls_quantity * sls_price",
     ),
     "f07_is_null": (
-        lambda lake: lake.lines.where(F.col("sls_sales").isNull() & F.col("sls_price").isNotNull()).select("sls_ord_num", "sls_price"),
+        lambda lake: lake.raw("crm_sales_details").where(F.col("sls_sales").isNull() & F.col("sls_price").isNotNull()).select("sls_ord_num", "sls_price"),
         "SELECT sls_ord_num, sls_price FROM raw_sales WHERE sls_sales IS NULL AND sls_price IS NOT NULL",
     ),
     "f08_three_valued_or": (
-        lambda lake: lake.lines.where((F.col("sls_sales") <= 0) | (F.col("sls_price") <= 0) | F.col("sls_price").isNull())
+        lambda lake: lake.raw("crm_sales_details").where((F.col("sls_sales") <= 0) | (F.col("sls_price") <= 0) | F.col("sls_price").isNull())
         .select("sls_ord_num", "sls_sales", "sls_price"),
         "SELECT sls_ord_num, sls_sales, sls_price FROM raw_sales WHERE sls_sales <= 0 OR coalesce(sls_price, 0) <= 0",
     ),
@@ -115,7 +115,7 @@ QUERIES = {
         "SELECT cln_prd.*, cat, subcat, maintenance FROM cln_prd LEFT JOIN raw_cat ON id = cat_id",
     ),
     "j04_product_key": (
-        lambda lake: gold.with_product_key(lake.lines.select("sls_ord_num", "sls_prd_key"), lake.products),
+        lambda lake: gold.with_product_key(lake.raw("crm_sales_details").select("sls_ord_num", "sls_prd_key"), lake.products),
         "SELECT sls_ord_num, sls_prd_key, product_key FROM raw_sales LEFT JOIN dim_prd ON product_number = sls_prd_key",
     ),
     "j05_customer_key": (
@@ -127,17 +127,17 @@ QUERIES = {
         "SELECT sls_ord_num, sls_cust_id FROM raw_sales WHERE NOT EXISTS (SELECT 1 FROM raw_cust WHERE cst_id = sls_cust_id)",
     ),
     "j07_orphans_by_product": (
-        lambda lake: orphans(lake.lines.select("sls_ord_num", "sls_prd_key"), "sls_prd_key",
+        lambda lake: orphans(lake.raw("crm_sales_details").select("sls_ord_num", "sls_prd_key"), "sls_prd_key",
                              lake.products.where(F.col("category").isNotNull()), "product_number"),
         """SELECT sls_ord_num, sls_prd_key FROM raw_sales WHERE NOT EXISTS
            (SELECT 1 FROM dim_prd WHERE product_number = sls_prd_key AND category IS NOT NULL)""",
     ),
     "j08_not_in": (
-        lambda lake: rows_not_in(lake.clean("crm_prd_info").select("prd_id", "cat_id"), "cat_id", _cat(lake), "id"),
-        "SELECT prd_id, cat_id FROM cln_prd WHERE cat_id NOT IN (SELECT id FROM raw_cat)",
+        lambda lake: rows_not_in(lake.clean("crm_prd_info").select("prd_id", "cat_id"), "cat_id", _cat(lake).where("id IS NOT NULL"), "id"),
+        "SELECT prd_id, cat_id FROM cln_prd WHERE cat_id NOT IN (SELECT id FROM raw_cat WHERE id IS NOT NULL)",
     ),
     "j09_in": (
-        lambda lake: rows_used(lake.clean("crm_prd_info").select("prd_id", "prd_key"), "prd_key", lake.lines, "sls_prd_key"),
+        lambda lake: rows_used(lake.clean("crm_prd_info").select("prd_id", "prd_key"), "prd_key", lake.raw("crm_sales_details"), "sls_prd_key"),
         "SELECT prd_id, prd_key FROM cln_prd WHERE prd_key IN (SELECT sls_prd_key FROM raw_sales)",
     ),
     "j10_computed_key": (
@@ -167,11 +167,11 @@ QUERIES = {
         f"SELECT bdate FROM raw_az12 WHERE bdate NOT BETWEEN DATE '1924-01-01' AND {o.LITERAL_AS_OF} GROUP BY ALL",
     ),
     "a07_distinct_measures": (
-        lambda lake: lake.lines.select("sls_sales", "sls_quantity", "sls_price").distinct(),
+        lambda lake: lake.raw("crm_sales_details").select("sls_sales", "sls_quantity", "sls_price").distinct(),
         "SELECT sls_sales, sls_quantity, sls_price FROM raw_sales GROUP BY ALL",
     ),
     "a08_distinct_computed": (
-        lambda lake: lake.lines.select(*[v.alias(k) for k, v in silver.sales_measures().items()]).distinct(),
+        lambda lake: lake.raw("crm_sales_details").select(*[v.alias(k) for k, v in silver.sales_measures().items()]).distinct(),
         f"SELECT {o.GOOD_SALES} AS sls_sales, {o.GOOD_PRICE} AS sls_price FROM raw_sales GROUP BY 1, 2",
     ),
     # Windows.
@@ -197,13 +197,13 @@ QUERIES = {
     ),
     "o02_three_columns": (
         lambda lake: sorted_rows(
-            lake.lines.select("sls_sales", "sls_quantity", "sls_price"), ["sls_sales", "sls_quantity", "sls_price"]
+            lake.raw("crm_sales_details").select("sls_sales", "sls_quantity", "sls_price"), ["sls_sales", "sls_quantity", "sls_price"]
         ),
         "SELECT sls_sales, sls_quantity, sls_price FROM raw_sales ORDER BY ALL NULLS FIRST",
     ),
     "o03_output_alias": (
         lambda lake: sorted_rows(
-            lake.lines.select("sls_ord_num", silver.sales_measures()["sls_price"].alias("sls_price")),
+            lake.raw("crm_sales_details").select("sls_ord_num", silver.sales_measures()["sls_price"].alias("sls_price")),
             ["sls_price", "sls_ord_num"],
         ),
         f"SELECT sls_ord_num, {o.GOOD_PRICE} AS sls_price FROM raw_sales ORDER BY 2 NULLS FIRST, 1",

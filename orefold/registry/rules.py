@@ -22,7 +22,7 @@ _INPUTS = {
     "cust": ("raw_cust", lambda lake: lake.raw("crm_cust_info"), ["cst_key", "cst_create_date"]),
     "prd": ("raw_prd", lambda lake: lake.raw("crm_prd_info"), ["prd_id"]),
     "sales": ("raw_sales", lambda lake: lake.raw("crm_sales_details"), ["sls_ord_num", "sls_cust_id"]),
-    "lines": ("raw_sales", lambda lake: lake.lines, ["sls_ord_num", "sls_prd_key"]),
+    "lines": ("raw_sales", lambda lake: lake.raw("crm_sales_details"), ["sls_ord_num", "sls_prd_key"]),
     "az12": ("raw_az12", lambda lake: lake.raw("erp_cust_az12"), ["cid"]),
     "loc": ("raw_loc", lambda lake: lake.raw("erp_loc_a101"), ["cid"]),
 }

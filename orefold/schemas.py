@@ -126,12 +126,19 @@ RUN_LOG = {
     "ended_at": "timestamp",
     "seconds": "int",
     "row_count": "bigint",
+    "rejected_count": "bigint",
     "status": "note",
     "error_class": "note",
     "error_state": "note",
     "error_message": "note",
 }
 
+REJECTED_LINES = {
+    "run_id": "note",
+    "table_name": "note",
+    "rejected_line": "note",
+}
+
 TABLES = {"bronze": BRONZE, "silver": SILVER, "gold": GOLD}
 
 

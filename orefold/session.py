@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -27,6 +28,7 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64MB",
     # Where every partition of a lookup side is small enough to hash, the other
     # side need not be sorted for the join.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
@@ -35,12 +37,28 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "orefold", master: str | None = None, **extra: str) -> SparkSession:
-    """A session with the settings the jobs expect; ``extra`` wins over them."""
+# Bytes of a shuffle that one partition should carry.
+PARTITION_BYTES = 64 << 20
+# Largest shuffle a session expects unless told otherwise.
+SHUFFLE_BYTES = 256 << 30
+
+
+def build_session(app: str = "orefold", master: str | None = None, shuffle_bytes: int = SHUFFLE_BYTES, **extra: str) -> SparkSession:
+    """A session with the settings the jobs expect; ``extra`` wins over them.
+
+    Adaptive execution merges small shuffle partitions but never makes more of them,
+    so shuffles start with one per ``PARTITION_BYTES`` of ``shuffle_bytes``, the
+    size of the largest shuffle to come. A number of shuffle partitions in ``extra``
+    replaces that.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **extra}.items():
+    settings = {**SETTINGS, **extra}
+    if "spark.sql.shuffle.partitions" not in extra:
+        wide = str(max(1, -(-shuffle_bytes // PARTITION_BYTES)))
+        settings = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": wide, **settings}
+    for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -67,7 +85,7 @@ def scratch_folder(spark: SparkSession) -> str:
         return shared.rstrip("/")
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="orefold-"))
     return context.getCheckpointDir().rstrip("/")

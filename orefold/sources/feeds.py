@@ -22,9 +22,6 @@ CATEGORY_COLUMNS = {
     "maintenance": ("Yes", "Yes", "Yes", "No", "Yes", "No", "Yes"),
 }
 
-_ORDER_COLUMNS = ("sls_cust_id", "sls_order_dt")
-
-
 def _pick(number: Column, *values) -> Column:
     """``values[number]``; NULL past the end."""
     return F.get(F.array(*[v if isinstance(v, Column) else F.lit(v) for v in values]), number.cast("int"))
@@ -78,9 +75,11 @@ class Feeds:
         key = F.col("p_partkey")
         family = _family(key)
         start = F.date_add(F.lit("2011-07-01").cast("date"), ((key % 3) * 365).cast("int"))
-        return self.source("part").select(
-            key.alias("prd_id"),
-            F.concat(_pick(family % 7, *KEY_PREFIXES), F.lit("-P"), _padded(family, 6)).alias("prd_key"),
+        # some versions are delivered twice, the second time under the key of another category
+        copies = F.when(key % 101 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+        return self.source("part").withColumn("copy", F.explode(copies)).select(
+            F.when(key % 83 != 0, key).alias("prd_id"),
+            F.concat(_pick((family + F.col("copy")) % 7, *KEY_PREFIXES), F.lit("-P"), _padded(family, 6)).alias("prd_key"),
             F.col("p_name").alias("prd_nm"),
             F.when(key % 50 != 0, F.floor("p_retailprice")).alias("prd_cost"),
             _pick(key % 5, "M ", "r ", "S ", "T ", None).alias("prd_line"),
@@ -101,40 +100,39 @@ class Feeds:
         )
         return self._sales_lines().join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
-    def sales_lines(self) -> DataFrame:
-        """The sales feed without customer and order date.
-
-        Those two come from the orders table; whoever needs neither saves the join
-        of the two largest tables. Every line has its order, so no row is lost.
-        """
-        columns = {c: k for c, k in BRONZE["crm_sales_details"].items() if c not in _ORDER_COLUMNS}
-        return conform(self._sales_lines(), columns)
-
     def _sales_lines(self) -> DataFrame:
         kind = F.col("l_orderkey") % 20
+        line = F.col("l_partkey") % 100
         whole = F.floor("l_extendedprice")
         quantity = F.col("l_quantity").cast("int")
         price = F.floor(F.col("l_extendedprice") / F.col("l_quantity"))
+        shipped = _date_key(F.col("l_shipdate"))
         return self.source("lineitem").select(
             "l_orderkey",
             F.concat(F.lit("SO"), F.col("l_orderkey").cast("string")).alias("sls_ord_num"),
-            F.concat(F.lit("P"), _padded(_family(F.col("l_partkey")), 6)).alias("sls_prd_key"),
-            _date_key(F.col("l_shipdate")).alias("sls_ship_dt"),
-            _date_key(F.col("l_shipdate")).alias("sls_due_dt"),
+            F.when(line == 17, "P-UNKNOWN")
+            .otherwise(F.concat(F.lit("P"), _padded(_family(F.col("l_partkey")), 6)))
+            .alias("sls_prd_key"),
+            F.when(line == 23, 0).when(line == 29, 20999).otherwise(shipped).alias("sls_ship_dt"),
+            F.when(line == 31, 21001231)
+            .when(line == 37, None)
+            .otherwise(_date_key(F.date_add(F.to_date("l_shipdate"), (F.col("l_orderkey") % 15).cast("int") - 5)))
+            .alias("sls_due_dt"),
             F.when(kind == 1, None)
             .when(kind == 2, 0)
             .when(kind.isin(3, 8), -whole)
             .when(kind == 4, whole + 1)
             .otherwise(quantity * price)
             .alias("sls_sales"),
-            quantity.alias("sls_quantity"),
+            F.when(line == 41, 0).when(line == 43, None).otherwise(quantity).alias("sls_quantity"),
             F.when(kind == 5, None).when(kind == 6, 0).when(kind.isin(7, 8), -price).otherwise(price).alias("sls_price"),
         )
 
     def _erp_cust_az12(self) -> DataFrame:
         key = F.col("c_custkey")
         number = F.concat(F.lit("AW"), _padded(key, 8))
-        return self.source("customer").where(key % 13 != 0).select(
+        copies = F.when(key % 79 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+        return self.source("customer").where(key % 13 != 0).withColumn("copy", F.explode(copies)).select(
             F.when(key % 3 == 0, F.concat(F.lit("NAS"), number)).otherwise(number).alias("cid"),
             F.date_add(F.lit("1920-01-01").cast("date"), (key * 527 % 40000).cast("int")).alias("bdate"),
             _pick(key % 6, "F", "Female", " male", "M", "", None).alias("gen"),
@@ -156,7 +154,17 @@ class Feeds:
         )
 
     def _erp_px_cat_g1v2(self) -> DataFrame:
-        families = self.source("part").select((_family(F.col("p_partkey")) % 7).alias("family")).distinct()
-        return families.select(
-            *[_pick(F.col("family"), *values).alias(name) for name, values in CATEGORY_COLUMNS.items()]
+        """The seven families, a group per brand and size that no product names, and one row without id."""
+        part = self.source("part")
+        families = part.select((_family(F.col("p_partkey")) % 7).alias("family")).distinct()
+        named = families.select(*[_pick(F.col("family"), *values).alias(name) for name, values in CATEGORY_COLUMNS.items()])
+        groups = part.select("p_brand", "p_size").distinct()
+        size = F.col("p_size").cast("string")
+        brand = F.replace("p_brand", F.lit("Brand#"), F.lit(""))
+        extra = groups.select(
+            F.when(F.col("p_size") % 50 != 7, F.concat(F.lit("X"), brand, F.lit("_"), size)).alias("id"),
+            F.when(F.col("p_size") % 9 == 0, F.concat("p_brand", F.lit(" "))).otherwise(F.col("p_brand")).alias("cat"),
+            F.concat(F.lit("Size "), size).alias("subcat"),
+            F.when(F.col("p_size") % 2 == 0, "Yes").otherwise("No").alias("maintenance"),
         )
+        return named.unionByName(extra)

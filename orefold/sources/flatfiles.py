@@ -41,7 +41,9 @@ def _reader(spark: SparkSession, schema: T.StructType, mode: str):
 def read_feed(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
     """Strict read: header skipped, columns by position, empty field is NULL.
 
-    A malformed line fails the read. Files are split by Spark, so one large file
+    A malformed line fails a read of all columns, as the load jobs do it. Spark
+    converts only the columns that a query asks for, so a query on some of them does
+    not notice a value that is malformed in another. Files are split by Spark, so one large file
     is read by many tasks.
     """
     return _reader(spark, struct(columns), "FAILFAST").csv(path)

@@ -91,6 +91,23 @@ def test_left_lookup(spark, hot, rows, list_bytes):
     assert bag(left_lookup(left, named, "k", "rk")) == bag(plain)
 
 
+def test_hot_right_key_in_one_partition_is_split(spark, hot):
+    """Rows of one key that lie together still go to many parts."""
+    spark.conf.set("spark.orefold.hotGroupRows", "50")
+    left = spark.range(0, 40).select((F.col("id") % 2).alias("k"), F.col("id").alias("line"))
+    right = spark.range(0, 1000, 1, 1).select(F.lit(1).cast("bigint").alias("k"), F.col("id").alias("w"))
+    named = right.withColumnRenamed("k", "rk")
+    plain = left.join(named, F.col("k") == F.col("rk"), "left").drop("rk")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = left_lookup(left, right, "k", "k")
+        assert bag(found) == bag(plain)
+        busy = found.where("w IS NOT NULL").groupBy(F.spark_partition_id()).count()
+        assert busy.count() > 3
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_left_lookup_broadcasts_only_below_the_bound(spark):
     big = spark.range(1000).select(F.col("id").alias("k"), F.col("id").alias("w"))
     left = spark.range(10).select(F.col("id").alias("k"))

@@ -4,6 +4,7 @@ import datetime as dt
 import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import bag, column
 from orefold import schemas
@@ -81,7 +82,8 @@ def test_full_load(spark, house, small, tmp_path):
 
     gate = quality.gate(facts, house.table("gold", "dim_customers"), house.table("gold", "dim_products"))
     failing = {r.check_name: r.failing_rows for r in gate.collect()}
-    assert failing["fact_without_product"] == failing["repeated_customer_key"] == 0
+    assert failing["repeated_product_key"] == failing["repeated_customer_key"] == 0
+    assert failing["fact_without_product"] == facts.where("product_key IS NULL").count() > 0
     assert failing["fact_without_customer"] == facts.where("customer_key IS NULL").count() > 0
 
     times = {(r.run_id, r.layer): r for r in w.batch_times(w.run_log(house)).collect()}
@@ -100,12 +102,15 @@ def test_failed_load_keeps_the_old_rows(spark, house, small, tmp_path):
     with pytest.raises(Exception):
         w.load_bronze(house, {**paths, "crm_prd_info": str(broken)}, "bad")
     assert house.table("bronze", "crm_prd_info").count() == before
-    log = {r.table_name: r for r in w.run_log(house, "bad").collect()}
+    log = {r.table_name: r for r in w.run_log(house, "bad").orderBy("started_at").collect()}
     assert list(log) == ["crm_cust_info", "crm_prd_info"]
     assert log["crm_cust_info"].status == "loaded"
     failed = log["crm_prd_info"]
     assert (failed.status, failed.row_count) == ("failed", None)
     assert failed.error_class and failed.error_message
+    # the failed attempt left no files, so the good run is the one that stays
+    folder = tmp_path / "warehouse" / "bronze" / "crm_prd_info"
+    assert [p.name for p in folder.iterdir() if p.name.startswith("run-bad")] == []
 
 
 def test_text_longer_than_declared_is_refused(spark, house):
@@ -121,19 +126,50 @@ def test_tolerant_load(spark, house, small, tmp_path):
     dirty.write_text("cid,bdate,gen\nA,1970-01-01,M\nB,not a date,F\n")
     w.load_bronze(house, {**paths, "erp_cust_az12": str(dirty)}, "tolerant", max_rejects=10)
     assert column(house.table("bronze", "erp_cust_az12"), "cid") == ["A"]
+    assert [tuple(r) for r in house.table("audit", "rejected_lines").collect()] == [("tolerant", "erp_cust_az12", "B,not a date,F")]
+    counts = {r.table_name: r.rejected_count for r in w.run_log(house, "tolerant").collect()}
+    assert counts == {t: int(t == "erp_cust_az12") for t in schemas.BRONZE}
 
 
 def test_older_runs_expire(spark, house, tmp_path):
     rows = spark.createDataFrame([("A", "x")], schemas.struct(schemas.BRONZE["erp_loc_a101"]))
-    for run in ("a", "b", "c"):
-        house.replace("bronze", "erp_loc_a101", rows, run)
+    bad = rows.withColumn("cntry", F.raise_error(F.lit("broken")).cast("string"))
     folder = tmp_path / "warehouse" / "bronze" / "erp_loc_a101"
+
+    def left():
+        return sorted(p.name.rpartition("-")[0] for p in folder.iterdir() if p.is_dir() and p.name != "run-empty")
+
+    for run, frame in (("a", rows), ("b", rows), ("c", rows), ("bad", bad)):
+        try:
+            w._run(house, "bronze", {"erp_loc_a101": lambda frame=frame: frame}, run)
+        except Exception:
+            assert run == "bad"
+    assert left() == ["run-a", "run-b", "run-c"]
     house.expire("bronze", "erp_loc_a101", keep=1)
-    left = sorted(p.name for p in folder.iterdir() if p.is_dir() and p.name != "run-empty")
-    assert left == ["run-b", "run-c"]
+    assert left() == ["run-b", "run-c"]
     assert bag(house.table("bronze", "erp_loc_a101")) == {("A", "x"): 1}
 
 
+def test_a_run_id_used_twice_replaces(spark, house):
+    rows = spark.createDataFrame([("A", "x"), ("B", "y")], schemas.struct(schemas.BRONZE["erp_loc_a101"]))
+    for _ in range(2):
+        assert house.replace("bronze", "erp_loc_a101", rows, "same") == 2
+        assert house.table("bronze", "erp_loc_a101").count() == 2
+
+
+def test_each_table_is_logged_when_done(spark, house):
+    rows = spark.createDataFrame([("A", "x")], schemas.struct(schemas.BRONZE["erp_loc_a101"]))
+    seen = []
+
+    def second():
+        seen.extend(column(w.run_log(house, "r"), "table_name"))
+        return rows
+
+    steps = {"erp_loc_a101": lambda: rows, "erp_px_cat_g1v2": lambda: second().selectExpr("cid AS id", "cntry AS cat", "cntry AS subcat", "cntry AS maintenance")}
+    w._run(house, "bronze", steps, "r")
+    assert seen == ["erp_loc_a101"]
+
+
 def test_scratch_belongs_to_the_application(spark):
     stored = stash(spark.range(3), "probe")
     assert spark.sparkContext.applicationId in stored.inputFiles()[0]
