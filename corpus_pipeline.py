@@ -21,9 +21,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules do not reject."""
-    columns = docs.columns
-    judged = quality_rules.quality_rules(docs, _table(spark, sf_dir, "labels"), columns)
-    return judged.where("kept").select(*[F.col("row")[c].alias(c) for c in columns])
+    return quality_rules.good_documents(docs, _table(spark, sf_dir, "labels"))
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

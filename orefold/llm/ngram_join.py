@@ -198,13 +198,24 @@ def near_duplicates(docs: DataFrame, keep: list[str], doc_id: str = "doc_id", te
 def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
     """The documents without near copies: of each group the one with the smallest id stays.
 
-    Documents without words all stay. Of rows equal in id one stays,
-    chosen by a hash of the row.
+    Documents without words all stay. Of rows equal in id and text one stays, chosen
+    by a hash of the row. Texts are not moved: what goes is found by id and hash of
+    the text, and removed by an anti join.
     """
     columns = docs.columns
-    rows, roots = link_classes(docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col(f"`{text}`").alias("j_body"), F.col(f"`{doc_id}`").alias("j_id")), ["row", "j_id"], "j_body", k, percent)
-    grouped = rows.where("j_size > 0").join(roots, F.col("j_class") == F.col("node"), "left").withColumn("group", F.coalesce("root", "j_class"))
-    order = F.struct(F.col("j_id").isNull(), "j_id", F.xxhash64("row"))
-    best = grouped.groupBy("group").agg(F.min_by("row", order).alias("row"))
-    kept = best.select("row").unionByName(rows.where("j_size = 0").select("row"))
-    return kept.select(*[F.col("row")[c].alias(c) for c in columns])
+    scratch = Scratch(docs.sparkSession)
+    rows, roots = link_classes(docs, [doc_id], text, k, percent)
+    grouped = rows.where("j_size > 0").join(roots, F.col("j_class") == F.col("node"), "left")
+    grouped = grouped.select(F.coalesce("root", "j_class").alias("group"), F.col(f"`{doc_id}`").alias("id"), F.col("j_key").alias("key"))
+    each = grouped.groupBy("group", "id", "key").agg(F.count(F.lit(1)).alias("rows"))
+    best = each.groupBy(F.col("group").alias("g")).agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("best"))
+    judged = each.join(best, F.col("group") == F.col("g"))
+    stays = F.col("id").eqNullSafe(F.col("best.id")) & (F.col("key") == F.col("best.key"))
+    found = scratch.keep(judged.where(~stays | (F.col("rows") > 1)).select("id", "key", stays.alias("stays")), "ngram-going")
+
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col(f"`{doc_id}`").alias("d_id"), F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("d_key"))
+    same = F.col("d_id").eqNullSafe(F.col("id")) & (F.col("d_key") == F.col("key"))
+    single = keyed.join(_broadcast_if_small(found, 24), same, "left_anti").select("row")
+    repeated = keyed.join(_broadcast_if_small(found.where("stays"), 24), same, "left_semi")
+    one = repeated.groupBy("d_id", "d_key").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row")
+    return single.unionByName(one).select(*[F.col("row")[c].alias(c) for c in columns])

@@ -104,7 +104,10 @@ def measures(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     places = F.col("__q_places")
     fresh = F.transform(places, lambda p, j: F.when(j == 0, F.lit(3)).otherwise(F.least(F.lit(3), p - F.get(places, j - 1))))
     covered = F.aggregate(fresh, F.lit(0).cast("long"), lambda a, x: a + x)
-    return df.select(*rest, F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"))
+    # the optimizer moves no condition below a column that is not deterministic; moved down, a
+    # condition on this one would repeat its whole computation for every window of the text
+    nothing = F.when(F.monotonically_increasing_id() < 0, 1).otherwise(0)
+    return df.select(*rest, (F.coalesce(covered, F.lit(0)) + nothing).cast("long").alias("n_repeat_words"))
 
 
 def base_failed() -> Column:
@@ -206,6 +209,22 @@ def quality_rules(docs: DataFrame, labels: DataFrame, keep: list[str], doc_id: s
     return judged(measured, chosen, "__q_of").select("row", *COUNTS, "base_failed", "kept")
 
 
+def good_documents(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", stratum: str = "lang") -> DataFrame:
+    """The documents that no rule rejects, with their own columns.
+
+    Neither stored nor shuffled in between are whole texts: the counts are stored for
+    the cutoffs, and taken again as the documents pass.
+    """
+    scratch = Scratch(docs.sparkSession)
+    wanted = {"row": F.struct(*[F.col(f"`{c}`") for c in docs.columns]), "__q_doc": F.col(f"`{doc_id}`"), "__q_of": F.col(f"`{stratum}`"), "__q_body": F.col(f"`{text}`")}
+    source = docs.select(*[c.alias(name) for name, c in wanted.items()])
+    known = labels.select(F.col(doc_id).alias("__q_doc"), "quality")
+    measured = measures(source, ["__q_doc", "__q_of"], "__q_body")
+    chosen = scratch.keep(cutoffs(scratch.keep(measured, "measured"), known, "__q_doc", "__q_of"), "cutoffs")
+    kept = judged(measures(source, ["row", "__q_of"], "__q_body"), chosen, "__q_of").where("kept")
+    return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+
+
 def smallest_stratum(risk: float = RISK, error: float = ERROR, strata: int = 1) -> int:
     """Good labels a stratum needs before any cutoff can be admissible."""
     share = risk / len(CUTOFFS)
