@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orefold.llm.shipping import ship
 from orefold.llm.words import Texts, text_slices
 
 TEXT = "__text"
@@ -18,6 +19,7 @@ TEXT = "__text"
 @contextmanager
 def small_batches(spark: SparkSession, rows: int):
     """Within, Spark hands tasks at most ``rows`` rows at a time, where rows carry whole texts."""
+    ship(spark)
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(name)
     spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
@@ -34,6 +36,7 @@ def append(docs: DataFrame, keep: list[Column], text: Column, added: T.StructTyp
     function it returns gets the texts of a slice and the slice's other columns.
     Rows are neither moved nor reordered, so equal ids and null ids do no harm.
     """
+    ship(docs.sparkSession)
     source = docs.select(*keep, F.coalesce(text.cast("string"), F.lit("")).alias(TEXT))
     kept = T.StructType(source.schema.fields[:-1])
     schema = T.StructType(kept.fields + added.fields)

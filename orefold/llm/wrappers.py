@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orefold.llm.scratch import Scratch
+from orefold.llm.shipping import ship
 from orefold.llm.words import SLICE_BYTES
 
 FAN_IN = 256
@@ -352,6 +353,7 @@ def _fold_wrappers(frame):
 
 def infer(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
     """``w_host`` and ``w_wrapper``, the wrapper of all pages of each host."""
+    ship(pages.sparkSession)
     scratch = Scratch(pages.sparkSession)
     source = pages.select(host(F.col(url)).alias("w_host"), F.coalesce(F.col(page), F.lit("")).alias("w_page"))
     partial = scratch.keep(source.mapInArrow(_fold_pages, _PARTIAL), "wrappers")
