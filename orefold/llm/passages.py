@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orefold.llm.arrow import append
+from orefold.llm.arrow import append, small_batches
 from orefold.llm.packing import first_of_runs, pack, run_starts, united, unpack
 from orefold.llm.scratch import Scratch, width
 from orefold.llm.words import ALNUM, Texts, Words, grams, mix, text_slices
@@ -56,8 +56,12 @@ _ROOM = _LENGTH * SIMILARITY // 100
 DRIFT = 12
 # Regions of the smaller document are widened to multiples of this, so that many partners share them.
 _STEP = 64
-WINDOWS_PER_TASK = 500_000
-BATCH_WINDOWS = 600_000
+WINDOWS_PER_TASK = 200_000
+# Windows that a task gathers before it hands a batch on, and texts that Spark hands it at a time.
+BATCH_WINDOWS = 300_000
+BATCH_TEXTS = 2_000
+# Hashing takes some fifty bytes per byte of text at once.
+_SLICE = 1 << 20
 _LAST = (1 << 63) - 1
 _SALTS = mix(np.arange(1, FUNCTIONS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _LOW = np.uint64(0xFFFFFFFF)
@@ -136,14 +140,15 @@ def _window_blobs(ranges: int):
         size = 0
         for batch in batches:
             keys, ranks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for texts in text_slices(batch.column(2)):
+            for texts in text_slices(batch.column(2), _SLICE):
                 words = texts.lower().words(ALNUM)
                 row, at, found = shingles(words, len(texts))
                 for f, salt in enumerate(_SALTS):
                     value = mix(found ^ salt)
                     node, first, last = compact_windows(row, value)
                     r = row[node]
-                    held.append((value[node], keys[texts.first + r], ranks[texts.first + r], at[node] - words.rows[r], node - first, last - node, np.full(len(node), f, np.uint8)))
+                    # the values are minima, crowded near 0; mixed again they fill the ranges evenly
+                    held.append((mix(value[node]), keys[texts.first + r], ranks[texts.first + r], at[node] - words.rows[r], node - first, last - node, np.full(len(node), f, np.uint8)))
                     size += len(node)
                 if size >= BATCH_WINDOWS:
                     yield from flush()
@@ -162,9 +167,10 @@ def _join_windows(table: pa.Table) -> pa.Table:
     columns: list = [[] for _ in range(7)]
     for blob in table.column("p_blob").to_pylist():
         steps, of, at, left, right, which, texts, ranks = unpack(blob)
-        for c, x in zip(columns, (np.cumsum(steps, dtype=np.uint64), texts[of], ranks[of], at.astype(np.int64), left.astype(np.int64), right.astype(np.int64), which)):
+        for c, x in zip(columns, (np.cumsum(steps, dtype=np.uint64), texts[of], ranks[of], at.astype(np.int32), left.astype(np.int32), right.astype(np.int32), which)):
             c.append(x)
     value, key, rank, at, left, right, which = (np.concatenate(c) for c in columns)
+    del columns
     # copies of a text: the smallest id stands for all
     order = np.lexsort((rank, at, key, value))
     value, key, rank, at, left, right, which = (x[order] for x in (value, key, rank, at, left, right, which))
@@ -229,7 +235,7 @@ def _contents(batches):
     """The shingles of each wanted region."""
     for batch in batches:
         keys, first, last = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy()
-        for texts in text_slices(batch.column(3)):
+        for texts in text_slices(batch.column(3), _SLICE):
             words = texts.lower().words(ALNUM)
             blobs = []
             for r in range(len(texts)):
@@ -320,6 +326,11 @@ def repeated_passages(docs: DataFrame, keep: list[str], doc_id: str = "doc_id",
     """``keep`` with, per document, ``n_words``, ``n_repeated`` and ``n_removed`` words, ``spans``
     (repeated words, from:to, joined by comma), and ``other_id``, the smallest id of a
     document that shares a passage (null if none)."""
+    with small_batches(docs.sparkSession, BATCH_TEXTS):
+        return _repeated_passages(docs, keep, doc_id, text)
+
+
+def _repeated_passages(docs: DataFrame, keep: list[str], doc_id: str, text: str) -> DataFrame:
     spark = docs.sparkSession
     scratch = Scratch(spark)
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
