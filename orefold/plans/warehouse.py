@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from orefold import schemas
 from orefold.operators.skew import measure
-from orefold.plans import gold, silver
+from orefold.plans import gold, marts, quality, silver
 from orefold.session import hadoop_path, limit
 from orefold.sources.flatfiles import read_feed, read_feed_tolerant
 
@@ -53,6 +53,7 @@ class Warehouse:
                     self._create_table(self.name(layer, table), columns, self._folder(layer, table, "empty"))
         self._create_table(self.name("audit", "run_log"), schemas.RUN_LOG, f"{self.root}/audit/run_log")
         self._create_table(self.name("audit", "rejected_lines"), schemas.REJECTED_LINES, f"{self.root}/audit/rejected_lines")
+        self._create_table(self.name("audit", "check_results"), schemas.CHECK_RESULTS, f"{self.root}/audit/check_results")
 
     def _folder(self, layer: str, table: str, run: str) -> str:
         return f"{self.root}/{layer}/{table}/run-{run}"
@@ -218,6 +219,26 @@ def publish_gold(warehouse: Warehouse, run_id: str) -> DataFrame:
     return log
 
 
+def publish_marts(warehouse: Warehouse, as_of: dt.date, run_id: str) -> DataFrame:
+    """Store the aggregated marts over the published star schema; returns the run's log."""
+    facts, customers, products = (warehouse.table("gold", t) for t in ("fact_sales", *GOLD_TABLES))
+    steps = {
+        "sales_by_product_group": lambda: marts.sales_by_product_group(facts, products),
+        "sales_by_customer_group": lambda: marts.sales_by_customer_group(facts, customers),
+        "customer_profile": lambda: marts.customer_profile(customers, as_of),
+    }
+    return _run(warehouse, "mart", steps, run_id)
+
+
+def check_gold(warehouse: Warehouse, run_id: str) -> DataFrame:
+    """Run the star-schema checks on what is published and store their results; returns the run's."""
+    facts, customers, products = (warehouse.table("gold", t) for t in ("fact_sales", *GOLD_TABLES))
+    found = quality.gate(facts, customers, products)
+    entries = found.select(F.lit(run_id).alias("run_id"), F.lit(_now()).alias("checked_at"), "check_name", "failing_rows")
+    entries.coalesce(1).write.insertInto(warehouse.name("audit", "check_results"))
+    return warehouse.table("audit", "check_results").where(F.col("run_id") == run_id)
+
+
 def run_log(warehouse: Warehouse, run_id: str | None = None) -> DataFrame:
     log = warehouse.table("audit", "run_log")
     return log if run_id is None else log.where(F.col("run_id") == run_id)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from orefold import schemas
 from orefold.plans import silver
 from orefold.plans import warehouse as w
+from orefold.registry import checks, tables
 from orefold.registry.lake import AS_OF, Lake
 from orefold.session import scratch_path
 from orefold.sources.flatfiles import feed_paths, read_feed, write_feed
@@ -41,6 +42,17 @@ def _loaded(lake: Lake, last_layer: str) -> tuple[w.Warehouse, DataFrame]:
     return house, log
 
 
+def _mart(lake: Lake, table: str) -> DataFrame:
+    house, _ = _loaded(lake, "gold")
+    w.publish_marts(house, AS_OF, w.new_run_id())
+    return house.table("mart", table)
+
+
+def _check_results(lake: Lake) -> DataFrame:
+    house, _ = _loaded(lake, "gold")
+    return w.check_gold(house, w.new_run_id()).select("check_name", "failing_rows")
+
+
 def _log(lake: Lake, layer: str) -> DataFrame:
     return _loaded(lake, layer)[1].where(f"layer = '{layer}'").select("layer", "table_name", "status", "row_count")
 
@@ -151,6 +163,12 @@ _AS_READ = {
     "erp_cust_az12": "REPLACE (nullif(gen, '') AS gen)",
 }
 
+_MARTS = (
+    (2, "sales_by_product_group", "m02_sales_by_product_group"),
+    (2, "sales_by_customer_group", "m02_sales_by_customer_group"),
+    (3, "customer_profile", "m03_customer_profile"),
+)
+
 QUERIES = {
     "p03_csv_scan": (_csv_sales, "SELECT * FROM raw_sales"),
     "p03_rejected_lines": (
@@ -168,6 +186,8 @@ QUERIES = {
         for table, name in _CLEAN.items()
     },
     "p05_stored_customers": (lambda lake: _stored(lake, "silver", "crm_cust_info"), "SELECT * FROM cln_cust"),
+    **{f"m0{n}_stored_{table}": (lambda lake, t=table: _mart(lake, t), tables.QUERIES[name][1]) for n, table, name in _MARTS},
+    "p15_check_summary": (_check_results, checks.QUERIES["gate_star_schema"][1]),
     "p13_failed_load": (
         _failed,
         """SELECT table_name, status, status = 'failed' AS has_error, (SELECT count(*) FROM raw_az12) AS kept_rows

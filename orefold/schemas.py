@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-LAYERS = ("bronze", "silver", "gold")
+LAYERS = ("bronze", "silver", "gold", "mart")
 AUDIT_COLUMN = "dwh_create_date"
 
 # Text columns hold at most 50 characters. Readers see plain strings; stored
@@ -118,6 +118,21 @@ GOLD = {
     },
 }
 
+_TOTALS = {"lines": "bigint", "orders": "bigint", "quantity": "bigint", "sales_amount": "bigint"}
+
+MARTS = {
+    "sales_by_product_group": {"category": "text", "product_line": "text", **_TOTALS},
+    "sales_by_customer_group": {"country": "text", "gender": "text", "marital_status": "text", **_TOTALS},
+    "customer_profile": {"customer_key": "int", "customer_id": "int", "age": "int", "days_as_customer": "int"},
+}
+
+CHECK_RESULTS = {
+    "run_id": "note",
+    "checked_at": "timestamp",
+    "check_name": "note",
+    "failing_rows": "bigint",
+}
+
 RUN_LOG = {
     "run_id": "note",
     "layer": "note",
@@ -139,7 +154,7 @@ REJECTED_LINES = {
     "rejected_line": "note",
 }
 
-TABLES = {"bronze": BRONZE, "silver": SILVER, "gold": GOLD}
+TABLES = {"bronze": BRONZE, "silver": SILVER, "gold": GOLD, "mart": MARTS}
 
 
 def struct(columns: dict[str, str]) -> T.StructType:
