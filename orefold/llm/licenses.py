@@ -7,7 +7,7 @@ text position less template position. Votes are counted per text, template and
 diagonal; neighbouring diagonals (at most ``DRIFT`` words apart, as an inserted or
 missing word leaves them) are merged, and a merged span counts if the template words
 found in it are at least ``SHARE`` of the template and it is not stretched. Of spans
-that overlap the one with the largest share stays.
+that overlap the one with the largest share stays, of those the longest template.
 
 A base phrase is a template of which every word must stand on one diagonal.
 
@@ -124,13 +124,14 @@ def scan(docs: DataFrame, keep: list[str], text: str = "text") -> tuple[DataFram
     near = (
         merged.withColumn("share", covered / F.col("words"))
         .where((F.col("share") >= SHARE) & (F.col("end") - F.col("start") <= F.col("words") * (2 - SHARE) + DRIFT))
-        .select("l_key", "label", "base", "start", "end", "share")
+        .select("l_key", "label", "base", "start", "end", "share", "words")
     )
     # wordings that differ in a word match the same place: the best of those that overlap stays
     by_place = W.partitionBy("l_key").orderBy("start", "end")
     before = F.max("end").over(by_place.rowsBetween(W.unboundedPreceding, -1))
     near = near.withColumn("apart", F.coalesce(F.col("start") >= before, F.lit(True)).cast("int")).withColumn("group", F.sum("apart").over(by_place.rowsBetween(W.unboundedPreceding, 0)))
-    near = near.withColumn("best", F.max("share").over(W.partitionBy("l_key", "group"))).where("share = best").drop("apart", "group", "best")
+    rank = F.struct("share", "words")
+    near = near.withColumn("best", F.max(rank).over(W.partitionBy("l_key", "group"))).where(rank == F.col("best")).drop("apart", "group", "best", "words")
     return scanned.drop("l_hits"), exact.unionByName(near)
 
 
