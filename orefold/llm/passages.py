@@ -10,8 +10,11 @@ A passage is at least ``PASSAGE`` words; its tokens are its 5-word shingles, has
    are the minima of sliding windows, found for a slice of texts at once, and the
    tree is built over those.
 2. Windows of equal value meet in ranges of values. Each is joined to that of the
-   smallest document with the value (or, if the two have no room for a passage in
-   common, to its neighbour in the order of documents), never to all.
+   smallest document with the value and to that of the document before it, never to
+   all. A minimum that many documents hold in different surroundings says little, so
+   where three or more documents have a value, windows also meet by value and by
+   stretches of words beside the minimum, and each is joined to the smallest document
+   of every such group.
 3. Per pair of documents the windows of all functions are joined as intervals along
    one shift; stretches on which at least ``AGREEING`` functions agree are candidates.
 4. Candidates are verified on the words themselves: parts whose shingles have a Jaccard
@@ -24,6 +27,14 @@ A passage with similarity s is proposed by a function with probability s, so at
 at least two of six functions agree with probability 0.998 for one window per
 function; longer passages have more.
 
+Where many documents share the minimum: all members of a group of ``RUNS[0]`` blocks
+have 50 words in common, so none is hidden behind another; two documents with 58 or
+more words in common always meet in one. With 50 to 57 equal words they meet in a group
+of ``RUNS[1]`` blocks (45 words), where a smaller document that has those 45 words but
+not 50 can stand before them. Groups of ``RUNS[2]`` blocks are for edited passages and
+share 15 words only, so there the hub can be another one. ``similar_parts`` decides on
+all of them. Blocks are compared by 8 bits each; a chance match costs a comparison.
+
 Defined cases: null and empty texts and texts shorter than a passage have none; a text
 equal to one with a smaller id is removable whole, and both are repeated whole; rows
 with equal ids and different texts are separate documents; a null id counts as larger
@@ -56,6 +67,10 @@ _ROOM = _LENGTH * SIMILARITY // 100
 DRIFT = 12
 # Regions of the smaller document are widened to multiples of this, so that many partners share them.
 _STEP = 64
+# Blocks of ``SHINGLE`` words at each side of the minimum, as far as a passage reaches.
+_SIDE = (_LENGTH - 1) // SHINGLE
+# Blocks, that of the minimum included, that windows of one value have in common to meet in a smaller group.
+RUNS = (10, 9, 3)
 WINDOWS_PER_TASK = 200_000
 # Windows that a task gathers before it hands a batch on, and texts that Spark hands it at a time.
 BATCH_WINDOWS = 300_000
@@ -113,6 +128,14 @@ def compact_windows(row: np.ndarray, hashes: np.ndarray, length: int = _LENGTH)
     return nodes[room], first[room], last[room]
 
 
+def surroundings(hashes: np.ndarray, node: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """A byte for each block beside the minimum of a window, 0 beyond the window."""
+    place = node[:, None] + SHINGLE * np.arange(-_SIDE, _SIDE + 1)
+    inside = (place >= first[:, None]) & (place <= last[:, None])
+    place[~inside] = 0
+    return np.where(inside, (hashes[place] >> np.uint64(40)).astype(np.uint8), np.uint8(0))
+
+
 _BLOBS = "p_range int, p_blob binary"
 
 
@@ -121,10 +144,10 @@ def _window_blobs(ranges: int):
         held: list = []
 
         def flush():
-            value, key, rank, at, left, right, which = (np.concatenate(x) for x in zip(*held))
+            value, key, rank, at, left, right, which, beside = (np.concatenate(x) for x in zip(*held))
             held.clear()
             order = np.argsort(value, kind="stable")
-            value, key, rank, at, left, right, which = (x[order] for x in (value, key, rank, at, left, right, which))
+            value, key, rank, at, left, right, which, beside = (x[order] for x in (value, key, rank, at, left, right, which, beside))
             part = (value >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
             edges = np.searchsorted(part, np.arange(ranges + 1))
             rows = []
@@ -134,7 +157,7 @@ def _window_blobs(ranges: int):
                     texts, one, of = np.unique(key[s], return_index=True, return_inverse=True)
                     steps = np.diff(value[s], prepend=np.uint64(0))
                     numbers = (x[s].astype(np.uint32) for x in (at, left, right))
-                    rows.append((r, pack(steps, of.astype(np.uint32), *numbers, which[s], texts, rank[s][one])))
+                    rows.append((r, pack(steps, of.astype(np.uint32), *numbers, which[s], texts, rank[s][one], beside[s].ravel())))
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in rows], pa.int32()), pa.array([x[1] for x in rows], pa.binary())], names=["p_range", "p_blob"])
 
         size = 0
@@ -148,7 +171,7 @@ def _window_blobs(ranges: int):
                     node, first, last = compact_windows(row, value)
                     r = row[node]
                     # the values are minima, crowded near 0; mixed again they fill the ranges evenly
-                    held.append((mix(value[node]), keys[texts.first + r], ranks[texts.first + r], at[node] - words.rows[r], node - first, last - node, np.full(len(node), f, np.uint8)))
+                    held.append((mix(value[node]), keys[texts.first + r], ranks[texts.first + r], at[node] - words.rows[r], node - first, last - node, np.full(len(node), f, np.uint8), surroundings(found, node, first, last)))
                     size += len(node)
                 if size >= BATCH_WINDOWS:
                     yield from flush()
@@ -162,34 +185,58 @@ def _window_blobs(ranges: int):
 _JOINED = "m_key long, m_rank long, h_key long, h_rank long, at int, shift int, lo int, hi int, f int"
 
 
+def _hubs(starts: np.ndarray, n: int) -> np.ndarray:
+    return np.repeat(starts, np.diff(np.append(starts, n)))
+
+
+def _by_surroundings(value: np.ndarray, left: np.ndarray, right: np.ndarray, beside: np.ndarray):
+    """(windows, hubs) of the groups with equal value and equal blocks; windows stand in the order of documents."""
+    kinds = [(n, b) for n in RUNS[:2] for b in range(max(0, _SIDE + 1 - n), min(_SIDE, 2 * _SIDE + 1 - n) + 1)]
+    kinds += [(RUNS[2], b) for b in range(0, 2 * _SIDE + 2 - RUNS[2], RUNS[2])]
+    for n, b in kinds:
+        low, high = SHINGLE * (b - _SIDE), SHINGLE * (b + n - 1 - _SIDE)
+        inside = np.flatnonzero((left >= -low) & (right >= high))
+        if len(inside) < 2:
+            continue
+        name = value[inside]
+        for block in range(b, b + n):
+            name = mix(name + beside[inside, block].astype(np.uint64))
+        order = np.argsort(name, kind="stable")
+        yield inside[order], inside[order[_hubs(run_starts(name[order]), len(order))]]
+
+
 def _join_windows(table: pa.Table) -> pa.Table:
-    """Windows of equal value: each with the smallest document's, or its neighbour's."""
-    columns: list = [[] for _ in range(7)]
+    """Windows of equal value: each with the smallest document's, the one's before it, and the smallest ones' with the same surroundings."""
+    columns: list = [[] for _ in range(8)]
     for blob in table.column("p_blob").to_pylist():
-        steps, of, at, left, right, which, texts, ranks = unpack(blob)
-        for c, x in zip(columns, (np.cumsum(steps, dtype=np.uint64), texts[of], ranks[of], at.astype(np.int32), left.astype(np.int32), right.astype(np.int32), which)):
+        steps, of, at, left, right, which, texts, ranks, beside = unpack(blob)
+        numbers = (at.astype(np.int32), left.astype(np.int32), right.astype(np.int32))
+        for c, x in zip(columns, (np.cumsum(steps, dtype=np.uint64), texts[of], ranks[of], *numbers, which, beside.reshape(len(of), -1))):
             c.append(x)
-    value, key, rank, at, left, right, which = (np.concatenate(c) for c in columns)
+    value, key, rank, at, left, right, which, beside = (np.concatenate(c) for c in columns)
     del columns
     # copies of a text: the smallest id stands for all
     order = np.lexsort((rank, at, key, value))
-    value, key, rank, at, left, right, which = (x[order] for x in (value, key, rank, at, left, right, which))
-    once = first_of_runs(value, key, at)
-    value, key, rank, at, left, right, which = (x[once] for x in (value, key, rank, at, left, right, which))
-    order = np.lexsort((at, key, rank, value))
-    value, key, rank, at, left, right, which = (x[order] for x in (value, key, rank, at, left, right, which))
+    order = order[first_of_runs(value[order], key[order], at[order])]
+    order = order[np.lexsort((at[order], key[order], rank[order], value[order]))]
+    value, key, rank, at, left, right, which, beside = (x[order] for x in (value, key, rank, at, left, right, which, beside))
     starts = run_starts(value)
-    hub = np.repeat(starts, np.diff(np.append(starts, len(value))))
+    hub = _hubs(starts, len(value))
     every = np.arange(len(value))
 
-    def room(other):
-        return np.minimum(left, left[other]) + np.minimum(right, right[other]) + 1 >= _ROOM
-
-    before = np.maximum(every - 1, hub)
-    first = (key != key[hub]) & room(hub)
-    second = (before != hub) & (key != key[before]) & room(before)
-    i = np.concatenate([every[first], every[second]])
-    j = np.concatenate([hub[first], before[second]])
+    def room(i, j):
+        return (key[i] != key[j]) & (np.minimum(left[i], left[j]) + np.minimum(right[i], right[j]) + 1 >= _ROOM)
+
+    # the last window of the text before
+    own = _hubs(run_starts(value, key), len(value))
+    before = np.maximum(own - 1, hub)
+    n = len(value)
+    pairs = [(every * n + other)[room(every, other)] for other in (hub, before)]
+    shared = np.flatnonzero(np.add.reduceat(first_of_runs(value, key).astype(np.int64), starts)[np.cumsum(first_of_runs(value)) - 1] > 2)
+    for x, y in _by_surroundings(value[shared], left[shared], right[shared], beside[shared]) if len(shared) else ():
+        x, y = shared[x], shared[y]
+        pairs.append((x * n + y)[room(x, y)])
+    i, j = np.divmod(np.unique(np.concatenate(pairs)), n)
     numbers = [at[i], at[i] - at[j], np.minimum(left[i], left[j]), np.minimum(right[i], right[j]), which[i]]
     return pa.table(
         [pa.array(x) for x in (key[i], rank[i], key[j], rank[j])] + [pa.array(x.astype(np.int32)) for x in numbers],

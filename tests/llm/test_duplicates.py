@@ -233,6 +233,48 @@ def test_passages_edges(spark, odd_documents, no_documents):
     assert got[3] == (50, 50, 1) and got[4][0] == 0
 
 
+@pytest.mark.parametrize("size, edits", [(60, 0), (120, 0), (160, 2)])
+def test_passages_of_frequent_shingles(spark, size, edits):
+    """Two texts share a passage; smaller texts and texts between them hold each of its shingles in other surroundings."""
+    rng = random.Random(size)
+
+    def filler(n):
+        return [f"f{rng.randrange(10**9)}" for _ in range(n)]
+
+    def scattered(passage):
+        return " ".join(w for k in rng.sample(range(len(passage) - 4), len(passage) - 4) for w in filler(60) + passage[k : k + 5])
+
+    rows, pairs = [], []
+    for case in range(6):
+        passage = filler(size)
+        near = list(passage)
+        for e in range(edits):
+            near[(e + 1) * size // (edits + 1)] = "edit"
+        at = 100 * case
+        rows += [(at + i, scattered(passage)) for i in (1, 2, 3, 11, 12, 13, 21)]
+        rows += [(at + 10, " ".join(filler(70) + passage + filler(70))), (at + 20, " ".join(filler(70) + near + filler(70)))]
+        pairs.append((at + 10, at + 20))
+    found = {r.doc_id: r for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id"]).collect()}
+    alike = set(range(70, 70 + size))
+    for a, b in pairs:
+        assert len(words_of(found[a].spans) & alike) >= 0.9 * size and len(words_of(found[b].spans) & alike) >= 0.9 * size
+        assert (found[a].n_removed, found[a].other_id) == (0, b) and found[b].n_removed == found[b].n_repeated and found[b].other_id == a
+    for r in found.values():
+        # brute force: the scattered texts have no passage with any other
+        assert r.n_repeated == 0 or r.doc_id % 100 in (10, 20)
+
+
+def test_windows_of_a_text_that_repeats_a_value():
+    """The neighbour of a text's second window is the text before, not the text itself."""
+    value = np.array([7, 7, 7, 7], np.uint64)
+    of, at = np.array([0, 1, 2, 2], np.uint32), np.array([50, 50, 50, 200], np.uint32)
+    room = np.full(4, 45, np.uint32)
+    beside = np.arange(4 * (2 * passages._SIDE + 1), dtype=np.uint64).astype(np.uint8)
+    blob = pack(np.diff(value, prepend=np.uint64(0)), of, at, room, room, np.zeros(4, np.uint8), np.array([1, 2, 3]), np.array([1, 2, 3]), beside)
+    got = passages._join_windows(pa.table({"p_blob": [blob]})).to_pylist()
+    assert {(r["m_key"], r["at"], r["h_key"]) for r in got} == {(2, 50, 1), (3, 50, 1), (3, 50, 2), (3, 200, 1), (3, 200, 2)}
+
+
 def test_passages_whole_table(spark, medium):
     docs = spark.read.parquet(f"{medium}/documents.parquet").select("doc_id", "text").collect()
     want = dict(zip((r.doc_id for r in docs), repeated_words([(r.doc_id, r.text) for r in docs])))
