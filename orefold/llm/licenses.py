@@ -6,8 +6,10 @@ hashes). These are joined to the template positions; each pair votes for a diago
 text position less template position. Votes are counted per text, template and
 diagonal; neighbouring diagonals (at most ``DRIFT`` words apart, as an inserted or
 missing word leaves them) are merged, and a merged span counts if the template words
-found in it are at least ``SHARE`` of the template and it is not stretched. Of spans
-that overlap the one with the largest share stays, of those the longest template.
+found in it are at least ``SHARE`` of the template and it is not stretched. A diagonal
+that has the whole template is a span of its own, and a run that is stretched is split
+into its diagonals. Of two spans that overlap, one is dropped only if it has more breaks
+(words changed, inserted or missing) inside the other than the other has inside it.
 
 A base phrase is a template of which every word must stand on one diagonal.
 
@@ -20,7 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
@@ -32,6 +34,8 @@ from orefold.llm.words import ALNUM, Texts, grams, list_array, text_slices
 GRAM = 2
 DRIFT = 3
 SHARE = 0.75
+# Words of a stretch of text; no span is longer.
+_STRETCH = 64
 
 # Phrases of the base definition and their labels.
 PHRASES = (
@@ -92,6 +96,22 @@ def _scan(wanted: np.ndarray):
     return work
 
 
+def _breaks(hits: Column, words: Column) -> Column:
+    """(last right word before, first after) of each place, in the text, where the words leave the template."""
+    pairs = F.transform(F.sequence(F.lit(1), F.size(hits)), lambda i: F.struct(F.element_at(hits, i).alias("a"), F.try_element_at(hits, i + 1).alias("b")))
+    apart = F.filter(pairs, lambda p: (p["b"]["place"] - p["a"]["place"] != 1) | (p["b"]["at"] - p["a"]["at"] != 1))
+    inner = F.transform(apart, lambda p: F.struct((p["a"]["at"] + 1).alias("low"), p["b"]["at"].alias("high")))
+    first, last = F.element_at(hits, 1), F.element_at(hits, -1)
+    none = F.filter(inner, lambda _: F.lit(False))
+    head = F.when(first["place"] > 0, F.array(F.struct((first["at"] - 1).alias("low"), first["at"].alias("high")))).otherwise(none)
+    tail = F.when(last["place"] + GRAM < words, F.array(F.struct((last["at"] + 1).alias("low"), (last["at"] + 2).alias("high")))).otherwise(none)
+    return F.concat(head, inner, tail)
+
+
+def _inside(breaks: Column, start: Column, end: Column) -> Column:
+    return F.size(F.filter(breaks, lambda b: (b["low"] >= start) & (b["high"] < end)))
+
+
 def scan(docs: DataFrame, keep: list[str], text: str = "text") -> tuple[DataFrame, DataFrame]:
     """Documents (``keep``, ``l_key``, ``l_words``) and the license spans of each ``l_key``.
 
@@ -113,25 +133,31 @@ def scan(docs: DataFrame, keep: list[str], text: str = "text") -> tuple[DataFram
     )
     exact = diagonals.where("base and size(places) = words - 1").select("l_key", "label", "base", F.col("diagonal").alias("start"), (F.col("diagonal") + F.col("words")).alias("end"), F.lit(1.0).alias("share"))
     order = W.partitionBy("l_key", "template").orderBy("diagonal")
-    merged = (
-        diagonals.where("not base")
+    found = ["l_key", "template", "label", "base", "words", "start", "end", "hits"]
+    diagonals = diagonals.where("not base").withColumn("hits", F.transform("places", lambda p: F.struct(p.alias("place"), (p + F.col("diagonal")).alias("at"))))
+    whole = F.size("places") == F.col("words") - 1
+    runs = (
+        diagonals.where(~whole)
         .withColumn("apart", F.coalesce(F.col("diagonal") - F.lag("diagonal").over(order) > DRIFT, F.lit(True)).cast("int"))
         .withColumn("run", F.sum("apart").over(order))
         .groupBy("l_key", "template", "label", "base", "words", "run")
-        .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
-    )
-    covered = F.size(F.array_distinct(F.flatten(F.transform("places", lambda p: F.array(p, p + 1)))))
-    near = (
-        merged.withColumn("share", covered / F.col("words"))
-        .where((F.col("share") >= SHARE) & (F.col("end") - F.col("start") <= F.col("words") * (2 - SHARE) + DRIFT))
-        .select("l_key", "label", "base", "start", "end", "share", "words")
+        .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.flatten(F.collect_list("hits")).alias("hits"), F.collect_list(F.struct("start", "end", "hits")).alias("parts"))
     )
-    # wordings that differ in a word match the same place: the best of those that overlap stays
-    by_place = W.partitionBy("l_key").orderBy("start", "end")
-    before = F.max("end").over(by_place.rowsBetween(W.unboundedPreceding, -1))
-    near = near.withColumn("apart", F.coalesce(F.col("start") >= before, F.lit(True)).cast("int")).withColumn("group", F.sum("apart").over(by_place.rowsBetween(W.unboundedPreceding, 0)))
-    rank = F.struct("share", "words")
-    near = near.withColumn("best", F.max(rank).over(W.partitionBy("l_key", "group"))).where(rank == F.col("best")).drop("apart", "group", "best", "words")
+    stretched = F.col("end") - F.col("start") > F.col("words") * (2 - SHARE) + DRIFT
+    split = runs.where(stretched).select(*found[:5], F.inline("parts"))
+    merged = diagonals.where(whole).select(*found).unionByName(runs.where(~stretched).select(*found)).unionByName(split)
+    covered = F.size(F.array_distinct(F.flatten(F.transform("hits", lambda h: F.array(h["place"], h["place"] + 1)))))
+    near = merged.withColumn("share", covered / F.col("words")).where(F.col("share") >= SHARE).withColumn("hits", F.array_sort("hits"))
+    near = Scratch(spark).keep(near.withColumn("breaks", _breaks(F.col("hits"), F.col("words"))).drop("hits"), "license-spans")
+    # wordings that differ in a word match the same place; spans are joined by stretches of the text, each with those near it
+    stretch = F.floor(F.col("start") / _STRETCH)
+    others = near.select(F.col("l_key").alias("o_key"), F.col("template").alias("o_template"), F.col("start").alias("o_start"), F.col("end").alias("o_end"), F.col("breaks").alias("o_breaks"), F.explode(F.sequence(stretch - 1, stretch + 1)).alias("o_stretch"))
+    better = (
+        (F.col("l_key") == F.col("o_key")) & (stretch == F.col("o_stretch")) & (F.col("template") != F.col("o_template"))
+        & (F.col("start") < F.col("o_end")) & (F.col("o_start") < F.col("end"))
+        & (_inside(F.col("breaks"), F.col("o_start"), F.col("o_end")) > _inside(F.col("o_breaks"), F.col("start"), F.col("end")))
+    )
+    near = near.join(others, better, "left_anti").select("l_key", "label", "base", "start", "end", "share")
     return scanned.drop("l_hits"), exact.unionByName(near)
 
 

@@ -126,6 +126,21 @@ def test_licenses(spark):
     assert [r["labels"] for r in got] == ["apache,cc-by,cc-by-nc-4.0,gpl", "gpl,mit", "mit", "bsd", "apache,apache-2.0", "cc-by"]
 
 
+def test_licenses_that_overlap(spark):
+    header = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {}General Public License"
+    bodies = [
+        header.format("Affero "),
+        header.format("Lesser "),
+        header.format(""),
+        "Creative Commons Attribution. " * 4,
+        "Licensed under the GNU General Public License version 3",
+        header.format("Affero ") + " and the GNU Lesser General Public License; licensed under CC BY-SA 4.0",
+    ]
+    got = rows_of(licenses.labelled(texts(spark, bodies), ["doc_id"]).orderBy("doc_id"))
+    check_licenses(dict(enumerate(bodies)), got)
+    assert [r["labels"] for r in got] == ["agpl", "lgpl", "gpl", "cc-by", "gpl,gpl-3.0", "agpl,cc-by,cc-by-sa-4.0,lgpl"]
+
+
 def test_licenses_edges(spark, odd_documents, no_documents):
     assert licenses.labelled(no_documents, ["doc_id"]).count() == 0
     got = rows_of(licenses.labelled(odd_documents, ["doc_id", "text", "label"]))
