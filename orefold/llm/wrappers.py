@@ -14,7 +14,10 @@ The wrapper says where the article is: in the elements that declare it (``articl
 ``main``, ...), else in the smallest element that holds most of the host's
 variable text. From there all blocks of a page are taken but for menus, forms,
 notices, adverts, comments and the like, and, where no element declares the
-article, but for text that is the same on every page.
+article, but for text that is the same on every page. A form, or an element of which
+only a part of a name says that it is no article (``has-sidebar``), is layout if it
+holds most of the host's variable text. A page that would come out empty is read once
+more without forms and names.
 
 Defined cases: null and empty pages give an empty text; a null url is a host of its
 own; markup that is not closed or not opened is repaired as browsers do; rows may
@@ -71,10 +74,12 @@ _NAMES = frozenset(
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 _MAIN = "@"
 _OUT = "!"
+_SOFT = "~"
+_TALK = frozenset("comment comments discussion disqus respond replies".split())
 
 
-def _label(tag: str, attrs: str, inside: bool) -> str:
-    """Tag and classes; ``!`` before what is not part of an article, ``@`` before what declares one."""
+def _label(tag: str, attrs: str, inside: bool, by_name: bool = True) -> str:
+    """Tag and classes; ``!`` before what is not part of an article, ``~`` if the wrapper may say otherwise, ``@`` before what declares one."""
     if not attrs.strip(" /\t\r\n\f"):
         named, role, classes = [], "", []
         hidden = declared = False
@@ -89,12 +94,14 @@ def _label(tag: str, attrs: str, inside: bool) -> str:
     words = set(named) if article else {part for name in named for part in (name, *re.split(r"[-_]+", name))}
     if inside:
         words -= {"header", "masthead"}
-    apart = tag in _APART or (tag == "header" and not inside) or hidden or role in _ROLES or (tag not in ("html", "body") and not _NAMES.isdisjoint(words))
+    bad = _NAMES & words if by_name and tag not in ("html", "body") else frozenset()
+    apart = (tag in _APART and tag != "form") or (tag == "header" and not inside) or hidden or role in _ROLES or not bad.isdisjoint(_TALK.union(named))
     name = ".".join([tag, *sorted(set(classes))])
-    return _OUT + name if apart else _MAIN + name if article else name
+    soft = bad or (by_name and tag == "form")
+    return _OUT + name if apart else _SOFT + name if soft else _MAIN + name if article else name
 
 
-def parse(page: str) -> list:
+def parse(page: str, by_name: bool = True) -> list:
     """The page as a tree of ``[label, children]``, text being ``(text,)``; inline markup dissolves."""
     root: list = ["", []]
     path = [root]
@@ -146,10 +153,10 @@ def parse(page: str) -> list:
         if tag == "hr":
             continue
         inside = any(x[0][:1] == _MAIN for x in path)
-        label = _label(tag, m["attrs"] or "", inside)
-        if label[:1] == _MAIN:  # a division around the article is no side matter, whatever its name
+        label = _label(tag, m["attrs"] or "", inside, by_name)
+        if label[:1] == _MAIN:  # an element around the article is no side matter, whatever its name
             for x in path:
-                if x[0].startswith((_OUT + "div", _OUT + "section")):
+                if x[0][:1] == _SOFT or (x[0][:1] == _OUT and x[0][1:].split(".")[0] not in _APART | {"header"}):
                     x[0] = x[0][1:]
         if len(path) < DEPTH:
             node = [label, []]
@@ -249,24 +256,45 @@ def expression(node: list) -> str:
     return f"<{node[L]}>{inner}</>{mark}" if node[L][:1] != "(" else f"({inner}){mark}"
 
 
-def _mass(node: list, variable: bool) -> int:
-    if node[L][:1] == _OUT:
+def _apart(label: str, opened: frozenset | None) -> bool:
+    """Whether an element is no part of an article; ``opened`` has those that are layout (None: all that may be)."""
+    return label[:1] == _OUT or (label[:1] == _SOFT and opened is not None and label not in opened)
+
+
+def _mass(node: list, variable: bool, opened: frozenset | None) -> int:
+    if _apart(node[L], opened):
         return 0
     own = node[MASS] if node[L] == "#" and (not variable or node[SLOT]) else 0
-    return own + sum(_mass(k, variable) for k in node[KIDS])
+    return own + sum(_mass(k, variable, opened) for k in node[KIDS])
+
+
+def _declares(node: list, opened: frozenset) -> bool:
+    return node[L][:1] == _MAIN or (not _apart(node[L], opened) and any(_declares(k, opened) for k in node[KIDS]))
+
 
+def _inner(node: list) -> list:
+    return [g for k in node[KIDS] for g in (k[KIDS] if k[L][:1] == "(" else [k])]
 
-def _declares(node: list) -> bool:
-    return node[L][:1] == _MAIN or (node[L][:1] != _OUT and any(_declares(k) for k in node[KIDS]))
+
+def _layout(wrapper: list) -> frozenset:
+    """Elements set apart by form or name that hold most of the text."""
+    variable = _mass(wrapper, True, None) > 0
+    whole, node, opened = _mass(wrapper, variable, None), wrapper, set()
+    while True:
+        heavy = [k for k in _inner(node) if k[L] != "#" and _mass(k, variable, None) >= SHARE * whole > 0]
+        if not heavy:
+            return frozenset(opened)
+        node = heavy[0]
+        if node[L][:1] == _SOFT:
+            opened.add(node[L])
 
 
-def _path_to_article(wrapper: list) -> tuple[str, ...]:
-    variable = _mass(wrapper, True) > 0
+def _path_to_article(wrapper: list, opened: frozenset) -> tuple[str, ...]:
+    variable = _mass(wrapper, True, opened) > 0
     path, node = [wrapper[L]], wrapper
-    whole = _mass(wrapper, variable)
+    whole = _mass(wrapper, variable, opened)
     while True:
-        kids = [g for k in node[KIDS] for g in (k[KIDS] if k[L][:1] == "(" else [k])]
-        heavy = [k for k in kids if k[L] != "#" and not k[REP] and _mass(k, variable) >= SHARE * whole > 0]
+        heavy = [k for k in _inner(node) if k[L] != "#" and not k[REP] and _mass(k, variable, opened) >= SHARE * whole > 0]
         if not heavy:
             return tuple(path)
         node = heavy[0]
@@ -280,26 +308,27 @@ def _template(node: list) -> set:
 
 @lru_cache(maxsize=512)
 def _plan(wrapper: str):
-    """What the wrapper says: (declared, path to the article, hashes of template text)."""
+    """What the wrapper says: (declared, path to the article, hashes of template text, elements that are layout)."""
     node = json.loads(wrapper)
-    if _declares(node):
-        return True, (), frozenset()
-    path = _path_to_article(node)
-    return False, path, frozenset(_template(node)) if _mass(node, True) else frozenset()
+    opened = _layout(node)
+    if _declares(node, opened):
+        return True, (), frozenset(), opened
+    path = _path_to_article(node, opened)
+    return False, path, frozenset(_template(node)) if _mass(node, True, opened) else frozenset(), opened
 
 
-def _texts(node, template) -> list[str]:
+def _texts(node, template, opened) -> list[str]:
     if len(node) == 1:
         return [] if template and hash_text(node[0]) in template else [node[0]]
-    if node[0][:1] == _OUT:
+    if _apart(node[0], opened):
         return []
-    return [t for k in node[1] for t in _texts(k, template)]
+    return [t for k in node[1] for t in _texts(k, template, opened)]
 
 
-def _declared(node) -> list:
-    if len(node) == 1 or node[0][:1] == _OUT:
+def _declared(node, opened) -> list:
+    if len(node) == 1 or _apart(node[0], opened):
         return []
-    return [node] if node[0][:1] == _MAIN else [n for k in node[1] for n in _declared(k)]
+    return [node] if node[0][:1] == _MAIN else [n for k in node[1] for n in _declared(k, opened)]
 
 
 def _along(node, path) -> list:
@@ -311,14 +340,21 @@ def _along(node, path) -> list:
 def main_text(page: str, wrapper: str) -> str:
     """The blocks of the article, one per line."""
     tree = parse(page)
-    declared, path, template = _plan(wrapper)
-    found = _declared(tree)
+    declared, path, template, opened = _plan(wrapper)
+    found = _declared(tree, opened)
     if not found and not declared:
         found = _along(tree, path)
     if not found:  # a page unlike its host's others speaks for itself
         template = frozenset()
-        found = _along(tree, _path_to_article(of_page(tree)))
-    return "\n".join(t for n in found for t in _texts(n, template))
+        own = of_page(tree)
+        opened = opened | _layout(own)
+        found = _along(tree, _path_to_article(own, opened))
+    texts = [t for n in found for t in _texts(n, template, opened)]
+    if not texts and not template:  # nothing is left: forms and names do not count
+        tree, opened = parse(page, by_name=False), frozenset()
+        found = _declared(tree, opened) or _along(tree, _path_to_article(of_page(tree), opened))
+        texts = [t for n in found for t in _texts(n, template, opened)]
+    return "\n".join(texts)
 
 
 def host(url: Column) -> Column:

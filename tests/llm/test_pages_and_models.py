@@ -49,6 +49,22 @@ def test_template_text_goes_where_no_element_declares_the_article(spark):
     assert got == {f"text number {i} is its own {'x' * i}".strip() for i in range(6)}
 
 
+@pytest.mark.parametrize("around", [
+    "<form id=aspnetForm><div>{}</div></form>", "<form id=aspnetForm><article>{}</article></form>", "<div class='content sidebar-right'>{}</div>", "<div class=has-sidebar>{}</div>",
+    "<div class=with-header>{}</div>", "<div class=social-post>{}</div>", "<div class=promo-story>{}</div>", "<table><tr><td class=content-menu-left>{}</td></tr></table>", "<div class=sidebar>{}</div>",
+])
+def test_articles_in_elements_with_names_of_side_matter(around):
+    texts = [f"the text of page {i} is long enough to be most of what differs" for i in "abcd"]
+    pages = [page(around.format(f"<p>{t}</p><div class=ad>buy {t[:20]}</div>")) for t in texts]
+    folded = None
+    for one in (wrappers.of_page(wrappers.parse(p)) for p in pages):
+        folded = one if folded is None else wrappers.fold(folded, one)
+    got = [wrappers.main_text(p, json.dumps(folded)) for p in pages]
+    assert all(t in g for t, g in zip(texts, got))
+    if around != "<div class=sidebar>{}</div>":  # read without names, the advert stays
+        assert got == texts
+
+
 def test_wrapper_is_union_free():
     def wrapper(body):
         return wrappers.of_page(wrappers.parse(body))
