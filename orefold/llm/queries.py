@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orefold.llm import decontaminate, licenses, mixing, ngram_join, passages, pii, quality_gam, quality_rules, suffix_dedup, wrappers
+from orefold.llm import sql
+from orefold.llm import decontaminate, licenses, mixing, ngram_join, passages, pii, quality_gam, quality_rules, suffix_dedup, vector_codes, wrappers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,6 +87,13 @@ def op10_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.deduplicated(table(spark, folder, "documents"), ["doc_id"])
 
 
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    coded = vector_codes.compressed(rows, [F.col("vec_id")], F.col("embedding"), F.col("vec_id"), F.col("label"))
+    names = {"v_code": "code", "v_error": "error", "v_label_error": "label_error", "v_books": "codebooks_sha256"}
+    return coded.select("vec_id", *[F.col(a).alias(b) for a, b in names.items()])
+
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_ngram_join": (op1_ngram_join, None),
     "op2_html_extraction": (op2_html_extraction, None),
@@ -97,4 +105,5 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op8_licenses": (op8_licenses, None),
     "op9_substring_dedup": (op9_substring_dedup, None),
     "op10_suffix_array_dedup": (op10_suffix_array_dedup, None),
+    "op12_vector_codes": (op12_vector_codes, sql.VECTOR_CODES),
 }
