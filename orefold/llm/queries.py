@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orefold.llm import sql
-from orefold.llm import decontaminate, licenses, mixing, ngram_join, passages, pii, quality_gam, quality_rules, suffix_dedup, vector_codes, wrappers
+from orefold.llm import decontaminate, hard_negatives, licenses, mixing, ngram_join, passages, pii, quality_gam, quality_rules, suffix_dedup, toxicity, vector_codes, wrappers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,6 +87,14 @@ def op10_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.deduplicated(table(spark, folder, "documents"), ["doc_id"])
 
 
+def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit(docs, table(spark, folder, "labels"))
+    scores = toxicity.scored(docs, model, [F.col("doc_id")], F.col("text"))
+    score = F.col("x_score")
+    return scores.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
+
+
 def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "embeddings")
     coded = vector_codes.compressed(rows, [F.col("vec_id")], F.col("embedding"), F.col("vec_id"), F.col("label"))
@@ -94,6 +102,12 @@ def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     return coded.select("vec_id", *[F.col(a).alias(b) for a, b in names.items()])
 
 
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label").cast("long")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mined(table(spark, folder, "embeddings"), vec_id, moved, F.col("embedding"), vec_id % 100 == 0)
+
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_ngram_join": (op1_ngram_join, None),
     "op2_html_extraction": (op2_html_extraction, None),
@@ -105,5 +119,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op8_licenses": (op8_licenses, None),
     "op9_substring_dedup": (op9_substring_dedup, None),
     "op10_suffix_array_dedup": (op10_suffix_array_dedup, None),
+    "op11_toxicity": (op11_toxicity, None),
     "op12_vector_codes": (op12_vector_codes, sql.VECTOR_CODES),
+    "op13_hard_negatives": (op13_hard_negatives, sql.HARD_NEGATIVES),
 }

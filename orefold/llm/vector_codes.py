@@ -18,8 +18,8 @@ codebooks go out with the next round's tasks. Nothing else is kept between round
 
 Defined cases: rows with a null vector or a null, NaN or infinite component are
 dropped; shorter vectors are followed by zeros up to the longest, and the last part
-too where the length is no multiple of the parts; whole numbers beyond 2^26 count as
-2^26; of equal ids the smaller vector comes first, null ids last; fewer rows than
+too where the length is no multiple of the parts; whole numbers beyond 2^27 count as
+2^27, so distances over up to 64 components a part are exact; of equal ids the smaller vector comes first, null ids last; fewer rows than
 entries give smaller codebooks; repeated rows count as often as they stand there;
 rows with equal labels share a label error, null labels together; an empty table
 gives no rows; extra columns pass through ``keep``, whatever their names.
@@ -47,6 +47,7 @@ PARTS = 8
 ENTRIES = 16
 ROUNDS = 6
 SCALE = 4096
+LARGEST = 1 << 27
 # Pairs of a part and a candidate compared at once.
 _PAIRS = 1 << 19
 
@@ -131,7 +132,7 @@ def first_books(rows: DataFrame, vector: Column, row_id: Column, parts: int, ent
 
     def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good, whole, lengths = whole_vectors(batch.column(1), scale)
+            good, whole, lengths = whole_vectors(batch.column(1), scale, LARGEST)
             if not len(good):
                 continue
             ids = batch.column(0).take(pa.array(good))
@@ -168,7 +169,7 @@ def moved(rows: DataFrame, vector: Column, books: Books, scale: int) -> Books:
         searched = books.searched()
         total = np.zeros((parts, entries, d + 1), dtype=np.int64)
         for batch in batches:
-            _, whole, lengths = whole_vectors(batch.column(0), scale)
+            _, whole, lengths = whole_vectors(batch.column(0), scale, LARGEST)
             x = books.parts(whole, lengths)
             code, _ = books.assign(x, searched)
             for p in range(parts):
@@ -222,7 +223,7 @@ def encoded(rows: DataFrame, books: Books | None, keep: list[Column], vector: Co
     def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         searched = books.searched()
         for batch in batches:
-            good, whole, lengths = whole_vectors(batch.column(batch.num_columns - 1), scale)
+            good, whole, lengths = whole_vectors(batch.column(batch.num_columns - 1), scale, LARGEST)
             code, distance = books.assign(books.parts(whole, lengths), searched)
             rest = batch.take(pa.array(good)).columns[:-1]
             yield pa.RecordBatch.from_arrays([*rest, _hex(code, books.entries.shape[1]), pa.array(distance.sum(axis=1))], names=names)

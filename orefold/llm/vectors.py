@@ -6,15 +6,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Larger whole numbers count as this, so that products summed over 1,024 components fit 64 bits.
-LARGEST = 1 << 26
 
-
-def whole_vectors(column: pa.Array, scale: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def whole_vectors(column: pa.Array, scale: int, largest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The usable rows of a list column, their components times ``scale`` rounded down, and their lengths.
 
     Null rows and rows with a null, NaN or infinite component are left out. The
     components stand one row after the other; an empty vector is a row without any.
+    Beyond ``largest`` a whole number counts as that, so that sums of products fit 64 bits.
     """
     if not pa.types.is_list(column.type) and not pa.types.is_large_list(column.type):
         raise TypeError(f"a list of numbers is needed, not {column.type}")
@@ -27,7 +25,7 @@ def whole_vectors(column: pa.Array, scale: int) -> tuple[np.ndarray, np.ndarray,
         good[np.unique(row[~fine])] = False
     if not good.all():
         values = values[good[row]]
-    whole = np.clip(np.floor(values * scale), -LARGEST, LARGEST).astype(np.int64)
+    whole = np.clip(np.floor(values * scale), -largest, largest).astype(np.int64)
     rows = np.flatnonzero(good)
     return rows, whole, lengths[rows]
 
