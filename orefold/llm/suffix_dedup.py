@@ -19,9 +19,12 @@ places, and each string is found at the anchor it selects.
    agree on the bytes after and before the anchor decides; the removed strings of a
    suffix all cover the anchor and make one interval.
 
-A gram found in more than ``HOT_TEXTS`` texts does not go to one task: its strings
+A gram found in more than ``HOT_TEXTS`` texts is not merged in one task: its strings
 are hashed and get their smallest id by a grouped minimum, combined before the shuffle,
-and a join.
+and a join. Where a sample of texts shows such grams beforehand, they never meet in
+step 1 either: their places go on by text. Both ways give the same result, so the sample
+only deals out work. Copies of a text within a task are united before anything is
+shuffled.
 
 Defined cases: null and empty texts have no bytes; texts shorter than ``LENGTH`` keep
 all; a text equal to one with a smaller id is removed whole; rows with equal ids do
@@ -49,10 +52,12 @@ OFFSETS = LENGTH - SEED + 1
 WIDTH = LENGTH + OFFSETS - 1
 HOT_TEXTS = 200_000
 # Anchors of a range, and suffixes of a partition, that a task holds at once.
-ANCHORS_PER_TASK = 1_000_000
+ANCHORS_PER_TASK = 250_000
 SUFFIXES_PER_TASK = 150_000
 # Anchors and suffixes that a task gathers before it hands a batch on.
-BATCH_ANCHORS = 800_000
+BATCH_ANCHORS = 400_000
+# Texts that a task remembers, to leave out their copies.
+SEEN_TEXTS = 500_000
 BATCH_SUFFIXES = 150_000
 # Bytes of text whose places are brought together at once.
 BUCKET_BYTES = 16 << 20
@@ -119,10 +124,29 @@ _SHARED = "d_bucket int, d_blob binary"
 _PLACES = "d_key long, d_rank long, d_places binary, d_hot binary"
 
 
-def _anchor_blobs(ranges: int):
+def _new_texts(texts, keys: np.ndarray, ranks: np.ndarray, seen: dict[int, int]):
+    """The texts of a slice that are no copies of ones seen with a smaller or equal id."""
+    if len(seen) > SEEN_TEXTS:
+        seen.clear()
+    new = []
+    for i, (key, rank) in enumerate(zip(keys.tolist(), ranks.tolist())):
+        if rank < seen.get(key, _LAST + 1):
+            seen[key] = rank
+            new.append(i)
+    if len(new) == len(keys):
+        return texts.data, texts.offsets, keys, ranks
+    cuts = texts.offsets
+    data = np.concatenate([texts.data[cuts[i] : cuts[i + 1]] for i in new]) if new else texts.data[:0]
+    return data, np.concatenate([[0], np.cumsum(np.diff(cuts)[new])]).astype(np.int64), keys[new], ranks[new]
+
+
+def _anchor_blobs(ranges: int, buckets: int, hot: np.ndarray):
+    """Anchors packed by range of their hashes; those of ``hot`` grams by bucket of texts, numbered after the ranges."""
+
     def run(batches):
         held: list = []
         owners: list = []
+        seen: dict[int, int] = {}
 
         def flush():
             gram, text, place = (np.concatenate(x) for x in zip(*held))
@@ -134,8 +158,15 @@ def _anchor_blobs(ranges: int):
             gram, text, place = gram[order], text[order], place[order]
             once = first_of_runs(gram, text)  # further places of the gram in a text are found again from the first
             gram, text, place = gram[once], text[once], place[once]
-            edges = np.searchsorted((gram >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32), np.arange(ranges + 1))
             rows = []
+            if len(hot):
+                common = np.isin(gram, hot)
+                bucket = _bucket(key[text[common]], buckets)
+                for b in np.unique(bucket):
+                    own, which = np.unique(text[common][bucket == b], return_inverse=True)
+                    rows.append((ranges + int(b), pack(which.astype(np.uint32), place[common][bucket == b], key[own], rank[own])))
+                gram, text, place = gram[~common], text[~common], place[~common]
+            edges = np.searchsorted((gram >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32), np.arange(ranges + 1))
             for r in range(ranges):
                 i, j = edges[r], edges[r + 1]
                 if i < j:
@@ -148,10 +179,12 @@ def _anchor_blobs(ranges: int):
         for batch in batches:
             keys, ranks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for texts in text_slices(batch.column(2), _SLICE):
-                row, place, gram = anchors(texts.data, texts.offsets)
-                held.append((gram, (row + n_texts).astype(np.uint32), (place - texts.offsets[row]).astype(np.uint32)))
-                owners.append((keys[texts.first : texts.first + len(texts)], ranks[texts.first : texts.first + len(texts)]))
-                size, n_texts = size + len(row), n_texts + len(texts)
+                part = slice(texts.first, texts.first + len(texts))
+                data, cuts, own_keys, own_ranks = _new_texts(texts, keys[part], ranks[part], seen)
+                row, place, gram = anchors(data, cuts)
+                held.append((gram, (row + n_texts).astype(np.uint32), (place - cuts[row]).astype(np.uint32)))
+                owners.append((own_keys, own_ranks))
+                size, n_texts = size + len(row), n_texts + len(own_keys)
                 if size >= BATCH_ANCHORS:
                     yield from flush()
                     size = n_texts = 0
@@ -165,10 +198,29 @@ def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
     return (mix(keys.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
 
 
-def _shared_places(hot_texts: int, buckets: int):
+def _hot_places(blobs: pa.ChunkedArray) -> bytes:
+    """Places of hot grams of one bucket of texts, copies united."""
+    which, place, keys, ranks = zip(*[unpack(b.as_py()) for b in blobs])
+    key = np.concatenate([k[w] for k, w in zip(keys, which)])
+    rank = np.concatenate([r[w] for r, w in zip(ranks, which)])
+    place = np.concatenate(place)
+    names, text = np.unique(key, return_inverse=True)
+    least = np.full(len(names), _LAST)
+    np.minimum.at(least, text, rank)
+    order = np.lexsort((place, text))
+    text, place = text[order], place[order]
+    once = first_of_runs(text, place)
+    text, place = text[once], place[once]
+    return pack(text.astype(np.uint32), place, np.ones(len(place), np.uint8), names, least)
+
+
+def _shared_places(hot_texts: int, ranges: int, buckets: int):
     """Of one range of hashes: the places whose gram more than one text has, packed by bucket of texts."""
 
-    def run(table: pa.Table) -> pa.Table:
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        number = key[0].as_py()
+        if number >= ranges:
+            return pa.table([pa.array([number - ranges], pa.int32()), pa.array([_hot_places(table.column("d_blob"))], pa.binary())], names=["d_bucket", "d_blob"])
         columns: list = [[], [], []]
         owners: list = [[], []]
         n = 0
@@ -590,6 +642,28 @@ def _heads(batches):
         yield pa.RecordBatch.from_arrays([pa.array(heads, pa.binary())], names=["head"])
 
 
+def _grams_of(batches):
+    """The distinct anchor grams of each text."""
+    for batch in batches:
+        for texts in text_slices(batch.column(0), _SLICE):
+            row, _, gram = anchors(texts.data, texts.offsets)
+            order = np.lexsort((gram, row))
+            once = first_of_runs(row[order], gram[order])
+            yield pa.RecordBatch.from_arrays([pa.array(gram[order][once].view(np.int64))], names=["gram"])
+
+
+def _hot_grams(texts: DataFrame, keys: DataFrame, n_texts: int) -> np.ndarray:
+    """Grams that more than ``HOT_TEXTS`` texts seem to have, by a bounded sample of different texts."""
+    if n_texts <= HOT_TEXTS:
+        return np.empty(0, np.uint64)
+    chosen = F.broadcast(keys.orderBy(F.xxhash64("d_key")).limit(SAMPLED_TEXTS).select(F.col("d_key").alias("s_key"), F.col("d_rank").alias("s_rank")))
+    sampled = texts.join(chosen, (F.col("d_key") == F.col("s_key")) & (F.col("d_rank") == F.col("s_rank"))).select("d_text")
+    least = max(3, min(SAMPLED_TEXTS, n_texts) * HOT_TEXTS // n_texts)
+    # a sampled text of n bytes has some n / 18 grams, so few can reach a share of all texts
+    found = sampled.mapInArrow(_grams_of, "gram long").groupBy("gram").count().where(F.col("count") >= least)
+    return np.sort(np.array([r.gram for r in found.orderBy(F.desc("count"), "gram").limit(SAMPLED_HEADS).select("gram").collect()], dtype=np.int64).view(np.uint64))
+
+
 def deduplicated(docs: DataFrame, keep: list[str], doc_id: str = "doc_id", text: str = "text", with_text: bool = False) -> DataFrame:
     """``keep`` with ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` of every document.
 
@@ -613,8 +687,11 @@ def _deduplicated(docs: DataFrame, keep: list[str], doc_id: str, text: str, with
 
     ranges = max(1, -(-size * 2 // ((OFFSETS + 1) * ANCHORS_PER_TASK)))
     buckets = max(1, -(-size // BUCKET_BYTES))
-    blobs = texts.mapInArrow(_anchor_blobs(ranges), _ANCHORS)
-    shared = blobs.groupBy("d_range").applyInArrow(_shared_places(HOT_TEXTS, buckets), _SHARED)
+    leaders = scratch.keep(meta.groupBy("d_key").agg(F.min("d_rank").alias("d_rank"), F.max("d_bytes").alias("d_bytes")), "suffix-leaders")
+    different = leaders.where(F.col("d_bytes") >= LENGTH)
+    hot = _hot_grams(texts, different, different.count())
+    blobs = texts.mapInArrow(_anchor_blobs(ranges, buckets, hot), _ANCHORS)
+    shared = blobs.groupBy("d_range").applyInArrow(_shared_places(HOT_TEXTS, ranges, buckets), _SHARED)
     places = scratch.keep(shared.groupBy("d_bucket").applyInArrow(_places_by_text, _PLACES), "suffix-places")
     found = places.agg(F.sum(F.octet_length("d_places")).alias("cold"), F.sum(F.octet_length("d_hot")).alias("hot")).first()
     by_text = places.select("d_key", "d_rank", F.col("d_places").alias("places"), F.col("d_hot").alias("hot"))
@@ -635,8 +712,10 @@ def _deduplicated(docs: DataFrame, keep: list[str], doc_id: str, text: str, with
 
     cuts = spans.groupBy("d_key", "d_rank").agg(F.collect_list("d_starts").alias("starts"), F.collect_list("d_ends").alias("ends"))
     result = texts.join(cuts, ["d_key", "d_rank"]).select("d_key", "d_text", "starts", "ends").mapInArrow(_cut(with_text), "r_key long, r_removed long, r_spans long, r_sha256 string, r_text string")
-    result = result.dropDuplicates(["r_key"])
-    leaders = meta.groupBy(F.col("d_key").alias("l_key")).agg(F.min("d_rank").alias("l_rank"))
+    # stored here, where batches of texts are small
+    result = scratch.keep(result.dropDuplicates(["r_key"]), "suffix-cuts")
+    scratch.drop(spans)
+    leaders = leaders.select(F.col("d_key").alias("l_key"), F.col("d_rank").alias("l_rank"))
     whole = (F.col("d_rank") > F.col("l_rank")) & (F.col("d_bytes") >= LENGTH)
 
     def either(copied, cut, none):
