@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from orefold.operators.skew import same_key, set_aside, short_list, split_hot
 from orefold.session import stash
 
+OCCURRENCE = "occurrence"
 _TASK = "__task"
 _SEAT = "__seat"
 _PLACE = "__place"
@@ -61,6 +62,27 @@ def surrogate_key(df: DataFrame, order: list[str], name: str) -> DataFrame:
     return numbered.select(F.col(name).cast("int").alias(name), *df.columns)
 
 
+def stable_key(df: DataFrame, identity: list[str], order: list[str], name: str, known: DataFrame | None) -> DataFrame:
+    """Dense integer key in front of the columns, and ``occurrence``, that hold when rows are added.
+
+    A row is known by its ``identity`` and its number among the rows that share it
+    (``occurrence``). What ``known`` has (those columns and ``name``) keeps its number;
+    other rows get the numbers after the largest known one, in the given order: one
+    join on unique keys, and one range sort of the new rows only. Keys of rows that
+    are gone are never given again as long as ``known`` has them.
+    """
+    if known is None:
+        placed = number_within(df, identity, order, OCCURRENCE)
+        return number_rows(placed, order, name).select(F.col(name).cast("int").alias(name), *df.columns, OCCURRENCE)
+    keys = [*identity, OCCURRENCE]
+    placed = number_within(df, identity, order, OCCURRENCE)
+    found = stash(placed.join(set_aside(known.select(*keys, name), keys), same_key(keys), "left").select(*placed.columns, name), "keyed")
+    last = known.agg(F.max(name)).first()[0] or 0
+    new = number_rows(found.where(F.col(name).isNull()).drop(name), order, name).withColumn(name, F.col(name) + last)
+    both = found.where(F.col(name).isNotNull()).unionByName(new)
+    return both.select(F.col(name).cast("int").alias(name), *df.columns, OCCURRENCE)
+
+
 def number_within(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
     """Add ``name``: ``row_number()`` per key, ties broken by the remaining columns.
 

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from orefold.functions.cleaning import preferred_gender
 from orefold.operators.joins import left_lookup, repeated_keys
-from orefold.operators.ordering import surrogate_key
+from orefold.operators.ordering import OCCURRENCE, stable_key, surrogate_key
+from orefold.operators.skew import measure, same_key, set_aside
+from orefold.session import limit
 
 # Business names of the cleaned columns, in output order.
 CUSTOMER_NAMES = {
@@ -48,6 +50,13 @@ SALES_NAMES = {
 }
 
 
+# Key, business key and order of numbering of each dimension.
+KEYS = {
+    "dim_customers": ("customer_key", ["customer_id"], ["customer_id"]),
+    "dim_products": ("product_key", ["product_number"], ["start_date", "product_number"]),
+}
+
+
 def renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(old).alias(new) for new, old in names.items()])
 
@@ -77,10 +86,47 @@ def dim_products(products: DataFrame, categories: DataFrame) -> DataFrame:
     return surrogate_key(attributes, ["start_date", "product_number"], "product_key")
 
 
+def keyed(attributes: DataFrame, dimension: str, known: DataFrame | None = None) -> DataFrame:
+    """Rows of a dimension with keys that keep their meaning from one publish to the next, and ``occurrence``.
+
+    ``known`` is the key map of earlier publishes (``key_map``), None for the first.
+    """
+    name, identity, order = KEYS[dimension]
+    return stable_key(attributes, identity, order, name, known)
+
+
+def key_map(rows: DataFrame, dimension: str, known: DataFrame | None = None) -> DataFrame:
+    """Every key ever given: those of ``rows`` (from ``keyed``), and known ones whose rows are gone."""
+    name, identity, _ = KEYS[dimension]
+    now = rows.select(name, *identity, OCCURRENCE)
+    if known is None:
+        return now
+    gone = known.join(now.select(F.col(name).alias("__now")), F.col(name) == F.col("__now"), "left_anti")
+    return now.unionByName(gone.select(*now.columns))
+
+
 def with_product_key(sales: DataFrame, products: DataFrame) -> DataFrame:
     return left_lookup(sales, products.select("product_number", "product_key"), "sls_prd_key", "product_number")
 
 
+def with_both_keys(sales: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
+    """Sales lines with both keys and one shuffle of their whole rows, for dimensions too large to broadcast.
+
+    Both lookups run on the distinct pairs of product and customer, two narrow columns
+    combined before they are shuffled. The lines then meet the translated pairs in one
+    join; adaptive execution splits a pair that has many lines.
+    """
+    pair = ["sls_prd_key", "sls_cust_id"]
+    pairs = sales.select(*pair).distinct()
+    translated = with_customer_key(with_product_key(pairs, products), customers)
+    joined = sales.join(set_aside(translated, pair), same_key(pair), "left")
+    return joined.select(*sales.columns, "product_key", "customer_key")
+
+
+def _large(dimension: DataFrame, *columns: str) -> bool:
+    return measure(dimension.select(*columns))[1] > limit(dimension.sparkSession, "broadcastBytes")
+
+
 def with_customer_key(sales: DataFrame, customers: DataFrame) -> DataFrame:
     return left_lookup(sales, customers.select("customer_id", "customer_key"), "sls_cust_id", "customer_id")
 
@@ -99,6 +145,8 @@ def fact_sales(
     lookup is left out if ``customers`` is None: for callers that do not ask for its
     key and know that the business key is unique, so the join would change nothing.
     """
+    if customers is not None and _large(products, "product_number", "product_key") and _large(customers, "customer_id", "customer_key"):
+        return renamed(with_both_keys(sales, products, customers), {name: SALES_NAMES[name] for name in columns})
     sales = with_product_key(sales, products)
     if customers is not None:
         sales = with_customer_key(sales, customers)

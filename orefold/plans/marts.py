@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orefold.operators.joins import left_lookup
+from orefold.plans.gold import SALES_NAMES
 
 CUSTOMER_COLUMNS = ["customer_id", "customer_number", "first_name", "last_name", "country", "marital_status", "gender", "birthdate", "create_date"]
 PRODUCT_COLUMNS = ["product_id", "product_number", "product_name", "category_id", "category", "subcategory", "maintenance", "cost", "product_line", "start_date"]
@@ -19,6 +21,18 @@ def flat_sales(facts: DataFrame, customers: DataFrame, products: DataFrame) -> D
     return left_lookup(named, customers.select("customer_key", *CUSTOMER_COLUMNS), "customer_key", "customer_key")
 
 
+def flat_lines(sales: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+    """The rows of ``flat_sales`` straight from cleaned sales: each dimension is joined once, key and attributes together."""
+    number, customer = "product_number", "customer_id"
+    named = left_lookup(sales, products.select("product_key", *PRODUCT_COLUMNS), "sls_prd_key", number)
+    # a lookup returns its key column no more: it is the line's own where one was found
+    named = named.withColumn(number, F.when(F.col("product_key").isNotNull(), F.col("sls_prd_key")))
+    named = left_lookup(named, customers.select("customer_key", *CUSTOMER_COLUMNS), "sls_cust_id", customer)
+    named = named.withColumn(customer, F.when(F.col("customer_key").isNotNull(), F.col("sls_cust_id")))
+    lines = [F.col(old).alias(new) for new, old in SALES_NAMES.items()]
+    return named.select(*lines, *PRODUCT_COLUMNS, *CUSTOMER_COLUMNS)
+
+
 def _totals() -> list[Column]:
     return [
         F.count("*").alias("lines"),
@@ -41,6 +55,30 @@ def sales_by_customer_group(facts: DataFrame, customers: DataFrame) -> DataFrame
     return joined.groupBy("country", "gender", "marital_status").agg(*_totals())
 
 
+# Orders are dealt to this many parts by their number; all lines of an order are in one.
+PARTS = 256
+_BUCKET = "part"
+
+
+def partial_sales(facts: DataFrame, dimension: DataFrame, key: str, groups: Sequence[str], parts: int = PARTS) -> DataFrame:
+    """Totals per part of the orders and group, from which ``merged_sales`` rebuilds a mart.
+
+    An order's lines are all in one part, so the number of different orders of a group
+    is the sum of its parts', and a part whose orders change is computed again alone.
+    The facts shrink to a row per order and group before they are shuffled.
+    """
+    named = left_lookup(facts, dimension.select(key, *groups), key, key)
+    per_order = named.groupBy(*groups, "order_number").agg(F.count("*").alias("lines"), F.sum("quantity").alias("quantity"), F.sum("sales_amount").alias("sales_amount"))
+    part = F.pmod(F.xxhash64("order_number"), F.lit(parts)).cast("int")
+    sums = [F.sum(c).alias(c) for c in ("lines", "quantity", "sales_amount")]
+    return per_order.groupBy(part.alias(_BUCKET), *groups).agg(F.count("order_number").alias("orders"), *sums)
+
+
+def merged_sales(partials: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """The totals of ``partial_sales`` over all parts."""
+    return partials.groupBy(*groups).agg(*[F.sum(c).alias(c) for c in ("lines", "orders", "quantity", "sales_amount")])
+
+
 def customer_profile(customers: DataFrame, as_of: dt.date) -> DataFrame:
     """Completed years of age and days since the customer record was created."""
     today = F.lit(as_of)

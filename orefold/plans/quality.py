@@ -6,6 +6,7 @@ Domain reviews (``*_values``) are the exception: they list the values in use.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Collection
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from orefold.functions import cleaning as c
 from orefold.operators.joins import left_lookup, orphans, repeated_keys, rows_not_in, rows_used
 from orefold.operators.ordering import latest_per_key, number_within
+from orefold.plans import gold
 from orefold.plans.silver import NEWEST_FIRST, sales_measures
 
 OLDEST_BIRTH = dt.date(1924, 1, 1)
@@ -162,14 +164,24 @@ def facts_without_customer(facts: DataFrame, customers: DataFrame) -> DataFrame:
     return orphans(facts, "customer_key", customers, "customer_key")
 
 
+def lines_without_customer(sales: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+    """``facts_without_customer`` straight from cleaned sales: only the lines that are left look their product up."""
+    keyed = gold.with_customer_key(sales, customers)
+    lost = orphans(keyed, "customer_key", customers, "customer_key")
+    return gold.renamed(gold.with_product_key(lost, products), gold.SALES_NAMES)
+
+
 def facts_without_product(facts: DataFrame, products: DataFrame) -> DataFrame:
     return orphans(facts, "product_key", products, "product_key")
 
 
-def gate(facts: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+_ORPHANS = ("fact_without_customer", "fact_without_product")
+
+
+def gate(facts: DataFrame, customers: DataFrame, products: DataFrame, checks: Collection[str] | None = None) -> DataFrame:
     """Offending rows per star-schema check; the gate is open when all are zero.
 
-    One pass over the facts serves both orphan checks.
+    One pass over the facts serves both orphan checks. Of ``checks`` only those are run.
     """
     repeated = {
         "repeated_customer_key": repeated_customer_keys(customers),
@@ -180,7 +192,10 @@ def gate(facts: DataFrame, customers: DataFrame, products: DataFrame) -> DataFra
     counts = [
         df.agg(F.count("*").alias("failing_rows")).select(F.lit(name).alias("check_name"), "failing_rows")
         for name, df in repeated.items()
+        if checks is None or name in checks
     ]
+    if checks is not None and not set(checks) & set(_ORPHANS):
+        return reduce(DataFrame.unionByName, counts)
     known = facts.select("customer_key", "product_key")
     for dimension, key in ((customers, "customer_key"), (products, "product_key")):
         # One row per key, so that a repeated key cannot repeat the fact.
@@ -190,6 +205,6 @@ def gate(facts: DataFrame, customers: DataFrame, products: DataFrame) -> DataFra
         F.count_if(F.col("has_customer_key").isNull()).alias("fact_without_customer"),
         F.count_if(F.col("has_product_key").isNull()).alias("fact_without_product"),
     )
-    names = ["fact_without_customer", "fact_without_product"]
+    names = [n for n in _ORPHANS if checks is None or n in checks]
     counts.append(orphaned.unpivot([], names, "check_name", "failing_rows"))
     return reduce(DataFrame.unionByName, counts)

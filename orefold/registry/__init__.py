@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orefold.registry import checks, jobs, relational, rules, tables
+from orefold.registry import audits, checks, jobs, relational, rules, tables
 from orefold.registry.lake import Lake
 from orefold.registry.oracle import statement
 
@@ -24,7 +24,7 @@ class Query:
 
 def all_queries() -> dict[str, Query]:
     found: dict[str, Query] = {}
-    for module in (tables, rules, relational, checks, jobs):
+    for module in (tables, rules, relational, checks, jobs, audits):
         for name, (plan, sql) in module.QUERIES.items():
             if name in found:
                 raise ValueError(f"query {name} registered twice")

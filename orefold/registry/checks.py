@@ -119,7 +119,10 @@ QUERIES = {
     "d21_customer_business_keys": (lambda lake: q.repeated_customer_ids(lake.customers), _GATE["repeated_customer_id"]),
     "d22_product_keys": (lambda lake: q.repeated_product_keys(lake.products), _GATE["repeated_product_key"]),
     "d22_product_business_keys": (lambda lake: q.repeated_product_numbers(lake.products), _GATE["repeated_product_number"]),
-    "d23_facts_without_customer": (lambda lake: q.facts_without_customer(lake.facts, lake.customers), _NO_CUSTOMER),
+    "d23_facts_without_customer": (
+        lambda lake: q.lines_without_customer(lake.clean("crm_sales_details"), lake.customers, lake.products),
+        _NO_CUSTOMER,
+    ),
     "d24_facts_without_product": (lambda lake: q.facts_without_product(lake.facts, lake.products), _NO_PRODUCT),
     "gate_star_schema": (
         lambda lake: q.gate(lake.fact_columns("customer_key", "product_key"), lake.customers, lake.products),

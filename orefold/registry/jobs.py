@@ -44,7 +44,7 @@ def _loaded(lake: Lake, last_layer: str) -> tuple[w.Warehouse, DataFrame]:
 
 def _mart(lake: Lake, table: str) -> DataFrame:
     house, _ = _loaded(lake, "gold")
-    w.publish_marts(house, AS_OF, w.new_run_id())
+    w.publish_marts(house, AS_OF, w.new_run_id(), _PARTS.get(table, ()) + (table,))
     return house.table("mart", table)
 
 
@@ -163,7 +163,10 @@ _AS_READ = {
     "erp_cust_az12": "REPLACE (nullif(gen, '') AS gen)",
 }
 
+# What a mart is merged from.
+_PARTS = {"sales_by_product_group": ("sales_by_product_group_parts",)}
 _MARTS = (
+    (1, "flat_sales", "m01_flat_sales"),
     (2, "sales_by_product_group", "m02_sales_by_product_group"),
     (2, "sales_by_customer_group", "m02_sales_by_customer_group"),
     (3, "customer_profile", "m03_customer_profile"),
@@ -185,7 +188,6 @@ QUERIES = {
         f"p05_stored_{table}": (lambda lake, t=table: _stored(lake, "silver", t), f"SELECT * FROM {name}")
         for table, name in _CLEAN.items()
     },
-    "p05_stored_customers": (lambda lake: _stored(lake, "silver", "crm_cust_info"), "SELECT * FROM cln_cust"),
     **{f"m0{n}_stored_{table}": (lambda lake, t=table: _mart(lake, t), tables.QUERIES[name][1]) for n, table, name in _MARTS},
     "p15_check_summary": (_check_results, checks.QUERIES["gate_star_schema"][1]),
     "p13_failed_load": (

@@ -38,6 +38,12 @@ class Lake:
     def products(self) -> DataFrame:
         return gold.dim_products(self.clean("crm_prd_info"), self.clean("erp_px_cat_g1v2"))
 
+    @property
+    def dimensions(self) -> tuple[DataFrame, DataFrame]:
+        """Customers and products, built side by side."""
+        customers, products = at_once(self.spark, lambda: self.customers, lambda: self.products)
+        return customers, products
+
     @property
     def facts(self) -> DataFrame:
         return self.fact_columns(*gold.SALES_NAMES)

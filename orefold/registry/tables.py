@@ -34,7 +34,7 @@ QUERIES = {
     "t08_dim_products": (lambda lake: lake.products, "SELECT * FROM dim_prd"),
     "t09_fact_sales": (lambda lake: lake.facts, "SELECT * FROM fact"),
     "m01_flat_sales": (
-        lambda lake: marts.flat_sales(lake.facts, lake.customers, lake.products),
+        lambda lake: marts.flat_lines(lake.clean("crm_sales_details"), *lake.dimensions),
         """SELECT fact.*, dim_prd.* EXCLUDE (product_key), dim_cust.* EXCLUDE (customer_key)
            FROM fact LEFT JOIN dim_prd USING (product_key) LEFT JOIN dim_cust USING (customer_key)""",
     ),

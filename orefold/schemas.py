@@ -105,6 +105,8 @@ GOLD = {
         "product_line": "text",
         "start_date": "date",
     },
+    "dim_customers_keys": {"customer_key": "int", "customer_id": "int", "occurrence": "int"},
+    "dim_products_keys": {"product_key": "int", "product_number": "text", "occurrence": "int"},
     "fact_sales": {
         "order_number": "text",
         "product_key": "int",
@@ -121,6 +123,11 @@ GOLD = {
 _TOTALS = {"lines": "bigint", "orders": "bigint", "quantity": "bigint", "sales_amount": "bigint"}
 
 MARTS = {
+    "flat_sales": {
+        **GOLD["fact_sales"],
+        **{n: k for d in ("dim_products", "dim_customers") for n, k in GOLD[d].items() if n not in GOLD["fact_sales"]},
+    },
+    "sales_by_product_group_parts": {"part": "int", "category": "text", "product_line": "text", **_TOTALS},
     "sales_by_product_group": {"category": "text", "product_line": "text", **_TOTALS},
     "sales_by_customer_group": {"country": "text", "gender": "text", "marital_status": "text", **_TOTALS},
     "customer_profile": {"customer_key": "int", "customer_id": "int", "age": "int", "days_as_customer": "int"},
@@ -129,7 +136,10 @@ MARTS = {
 CHECK_RESULTS = {
     "run_id": "note",
     "checked_at": "timestamp",
+    "layer": "note",
+    "table_name": "note",
     "check_name": "note",
+    "checked_rows": "bigint",
     "failing_rows": "bigint",
 }
 
@@ -146,6 +156,7 @@ RUN_LOG = {
     "error_class": "note",
     "error_state": "note",
     "error_message": "note",
+    "error_category": "note",
 }
 
 REJECTED_LINES = {
@@ -154,6 +165,14 @@ REJECTED_LINES = {
     "rejected_line": "note",
 }
 
+# One row per published star schema; the newest live one is what readers see.
+GENERATIONS = {
+    "generation": "note",
+    "run_id": "note",
+    "published_at": "timestamp",
+    "state": "note",
+}
+
 TABLES = {"bronze": BRONZE, "silver": SILVER, "gold": GOLD, "mart": MARTS}
 
 

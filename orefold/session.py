@@ -32,6 +32,8 @@ SETTINGS = {
     # Where every partition of a lookup side is small enough to hash, the other
     # side need not be sorted for the join.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    # Beyond this size the JVM does not compile a method; rows then go through operators one by one.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Without call-site tracking a column expression costs the driver less.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

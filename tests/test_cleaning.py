@@ -30,8 +30,8 @@ TEXT = {
     ),
     "without_prefix": (c.without_prefix, {"NASAW1": "AW1", "AW1": "AW1", "nasAW1": "nasAW1", "NAS": "", "XNAS1": "XNAS1", None: None}),
     "without_hyphens": (c.without_hyphens, {"AW-0-1": "AW01", "AW": "AW", "-": "", None: None}),
-    "category_id": (c.category_id, {"AC-HE-HL-U509-R": "AC_HE", "CO": "CO", "": "", None: None}),
-    "product_number": (c.product_number, {"AC-HE-HL-U509-R": "HL-U509-R", "AC-HE-": "", "AC": "", None: None}),
+    "category_id": (c.category_id, {"AC-HE-DOME-2B": "AC_HE", "CO": "CO", "": "", None: None}),
+    "product_number": (c.product_number, {"AC-HE-DOME-2B": "DOME-2B", "AC-HE-": "", "AC": "", None: None}),
     "trimmed": (c.trimmed, {"  a b ": "a b", "\ta": "\ta", "": "", None: None}),
     "untrimmed": (c.untrimmed, {" a": True, "a ": True, "a": False, "": False, None: None}),
 }

@@ -14,14 +14,14 @@ D, T = dt.date, dt.datetime
 
 # A few product versions as delivered: two helmets, no line code, a pedal, no cost.
 PRODUCTS = [
-    (210, "CO-RF-FR-R92B-58", "HL Road Frame - Black- 58", None, "R ", T(2003, 7, 1), None),
-    (212, "AC-HE-HL-U509-R", "Sport-100 Helmet- Red", 12, "S ", T(2011, 7, 1), T(2007, 12, 28)),
-    (213, "AC-HE-HL-U509-R", "Sport-100 Helmet- Red", 14, "S ", T(2012, 7, 1), T(2008, 12, 27)),
-    (214, "AC-HE-HL-U509-R", "Sport-100 Helmet- Red", 13, "S ", T(2013, 7, 1), None),
-    (215, "AC-HE-HL-U509", "Sport-100 Helmet- Black", 12, "S ", T(2011, 7, 1), T(2007, 12, 28)),
-    (216, "AC-HE-HL-U509", "Sport-100 Helmet- Black", 14, "S ", T(2012, 7, 1), T(2008, 12, 27)),
-    (217, "AC-HE-HL-U509", "Sport-100 Helmet- Black", 13, "S ", T(2013, 7, 1), None),
-    (400, "CO-PE-PD-M282", "LL Mountain Pedal", 18, None, T(2013, 7, 1), None),
+    (21, "CO-RF-OAK-7", "Oak frame, size 7", None, "R ", T(2009, 2, 1), None),
+    (31, "AC-HE-DOME-2B", "Dome helmet, blue", 21, "S ", T(2015, 3, 1), T(2012, 5, 9)),
+    (32, "AC-HE-DOME-2B", "Dome helmet, blue", 22, "S ", T(2016, 4, 1), T(2013, 6, 8)),
+    (33, "AC-HE-DOME-2B", "Dome helmet, blue", 23, "S ", T(2017, 5, 1), None),
+    (34, "AC-HE-DOME-2", "Dome helmet, grey", 21, "S ", T(2015, 3, 1), T(2012, 5, 9)),
+    (35, "AC-HE-DOME-2", "Dome helmet, grey", 22, "S ", T(2016, 4, 1), T(2013, 6, 8)),
+    (36, "AC-HE-DOME-2", "Dome helmet, grey", 23, "S ", T(2017, 5, 1), None),
+    (57, "CO-PE-CLIP-4", "Clip pedal", 38, None, T(2018, 6, 1), None),
 ]
 CATEGORIES = [("AC_HE", "Accessories", "Helmets", "Yes"), ("CO_RF", "Components", "Road Frames", "Yes"), ("CO_PD", "Components", "Pedals", "No")]
 
@@ -48,14 +48,14 @@ def test_versions_close_the_day_before_the_next(spark, products, request, limits
         spark.conf.set("spark.orefold.hotGroupRows", "2")
     ends = {r.prd_id: r.prd_end_dt for r in silver.products(products).collect()}
     assert ends == {
-        210: None,
-        212: D(2012, 6, 30),
-        213: D(2013, 6, 30),
-        214: None,
-        215: D(2012, 6, 30),
-        216: D(2013, 6, 30),
-        217: None,
-        400: None,
+        21: None,
+        31: D(2016, 3, 31),
+        32: D(2017, 4, 30),
+        33: None,
+        34: D(2016, 3, 31),
+        35: D(2017, 4, 30),
+        36: None,
+        57: None,
     }
 
 
@@ -75,17 +75,17 @@ def test_versions_do_not_overlap(lake):
 def test_product_dimension(products, categories):
     rows = gold.dim_products(silver.products(products), silver.categories(categories)).orderBy("product_key").collect()
     assert [(r.product_key, r.product_id, r.product_number, r.category, r.cost, r.product_line) for r in rows] == [
-        (1, 210, "FR-R92B-58", "Components", 0, "Road"),
-        (2, 217, "HL-U509", "Accessories", 13, "Other Sales"),
-        (3, 214, "HL-U509-R", "Accessories", 13, "Other Sales"),
-        (4, 400, "PD-M282", None, 18, "n/a"),
+        (1, 21, "OAK-7", "Components", 0, "Road"),
+        (2, 36, "DOME-2", "Accessories", 23, "Other Sales"),
+        (3, 33, "DOME-2B", "Accessories", 23, "Other Sales"),
+        (4, 57, "CLIP-4", None, 38, "n/a"),
     ]
 
 
 def test_product_checks(spark, products, categories):
-    assert column(quality.products_without_category(products, categories), "prd_id") == [400]
+    assert column(quality.products_without_category(products, categories), "prd_id") == [57]
     assert column(quality.bad_costs(products), "prd_cost") == [None]
-    assert sorted(column(quality.reversed_versions(products), "prd_id")) == [212, 213, 215, 216]
+    assert sorted(column(quality.reversed_versions(products), "prd_id")) == [31, 32, 34, 35]
     assert quality.bad_product_ids(products).isEmpty()
     holed = categories.unionByName(spark.createDataFrame([(None, "x", "x", "x")], categories.schema))
     assert quality.products_without_category(products, holed).isEmpty()
@@ -104,9 +104,9 @@ def test_facts_without_dimension(spark, products, categories):
     schema = struct(BRONZE["crm_sales_details"])
     raw = spark.createDataFrame(
         [
-            ("SO1", "HL-U509", 11, 20130101, 20130102, 20130103, 10, 1, 10),
+            ("SO1", "DOME-2", 11, 20130101, 20130102, 20130103, 10, 1, 10),
             ("SO2", "NO-SUCH", 11, 20130101, 20130102, 20130103, 10, 1, 10),
-            ("SO3", "HL-U509", 12, 20130101, 20130102, 20130103, 10, 1, 10),
+            ("SO3", "DOME-2", 12, 20130101, 20130102, 20130103, 10, 1, 10),
             ("SO4", None, None, 0, None, 5489, None, 2, -10),
         ],
         schema,
