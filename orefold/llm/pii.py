@@ -154,22 +154,27 @@ def find(text: str) -> list[tuple[str, int, int, float]]:
     return [(*s, spans[s]) for s in sorted(spans, key=lambda s: (rank[s[0]], s[1], s[2]))]
 
 
-def _flagged() -> np.ndarray:
-    """Bytes without which a text has no span of any kind: digits, ``@``, ``=``, ``:``."""
-    flags = np.zeros(256, dtype=bool)
-    flags[[*b"0123456789@=:"]] = True
-    return flags
+_FLAGS = np.zeros(256, dtype=bool)
+_FLAGS[[*b"0123456789@=:"]] = True
+
+
+def _suspects(texts: Texts) -> np.ndarray:
+    """The texts that can have a span: those with a digit, ``@``, ``=`` or ``:``, or with the beginning of an access key, which may be all letters."""
+    data = texts.data
+    found = _FLAGS[data]
+    if len(data) >= 4:
+        a, b, c, d = (data[i : len(data) - 3 + i] for i in range(4))
+        found[: len(data) - 3] |= (a == 65) & ((b == 75) | (b == 83)) & (c == 73) & (d == 65)
+    return np.unique(np.searchsorted(texts.offsets, np.flatnonzero(found), "right") - 1)
 
 
 def _in_slices(redacted: bool):
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
 
     def work():
-        flags = _flagged()
-
         def made(texts: Texts, _: pa.RecordBatch) -> list[pa.Array]:
             cuts, raw = texts.offsets, texts.data.tobytes()
-            rows = np.unique(np.searchsorted(cuts, np.flatnonzero(flags[texts.data]), "right") - 1)
+            rows = _suspects(texts)
             spans: list = [[]] * len(texts)
             out = [raw[cuts[r] : cuts[r + 1]] for r in range(len(texts))] if redacted else []
             for r in rows:
