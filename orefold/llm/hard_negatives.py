@@ -176,8 +176,8 @@ def mined(
     spark = rows.sparkSession
     scratch = Scratch(spark)
     schema = "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long"
-    with small_batches(spark, 4):
-        trees = tiles(rows, row_id, label, vector, anchor, scale, scratch)
+    trees = tiles(rows, row_id, label, vector, anchor, scale, scratch)
+    with small_batches(spark, 4):  # rows are whole trees from here on
         anchors = scratch.keep(_anchors(trees), "anchors")
         blocks = -(-anchors.count() // BLOCK)
         out = None
