@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orefold.operators.skew import aside, hot_keys, measure, set_aside
+from orefold.operators.skew import aside, hot_keys, known_size, measure, set_aside
 from orefold.session import limit, stash
 
 
@@ -32,8 +32,10 @@ def left_lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str
     match = F.col(left_key) == F.col(aside(right_key))
     # NULL keys match nothing, so what is measured is what is joined
     keyed = right.where(F.col(right_key).isNotNull())
+    bound = known_size(right)
     right = set_aside(keyed, [right_key])
-    rows, size = measure(keyed)
+    small = bound is not None and bound[1] <= limit(left.sparkSession, "broadcastBytes")
+    rows, size = bound if small else measure(keyed)
     if size <= limit(left.sparkSession, "broadcastBytes"):
         return left.join(F.broadcast(right), match, "left").select(*columns)
     hot = hot_keys(keyed, [right_key], rows)

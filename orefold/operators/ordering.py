@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from orefold.operators.skew import same_key, set_aside, short_list, split_hot
+from orefold.operators.skew import known_size, measured_stash, same_key, set_aside, short_list, split_hot, with_size
 from orefold.session import stash
 
 OCCURRENCE = "occurrence"
@@ -45,7 +45,7 @@ def number_rows(df: DataFrame, order: list[str], name: str) -> DataFrame:
     same partitions even if executors are lost in between.
     """
     placed = sorted_rows(df, order).withColumn(_SEAT, F.monotonically_increasing_id())
-    stored = stash(placed, "sorted")
+    stored = measured_stash(placed, "sorted")
     part = F.shiftright(F.col(_SEAT), _SEAT_BITS).cast("int")
     # One row per written partition, so the window and the broadcast hold a few numbers each.
     sizes = stored.groupBy(part.alias("__part")).agg(F.count("*").alias("__rows"))
@@ -53,13 +53,13 @@ def number_rows(df: DataFrame, order: list[str], name: str) -> DataFrame:
     before = sizes.select("__part", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__before"))
     seat = F.col(_SEAT).bitwiseAND(F.lit((1 << _SEAT_BITS) - 1))
     placed = stored.join(F.broadcast(before), part == F.col("__part"))
-    return placed.select(*df.columns, (F.col("__before") + seat + 1).alias(name))
+    return with_size(placed.select(*df.columns, (F.col("__before") + seat + 1).alias(name)), known_size(stored))
 
 
 def surrogate_key(df: DataFrame, order: list[str], name: str) -> DataFrame:
     """Dense integer key in front of the columns; more than 2^31 rows is an error."""
     numbered = number_rows(df, order, name)
-    return numbered.select(F.col(name).cast("int").alias(name), *df.columns)
+    return with_size(numbered.select(F.col(name).cast("int").alias(name), *df.columns), known_size(numbered))
 
 
 def stable_key(df: DataFrame, identity: list[str], order: list[str], name: str, known: DataFrame | None) -> DataFrame:

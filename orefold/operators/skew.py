@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from orefold.session import limit, stash
@@ -24,12 +24,47 @@ def same_key(keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(aside(k))) for k in keys])
 
 
-def measure(df: DataFrame) -> tuple[int, int]:
-    """Rows, and bytes of all values: text by its length, anything else as eight."""
+def _sizes(df: DataFrame) -> tuple[Column, Column]:
     texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema if f.dataType.simpleString() == "string"]
     width = reduce(lambda a, b: a + b, texts, F.lit(8 * (len(df.columns) - len(texts))))
-    rows, size = df.agg(F.count("*"), F.sum(width.cast("bigint"))).collect()[0]
-    return rows, size or 0
+    return F.count(F.lit(1)), F.coalesce(F.sum(width.cast("bigint")), F.lit(0))
+
+
+def with_size(df: DataFrame, size: tuple[int, int] | None) -> DataFrame:
+    """``df``, known to have at most this many rows and bytes."""
+    if size is not None:
+        df._orefold_size = size
+    return df
+
+
+def known_size(df: DataFrame) -> tuple[int, int] | None:
+    return getattr(df, "_orefold_size", None)
+
+
+def measure(df: DataFrame) -> tuple[int, int]:
+    """Rows, and bytes of all values: text by its length, anything else as eight; at most these if known already."""
+    if known_size(df) is None:
+        with_size(df, tuple(df.agg(*_sizes(df)).collect()[0]))
+    return known_size(df)
+
+
+def measured(df: DataFrame) -> DataFrame:
+    """``df`` with its size, found by one job unless known."""
+    measure(df)
+    return df
+
+
+def narrowed(df: DataFrame, *columns: str) -> DataFrame:
+    """Some columns; what is known of the whole bounds them."""
+    return with_size(df.select(*columns), known_size(df))
+
+
+def measured_stash(df: DataFrame, label: str) -> DataFrame:
+    """``stash``, the size taken while writing."""
+    seen = Observation()
+    rows, size = _sizes(df)
+    stored = stash(df.observe(seen, rows.alias("rows"), size.alias("size")), label)
+    return with_size(stored, (seen.get["rows"], seen.get["size"]))
 
 
 def short_list(per_key: DataFrame) -> DataFrame:

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from orefold.functions.cleaning import preferred_gender
 from orefold.operators.joins import left_lookup, repeated_keys
 from orefold.operators.ordering import OCCURRENCE, stable_key, surrogate_key
-from orefold.operators.skew import measure, same_key, set_aside
-from orefold.session import limit
+from orefold.operators.skew import known_size, measure, measured, narrowed, same_key, set_aside
+from orefold.session import at_once, limit
 
 # Business names of the cleaned columns, in output order.
 CUSTOMER_NAMES = {
@@ -63,8 +63,10 @@ def renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
 
 def customer_attributes(customers: DataFrame, demographics: DataFrame, locations: DataFrame) -> DataFrame:
     """Customers with ERP birth date, gender and country; not yet numbered."""
-    known = left_lookup(customers, demographics.select("cid", "bdate", "gen"), "cst_key", "cid")
-    placed = left_lookup(known, locations.select("cid", "cntry"), "cst_key", "cid")
+    sides = demographics.select("cid", "bdate", "gen"), locations.select("cid", "cntry")
+    born, lives = at_once(customers.sparkSession, *[lambda side=side: measured(side) for side in sides])
+    known = left_lookup(customers, born, "cst_key", "cid")
+    placed = left_lookup(known, lives, "cst_key", "cid")
     gender = preferred_gender(F.col("cst_gndr"), F.col("gen"))
     return renamed(placed.withColumn("gender", gender), CUSTOMER_NAMES)
 
@@ -106,7 +108,7 @@ def key_map(rows: DataFrame, dimension: str, known: DataFrame | None = None) ->
 
 
 def with_product_key(sales: DataFrame, products: DataFrame) -> DataFrame:
-    return left_lookup(sales, products.select("product_number", "product_key"), "sls_prd_key", "product_number")
+    return left_lookup(sales, narrowed(products, "product_number", "product_key"), "sls_prd_key", "product_number")
 
 
 def with_both_keys(sales: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
@@ -124,11 +126,13 @@ def with_both_keys(sales: DataFrame, products: DataFrame, customers: DataFrame)
 
 
 def _large(dimension: DataFrame, *columns: str) -> bool:
-    return measure(dimension.select(*columns))[1] > limit(dimension.sparkSession, "broadcastBytes")
+    most = limit(dimension.sparkSession, "broadcastBytes")
+    known = known_size(dimension)
+    return (known is None or known[1] > most) and measure(dimension.select(*columns))[1] > most
 
 
 def with_customer_key(sales: DataFrame, customers: DataFrame) -> DataFrame:
-    return left_lookup(sales, customers.select("customer_id", "customer_key"), "sls_cust_id", "customer_id")
+    return left_lookup(sales, narrowed(customers, "customer_id", "customer_key"), "sls_cust_id", "customer_id")
 
 
 def key_is_unique(dimension: DataFrame, key: str) -> bool:

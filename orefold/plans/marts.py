@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orefold.operators.joins import left_lookup
+from orefold.operators.skew import narrowed
 from orefold.plans.gold import SALES_NAMES
 
 CUSTOMER_COLUMNS = ["customer_id", "customer_number", "first_name", "last_name", "country", "marital_status", "gender", "birthdate", "create_date"]
@@ -17,17 +18,17 @@ PRODUCT_COLUMNS = ["product_id", "product_number", "product_name", "category_id"
 
 def flat_sales(facts: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     """One wide row per sales line; every line stays, known or not."""
-    named = left_lookup(facts, products.select("product_key", *PRODUCT_COLUMNS), "product_key", "product_key")
-    return left_lookup(named, customers.select("customer_key", *CUSTOMER_COLUMNS), "customer_key", "customer_key")
+    named = left_lookup(facts, narrowed(products, "product_key", *PRODUCT_COLUMNS), "product_key", "product_key")
+    return left_lookup(named, narrowed(customers, "customer_key", *CUSTOMER_COLUMNS), "customer_key", "customer_key")
 
 
 def flat_lines(sales: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     """The rows of ``flat_sales`` straight from cleaned sales: each dimension is joined once, key and attributes together."""
     number, customer = "product_number", "customer_id"
-    named = left_lookup(sales, products.select("product_key", *PRODUCT_COLUMNS), "sls_prd_key", number)
+    named = left_lookup(sales, narrowed(products, "product_key", *PRODUCT_COLUMNS), "sls_prd_key", number)
     # a lookup returns its key column no more: it is the line's own where one was found
     named = named.withColumn(number, F.when(F.col("product_key").isNotNull(), F.col("sls_prd_key")))
-    named = left_lookup(named, customers.select("customer_key", *CUSTOMER_COLUMNS), "sls_cust_id", customer)
+    named = left_lookup(named, narrowed(customers, "customer_key", *CUSTOMER_COLUMNS), "sls_cust_id", customer)
     named = named.withColumn(customer, F.when(F.col("customer_key").isNotNull(), F.col("sls_cust_id")))
     lines = [F.col(old).alias(new) for new, old in SALES_NAMES.items()]
     return named.select(*lines, *PRODUCT_COLUMNS, *CUSTOMER_COLUMNS)
@@ -44,13 +45,13 @@ def _totals() -> list[Column]:
 
 def sales_by_product_group(facts: DataFrame, products: DataFrame) -> DataFrame:
     """Totals per category and product line."""
-    groups = products.select("product_key", "category", "product_line")
+    groups = narrowed(products, "product_key", "category", "product_line")
     return left_lookup(facts, groups, "product_key", "product_key").groupBy("category", "product_line").agg(*_totals())
 
 
 def sales_by_customer_group(facts: DataFrame, customers: DataFrame) -> DataFrame:
     """Totals per country, gender and marital status."""
-    groups = customers.select("customer_key", "country", "gender", "marital_status")
+    groups = narrowed(customers, "customer_key", "country", "gender", "marital_status")
     joined = left_lookup(facts, groups, "customer_key", "customer_key")
     return joined.groupBy("country", "gender", "marital_status").agg(*_totals())
 
@@ -67,7 +68,7 @@ def partial_sales(facts: DataFrame, dimension: DataFrame, key: str, groups: Sequ
     is the sum of its parts', and a part whose orders change is computed again alone.
     The facts shrink to a row per order and group before they are shuffled.
     """
-    named = left_lookup(facts, dimension.select(key, *groups), key, key)
+    named = left_lookup(facts, narrowed(dimension, key, *groups), key, key)
     per_order = named.groupBy(*groups, "order_number").agg(F.count("*").alias("lines"), F.sum("quantity").alias("quantity"), F.sum("sales_amount").alias("sales_amount"))
     part = F.pmod(F.xxhash64("order_number"), F.lit(parts)).cast("int")
     sums = [F.sum(c).alias(c) for c in ("lines", "quantity", "sales_amount")]

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from orefold.functions import cleaning as c
 from orefold.operators.joins import left_lookup, orphans, repeated_keys, rows_not_in, rows_used
 from orefold.operators.ordering import latest_per_key, number_within
+from orefold.operators.skew import known_size, with_size
 from orefold.plans import gold
 from orefold.plans.silver import NEWEST_FIRST, sales_measures
 
@@ -199,7 +200,7 @@ def gate(facts: DataFrame, customers: DataFrame, products: DataFrame, checks: Co
     known = facts.select("customer_key", "product_key")
     for dimension, key in ((customers, "customer_key"), (products, "product_key")):
         # One row per key, so that a repeated key cannot repeat the fact.
-        present = dimension.select(key).distinct().withColumn(f"has_{key}", F.lit(True))
+        present = with_size(dimension.select(key).distinct().withColumn(f"has_{key}", F.lit(True)), known_size(dimension))
         known = left_lookup(known, present, key, key)
     orphaned = known.agg(
         F.count_if(F.col("has_customer_key").isNull()).alias("fact_without_customer"),

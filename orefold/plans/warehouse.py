@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 import threading
 import uuid
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Collection, Iterator, Mapping, Sequence
 from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 from typing import NamedTuple
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orefold import schemas
-from orefold.operators.skew import measure
+from orefold.operators.skew import aside, hot_keys, measure, short_list
 from orefold.plans import audit, errors, gold, marts, quality, silver
 from orefold.operators.ordering import OCCURRENCE, number_within
 from orefold.session import hadoop_path, limit, stash
@@ -395,7 +395,10 @@ def publish_gold(warehouse: Warehouse, run_id: str, limits: Mapping[str, int] =
         for name, build in builds.items():
             begun[name] = _now()
             staged[name] = warehouse.stage("gold", name, build(), run_id, generation)
-        _fact_view(warehouse, generation, view)
+        for name, rows in _hot_parts(warehouse, generation):
+            begun[name] = _now()
+            staged[name] = warehouse.stage("gold", name, rows, run_id, generation)
+        _fact_view(warehouse, generation, view, staged)
         new = _star_of(warehouse, generation)
         results = quality.gate(*new, checks=limits.keys())
         found = {r.check_name: r.failing_rows for r in store_results(warehouse, run_id, "gold", results).collect()}
@@ -419,19 +422,57 @@ def publish_gold(warehouse: Warehouse, run_id: str, limits: Mapping[str, int] =
     return run_log(warehouse, run_id)
 
 
-def _fact_view(warehouse: Warehouse, generation: str, view: str) -> None:
-    """The fact over the dimensions of one generation."""
-    keys = {"dim_products": ("product_number", "product_key"), "dim_customers": ("customer_id", "customer_key")}
-    bound = limit(warehouse.spark, "broadcastBytes")
-    small = [t for t, columns in keys.items() if measure(warehouse.table("gold", f"{t}__{generation}").select(*columns))[1] <= bound]
-    hint = f"/*+ BROADCAST({', '.join(small)}) */" if small else ""
+# Business key, surrogate key and the sales column that looks it up, by dimension in the order of the fact's joins.
+_LOOKUPS = {"dim_products": ("product_number", "product_key", "sls_prd_key"), "dim_customers": ("customer_id", "customer_key", "sls_cust_id")}
+
+
+def _is_small(warehouse: Warehouse, generation: str, dimension: str) -> bool:
+    columns = _LOOKUPS[dimension][:2]
+    return measure(warehouse.table("gold", f"{dimension}__{generation}").select(*columns))[1] <= limit(warehouse.spark, "broadcastBytes")
+
+
+def _hot_parts(warehouse: Warehouse, generation: str) -> Iterator[tuple[str, DataFrame]]:
+    """For a dimension too large to broadcast with a business key too frequent for one task: its rows by numbered part, and the parts of each such key.
+
+    Rows of such a key are dealt by their number among them, others have part 0.
+    """
+    for dimension, (key, surrogate, _) in _LOOKUPS.items():
+        if _is_small(warehouse, generation, dimension):
+            continue
+        rows = warehouse.table("gold", f"{dimension}__{generation}").select(key, surrogate)
+        hot = hot_keys(rows.where(F.col(key).isNotNull()), [key])
+        if hot is None:
+            continue
+        most = max(1, limit(warehouse.spark, "hotGroupRows"))
+        listed = hot.select(F.col(aside(key)).alias("__hot"))
+        found = rows.join(listed, F.col(key) == F.col("__hot"), "left")
+        counts = found.where("__hot is not null").groupBy("__hot").agg(F.greatest(F.lit(2), F.ceil(F.count("*") / most)).cast("int").alias("parts"))
+        counts = stash(counts, "parts")
+        sized = rows.join(short_list(counts), F.col(key) == F.col("__hot"), "left")
+        # by its number, so that no part of a key is empty
+        dealt = number_within(sized.where("__hot is not null"), [key], [surrogate], "__number")
+        ordinary = sized.where("__hot is null").select(key, surrogate, F.lit(0).alias("part"))
+        yield f"{dimension}_parts", ordinary.unionByName(dealt.select(key, surrogate, F.pmod(F.col("__number") - 1, F.col("parts")).cast("int").alias("part")))
+        yield f"{dimension}_hot", counts.select(F.col("__hot").alias(key), "parts")
+
+
+def _fact_view(warehouse: Warehouse, generation: str, view: str, stored: Collection[str]) -> None:
+    """The fact over the dimensions of one generation; a line whose key is dealt in parts visits each of them once."""
     columns = ", ".join(f"{old} AS {new}" for new, old in gold.SALES_NAMES.items())
-    warehouse.spark.sql(
-        f"CREATE OR REPLACE VIEW {view} AS SELECT {hint} {columns}"
-        f" FROM {warehouse.name('silver', 'crm_sales_details')}"
-        f" LEFT JOIN {warehouse.name('gold', 'dim_products')}__{generation} AS dim_products ON product_number = sls_prd_key"
-        f" LEFT JOIN {warehouse.name('gold', 'dim_customers')}__{generation} AS dim_customers ON customer_id = sls_cust_id"
-    )
+    source = f"SELECT * FROM {warehouse.name('silver', 'crm_sales_details')}"
+    for dimension, (key, surrogate, line) in _LOOKUPS.items():
+        name, hint = warehouse.name("gold", dimension), ""
+        match = f"{dimension}.{key} = {line}"
+        if f"{dimension}_parts" in stored:
+            source = (
+                f"SELECT /*+ BROADCAST(hot) */ lines.*, {dimension}_visit FROM ({source}) AS lines LEFT JOIN {name}_hot__{generation} AS hot ON hot.{key} = {line}"
+                f" LATERAL VIEW explode(sequence(0, coalesce(hot.parts, 1) - 1)) visits AS {dimension}_visit"
+            )
+            name, match = f"{name}_parts", f"{match} AND {dimension}.part = {dimension}_visit"
+        elif _is_small(warehouse, generation, dimension):
+            hint = f"/*+ BROADCAST({dimension}) */"
+        source = f"SELECT {hint} lines.*, {dimension}.{surrogate} FROM ({source}) AS lines LEFT JOIN {name}__{generation} AS {dimension} ON {match}"
+    warehouse.spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {columns} FROM ({source})")
 
 
 def _star_of(warehouse: Warehouse, generation: str) -> Star:

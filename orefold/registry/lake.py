@@ -55,7 +55,8 @@ class Lake:
         It does before the lookups (one record per id is kept), so only the keys of
         the two ERP tables need counting, not the dimension.
         """
-        return all(gold.key_is_unique(self.clean(t), "cid") for t in ("erp_cust_az12", "erp_loc_a101"))
+        tables = ("erp_cust_az12", "erp_loc_a101")
+        return all(at_once(self.spark, *[lambda t=t: gold.key_is_unique(self.clean(t), "cid") for t in tables]))
 
     def fact_columns(self, *columns: str) -> DataFrame:
         """Some columns of the fact, without the customer lookup where it changes nothing."""

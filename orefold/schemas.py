@@ -105,6 +105,10 @@ GOLD = {
         "product_line": "text",
         "start_date": "date",
     },
+    "dim_customers_parts": {"customer_id": "int", "customer_key": "int", "part": "int"},
+    "dim_products_parts": {"product_number": "text", "product_key": "int", "part": "int"},
+    "dim_customers_hot": {"customer_id": "int", "parts": "int"},
+    "dim_products_hot": {"product_number": "text", "parts": "int"},
     "dim_customers_keys": {"customer_key": "int", "customer_id": "int", "occurrence": "int"},
     "dim_products_keys": {"product_key": "int", "product_number": "text", "occurrence": "int"},
     "fact_sales": {

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -70,8 +71,8 @@ def limit(spark: SparkSession, name: str) -> int:
     return int(spark.conf.get(key, str(LIMITS[key])))
 
 
-def at_once(spark: SparkSession, *builders: Callable[[], DataFrame]) -> list[DataFrame]:
-    """Build independent tables side by side, so their jobs fill each other's gaps."""
+def at_once(spark: SparkSession, *builders: Callable[[], Any]) -> list:
+    """Build independent tables (or find out independent things) side by side, so their jobs fill each other's gaps."""
     with ThreadPoolExecutor(len(builders)) as pool:
         return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(b)) for b in builders]]
 

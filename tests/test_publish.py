@@ -135,6 +135,42 @@ def test_stable_keys_of_hot_identities(spark, hot):
     assert {(r.id, r.occurrence, r.key) for r in known.collect()} <= {(r.id, r.occurrence, r.key) for r in second}
 
 
+def test_hot_keys_of_the_stored_view(spark, silver_house, hot):
+    """A business key with many rows of its dimension: the view visits their parts, the rows are those of a plain join."""
+    house = silver_house
+    located = house.table("silver", "erp_loc_a101")
+    rows = located.collect()
+    rows += [r for r in rows if r.cid.endswith("7")] * 9 + [r for r in rows if r.cid.endswith("3")] * 2
+    house.replace("silver", "erp_loc_a101", spark.createDataFrame(rows, located.schema), "many")
+    w.publish_gold(house, "one")
+    star = w.star(house)
+    live = w.live_generation(house)
+    parts = house.table("gold", f"dim_customers_hot__{live}").collect()
+    assert parts and all(r.parts >= 2 for r in parts) and not spark.catalog.tableExists(f"{house.name('gold', 'dim_products_hot')}__{live}")
+    plan = star.facts._jdf.queryExecution().executedPlan().toString()
+    assert "customers_visit" in plan
+    sales = house.table("silver", "crm_sales_details")
+    products, customers = star.products.select("product_number", "product_key"), star.customers.select("customer_id", "customer_key")
+    joined = sales.join(products, F.col("sls_prd_key") == F.col("product_number"), "left").join(customers, F.col("sls_cust_id") == F.col("customer_id"), "left")
+    assert bag(star.facts) == bag(gold.renamed(joined, gold.SALES_NAMES))
+    assert bag(house.table("gold", "fact_sales")) == bag(star.facts)
+
+
+def test_dimensions_are_measured_while_they_are_stored(spark, small):
+    """What a lookup needs to know of its side costs no job once the side has been stored."""
+    lake = Lake(spark, small)
+    customers, products = lake.dimensions
+    spark.sparkContext.setJobGroup("measuring", "measuring")
+    try:
+        sizes = [measure(d) for d in (customers, products)]
+        gold.fact_sales(lake.clean("crm_sales_details"), products, customers)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("measuring")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not jobs
+    assert [s[0] for s in sizes] == [customers.count(), products.count()]
+
+
 # --- loads
 
 
