@@ -14,14 +14,21 @@ The wrapper says where the article is: in the elements that declare it (``articl
 ``main``, ...), else in the smallest element that holds most of the host's
 variable text. From there all blocks of a page are taken but for menus, forms,
 notices, adverts, comments and the like, and, where no element declares the
-article, but for text that is the same on every page. A form, or an element of which
+article, but for text that stands at the same place of every page. A form, or an element of which
 only a part of a name says that it is no article (``has-sidebar``), is layout if it
-holds most of the host's variable text. A page that would come out empty is read once
-more without forms and names.
+holds most of the host's variable text. Inside the article a paragraph, heading or
+other element of text goes by its names only if the wrapper finds the same text there
+on all pages (three at least), and so does a container of which only a part of a name is
+telling. A page that would come out empty is read once more without forms and names.
+
+Reading a page takes time in proportion to its length, whatever its markup: where a
+tag's end was looked for in vain, it is not looked for again, and elements nested
+deeper than ``DEPTH`` are counted, not kept.
 
 Defined cases: null and empty pages give an empty text; a null url is a host of its
 own; markup that is not closed or not opened is repaired as browsers do; rows may
-repeat; an empty table gives no rows; whole pages are read.
+repeat; an empty table gives no rows; whole pages are read, of any length; extra
+columns pass through ``keep``, whatever their names.
 """
 
 from __future__ import annotations
@@ -48,12 +55,18 @@ FAN_IN = 256
 SHARE = 0.7
 # Pages from which on equal text counts as part of the template.
 SUPPORT = 3
+# Wrappers up to this size go to every task by way of the driver; beyond it pages and wrappers meet by host.
 BROADCAST_BYTES = 32 << 20
+# Pages of a host that one task takes then.
+GROUP_PAGES = 2_000
 MAX_PERIOD = 4
 # Elements nested deeper than this are merged into the one that holds them.
 DEPTH = 100
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|noscript|template|textarea|svg|iframe|title)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*>|<(?P<end>/?)(?P<tag>[A-Za-z][A-Za-z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL | re.IGNORECASE)
+_OPEN = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9:-]*)")
+_STOP = re.compile(r"[>\"']")
+# Elements whose content is no text of the page.
+_RAW = {t: re.compile(rf"</{t}\s*>", re.IGNORECASE) for t in "script style noscript template textarea svg iframe title".split()}
 _ATTRIBUTE = re.compile(r"([A-Za-z_:-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _SPACE = re.compile(r"\s+")
 _DIGITS = re.compile(r"[0-9]+")
@@ -75,11 +88,14 @@ _ROLES = frozenset("navigation banner contentinfo complementary search form dial
 _MAIN = "@"
 _OUT = "!"
 _SOFT = "~"
+_MAYBE = "?"
+# Inside an article these hold its text, whatever they are called, unless the wrapper says otherwise.
+_PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre td th tr caption figcaption".split())
 _TALK = frozenset("comment comments discussion disqus respond replies".split())
 
 
 def _label(tag: str, attrs: str, inside: bool, by_name: bool = True) -> str:
-    """Tag and classes; ``!`` before what is not part of an article, ``~`` if the wrapper may say otherwise, ``@`` before what declares one."""
+    """Tag and classes; ``!`` before what is not part of an article, ``~`` if the wrapper may say otherwise, ``?`` if it must say so first, ``@`` before what declares one."""
     if not attrs.strip(" /\t\r\n\f"):
         named, role, classes = [], "", []
         hidden = declared = False
@@ -95,17 +111,71 @@ def _label(tag: str, attrs: str, inside: bool, by_name: bool = True) -> str:
     if inside:
         words -= {"header", "masthead"}
     bad = _NAMES & words if by_name and tag not in ("html", "body") else frozenset()
-    apart = (tag in _APART and tag != "form") or (tag == "header" and not inside) or hidden or role in _ROLES or not bad.isdisjoint(_TALK.union(named))
     name = ".".join([tag, *sorted(set(classes))])
+    if inside and bad and not article and not (hidden or role in _ROLES or tag in _APART) and (tag in _PROSE or bad.isdisjoint(named)):
+        return _MAYBE + name
+    apart = (tag in _APART and tag != "form") or (tag == "header" and not inside) or hidden or role in _ROLES or not bad.isdisjoint(_TALK.union(named))
     soft = bad or (by_name and tag == "form")
     return _OUT + name if apart else _SOFT + name if soft else _MAIN + name if article else name
 
 
+def _tokens(page: str):
+    """Tags of a page as (start, end, whether it closes, name, attributes); comments and raw elements have no name."""
+    ends: dict[int, int] = {}  # where the tag ends that is still open, outside quotes, at a place
+    stop_from = stop_at = -1  # the first of > " ' from one place on stands at the other
+    closing = True  # whether there may be a > further on
+
+    def tag_end(at: int) -> int:
+        nonlocal stop_from, stop_at
+        passed = []
+        while at not in ends:
+            passed.append(at)
+            if not stop_from <= at <= stop_at:
+                found = _STOP.search(page, at)
+                stop_from, stop_at = at, found.start() if found else len(page)
+            if stop_at == len(page):
+                end = -1
+                break
+            if page[stop_at] == ">":
+                end = stop_at
+                break
+            close = page.find(page[stop_at], stop_at + 1)
+            at = close + 1 if close >= 0 else stop_at + 1
+        else:
+            end = ends[at]
+        ends.update(dict.fromkeys(passed, end))
+        return end
+
+    at = page.find("<")
+    while at >= 0:
+        end, tag = -1, None
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            end = len(page) if end < 0 else end + 3
+        elif page.startswith(("<!", "<?"), at):
+            end = page.find(">", at) + 1 if closing else 0
+            closing, end = end > 0, end or -1
+        else:
+            tag = _OPEN.match(page, at)
+            if tag:
+                end = tag_end(tag.end()) + 1 or -1
+        if end < 0:  # no tag: the sign is text
+            at = page.find("<", at + 1)
+            continue
+        name = tag[2].lower() if tag else ""
+        if tag and name in _RAW and not tag[1]:
+            found = _RAW[name].search(page, end)
+            end, name = found.end() if found else len(page), ""
+        yield at, end, bool(tag and tag[1]), name, page[tag.end() : end - 1] if name else ""
+        at = page.find("<", end)
+
+
 def parse(page: str, by_name: bool = True) -> list:
     """The page as a tree of ``[label, children]``, text being ``(text,)``; inline markup dissolves."""
     root: list = ["", []]
     path = [root]
     tags = [""]
+    articles, paragraphs = [0], [0]  # how many of them are open, by depth
     text: list[str] = []
 
     def flush() -> None:
@@ -117,21 +187,26 @@ def parse(page: str, by_name: bool = True) -> list:
 
     def close(to: int) -> None:
         flush()
-        del path[to:], tags[to:]
+        deeper.clear()
+        del path[to:], tags[to:], articles[to:], paragraphs[to:]
 
     done = 0
-    for m in _TOKEN.finditer(page):
-        if m.start() > done:
-            text.append(page[done : m.start()])
-        done = m.end()
-        tag = (m["tag"] or "").lower()
+    deeper: dict[str, int] = {}  # open elements below ``DEPTH``, by tag
+    for start, end, closes, tag, attrs in _tokens(page):
+        if start > done:
+            text.append(page[done:start])
+        done = end
         if not tag:
             continue
         if tag not in BLOCKS:
             if tag in ("br", "img", "input"):
                 text.append(" ")
             continue
-        if m["end"]:
+        if closes and deeper.get(tag):
+            flush()
+            deeper[tag] -= 1
+            continue
+        if closes:
             for i in range(len(tags) - 1, 0, -1):
                 if tags[i] == tag:
                     close(i)
@@ -148,23 +223,25 @@ def parse(page: str, by_name: bool = True) -> list:
                 if tags[i] in closed:
                     close(i)
                     break
-        if tag in _IN_P and "p" in tags:
+        if paragraphs[-1] and tag in _IN_P:
             close(len(tags) - 1 - tags[::-1].index("p"))
         if tag == "hr":
             continue
-        inside = any(x[0][:1] == _MAIN for x in path)
-        label = _label(tag, m["attrs"] or "", inside, by_name)
+        if len(path) >= DEPTH:  # deeper markup counts as part of the element there
+            if tag not in ("p", "li", "dt", "dd", "option", "td", "th", "tr"):  # these close by themselves
+                deeper[tag] = deeper.get(tag, 0) + 1
+            continue
+        label = _label(tag, attrs, articles[-1] > 0, by_name)
         if label[:1] == _MAIN:  # an element around the article is no side matter, whatever its name
             for x in path:
                 if x[0][:1] == _SOFT or (x[0][:1] == _OUT and x[0][1:].split(".")[0] not in _APART | {"header"}):
                     x[0] = x[0][1:]
-        if len(path) < DEPTH:
-            node = [label, []]
-            path[-1][1].append(node)
-        else:  # deeper markup counts as part of the element there
-            node = path[-1]
+        node = [label, []]
+        path[-1][1].append(node)
         path.append(node)
         tags.append(tag)
+        articles.append(articles[-1] + (label[:1] == _MAIN))
+        paragraphs.append(paragraphs[-1] + (tag == "p"))
     text.append(page[done:])
     flush()
     return root
@@ -257,8 +334,8 @@ def expression(node: list) -> str:
 
 
 def _apart(label: str, opened: frozenset | None) -> bool:
-    """Whether an element is no part of an article; ``opened`` has those that are layout (None: all that may be)."""
-    return label[:1] == _OUT or (label[:1] == _SOFT and opened is not None and label not in opened)
+    """Whether an element is no part of an article; ``opened`` has those that are (None: all that may be)."""
+    return label[:1] == _OUT or (label[:1] in (_SOFT, _MAYBE) and opened is not None and label not in opened)
 
 
 def _mass(node: list, variable: bool, opened: frozenset | None) -> int:
@@ -301,28 +378,52 @@ def _path_to_article(wrapper: list, opened: frozenset) -> tuple[str, ...]:
         path.append(node[L])
 
 
-def _template(node: list) -> set:
-    found = set(node[SAME]) if node[L] == "#" and node[PAGES] >= SUPPORT else set()
-    return found.union(*[_template(k) for k in node[KIDS]])
+def _place(path: str, label: str) -> str:
+    return f"{path}>{label}"
+
+
+def _template(node: list, path: str = "") -> set:
+    """Places and hashes of texts that all pages have there."""
+    if node[L] == "#":
+        return {(path, h) for h in node[SAME]} if node[PAGES] >= SUPPORT else set()
+    inner = path if node[L][:1] == "(" else _place(path, node[L])  # a group is no element of its own
+    return set().union(*[_template(k, inner) for k in node[KIDS]])
+
+
+def _in_doubt(node: list) -> dict[str, bool]:
+    """Elements that only the wrapper can set apart: whether one of them varies, or too few pages have it to tell."""
+    out: dict[str, bool] = {}
+    if node[L][:1] == _MAYBE:
+        out[node[L]] = node[PAGES] < SUPPORT or _varies(node)
+    for kid in node[KIDS]:
+        for label, content in _in_doubt(kid).items():
+            out[label] = out.get(label, False) or content
+    return out
+
+
+def _varies(node: list) -> bool:
+    return node[SLOT] or any(_varies(k) for k in node[KIDS])
 
 
 @lru_cache(maxsize=512)
 def _plan(wrapper: str):
     """What the wrapper says: (declared, path to the article, hashes of template text, elements that are layout)."""
     node = json.loads(wrapper)
-    opened = _layout(node)
+    opened = _layout(node) | {label for label, content in _in_doubt(node).items() if content}
     if _declares(node, opened):
         return True, (), frozenset(), opened
     path = _path_to_article(node, opened)
     return False, path, frozenset(_template(node)) if _mass(node, True, opened) else frozenset(), opened
 
 
-def _texts(node, template, opened) -> list[str]:
+def _texts(node, template, opened, place: str = "") -> list[str]:
+    """Texts of an element, but for those of the template at their place; ``place`` is that of the element around it."""
     if len(node) == 1:
-        return [] if template and hash_text(node[0]) in template else [node[0]]
+        return [] if template and (place, hash_text(node[0])) in template else [node[0]]
     if _apart(node[0], opened):
         return []
-    return [t for k in node[1] for t in _texts(k, template, opened)]
+    inner = _place(place, node[0])
+    return [t for k in node[1] for t in _texts(k, template, opened, inner)]
 
 
 def _declared(node, opened) -> list:
@@ -337,19 +438,28 @@ def _along(node, path) -> list:
     return [node] if len(path) == 1 else [n for k in node[1] for n in _along(k, path[1:])]
 
 
+def _around(path) -> str:
+    """The place of the element around the one that ``path`` leads to."""
+    place = ""
+    for label in path[:-1]:
+        place = _place(place, label)
+    return place
+
+
 def main_text(page: str, wrapper: str) -> str:
     """The blocks of the article, one per line."""
     tree = parse(page)
     declared, path, template, opened = _plan(wrapper)
     found = _declared(tree, opened)
+    around = ""
     if not found and not declared:
-        found = _along(tree, path)
+        found, around = _along(tree, path), _around(path)
     if not found:  # a page unlike its host's others speaks for itself
         template = frozenset()
         own = of_page(tree)
-        opened = opened | _layout(own)
+        opened = opened | _layout(own) | _in_doubt(own).keys()
         found = _along(tree, _path_to_article(own, opened))
-    texts = [t for n in found for t in _texts(n, template, opened)]
+    texts = [t for n in found for t in _texts(n, template, opened, around)]
     if not texts and not template:  # nothing is left: forms and names do not count
         tree, opened = parse(page, by_name=False), frozenset()
         found = _declared(tree, opened) or _along(tree, _path_to_article(of_page(tree), opened))
@@ -401,27 +511,51 @@ def infer(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
     return partial.select("w_host", "w_wrapper")
 
 
-def _extract(batches):
-    for batch in batches:
-        pages, wrappers = batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1)
-        start = 0
-        while start < batch.num_rows:
-            stop, size = start, 0
-            while stop < batch.num_rows and size < SLICE_BYTES:
-                size += len(pages[stop].as_py() or "")
-                stop += 1
-            texts = [main_text(p, w) if p else "" for p, w in zip(pages[start:stop].to_pylist(), wrappers[start:stop].to_pylist())]
-            rest = batch.slice(start, stop - start).columns[:-2]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(texts, type=pa.string())], names=[*batch.schema.names[:-2], "w_text"])
-            start = stop
+def _texts_of(batch: pa.RecordBatch, wrapper_of):
+    """The batch without its last two columns, site and page, and with ``w_text``; pages are taken a few megabytes at a time."""
+    sites, pages = batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1)
+    start = 0
+    while start < batch.num_rows:
+        stop, size = start, 0
+        while stop < batch.num_rows and size < SLICE_BYTES:
+            size += len(pages[stop].as_py() or "")
+            stop += 1
+        texts = [main_text(p, wrapper_of(s)) if p else "" for s, p in zip(sites[start:stop].to_pylist(), pages[start:stop].to_pylist())]
+        rest = batch.slice(start, stop - start).columns[:-2]
+        yield pa.RecordBatch.from_arrays([*rest, pa.array(texts, type=pa.string())], names=[*batch.schema.names[:-2], "w_text"])
+        start = stop
 
 
 def extract(pages: DataFrame, keep: list[str], url: str = "url", page: str = "html") -> DataFrame:
     """``keep`` and ``w_text``, the main text of every page."""
     wrappers = infer(pages, url, page)
-    size = wrappers.agg(F.sum(F.length("w_wrapper") + F.length("w_host"))).first()[0] or 0
-    wrappers = F.broadcast(wrappers) if size <= BROADCAST_BYTES else wrappers
+    size, hosts = wrappers.agg(F.sum(F.length("w_wrapper") + F.length("w_host")), F.count(F.lit(1))).first()
     source = pages.select(*[F.col(f"`{c}`") for c in keep], host(F.col(url)).alias("w_site"), F.coalesce(F.col(page), F.lit("")).alias("w_page"))
-    joined = source.join(wrappers, F.col("w_site") == F.col("w_host")).select(*[F.col(f"`{c}`") for c in keep], "w_page", "w_wrapper")
-    schema = T.StructType([*joined.schema.fields[:-2], T.StructField("w_text", T.StringType())])
-    return joined.mapInArrow(_extract, schema)
+    schema = T.StructType([*source.schema.fields[:-2], T.StructField("w_text", T.StringType())])
+    if (size or 0) + 100 * hosts <= BROADCAST_BYTES:
+        shared = pages.sparkSession.sparkContext.broadcast({r.w_host: r.w_wrapper for r in wrappers.collect()})
+
+        def run(batches):
+            for batch in batches:
+                yield from _texts_of(batch, shared.value.__getitem__)
+
+        return source.mapInArrow(run, schema)
+
+    # many wrappers: each visits the groups that its host's pages are dealt to, a wrapper once a group
+    groups = F.greatest(F.lit(1), F.ceil(F.col("w_pages") / GROUP_PAGES))
+    counts = source.groupBy(F.col("w_site").alias("w_of")).agg(F.count(F.lit(1)).alias("w_pages")).select("w_of", groups.cast("int").alias("w_groups"))
+    visits = wrappers.join(counts, F.col("w_host") == F.col("w_of")).withColumn("w_group", F.explode(F.sequence(F.lit(0), F.col("w_groups") - 1)))
+    dealt = source.join(counts, F.col("w_site") == F.col("w_of")).withColumn("w_group", F.pmod(F.monotonically_increasing_id(), F.col("w_groups")).cast("int"))
+
+    def together(own: pa.Table, wrapper: pa.Table) -> pa.Table:
+        text = wrapper["w_wrapper"][0].as_py() if len(wrapper) else None
+        made = [part for batch in own.combine_chunks().to_batches() for part in _texts_of(batch, lambda _: text)]
+        return pa.Table.from_batches(made, schema=None if made else pa.schema([]))
+
+    sided = dealt.select(*[F.col(f"`{c}`") for c in keep], "w_site", "w_page", "w_group").groupBy("w_site", "w_group")
+    visits = visits.select("w_host", "w_group", "w_wrapper").groupBy("w_host", "w_group")
+
+    def cogrouped(own: pa.Table, wrapper: pa.Table) -> pa.Table:
+        return together(own.drop_columns(["w_group"]), wrapper)
+
+    return sided.cogroup(visits).applyInArrow(cogrouped, schema)
