@@ -17,7 +17,9 @@ one of ``CELLS`` cells, cells are summed first, and sums run on inside a cell.
 Defined cases: a null text has size 0 and is never taken; a null source is a source
 of its own, after all others; equal rows share their random number, so which of them
 is taken does not show; a source without words has target 0; an empty table gives no
-rows. Reruns agree, since the random number is a hash of the row.
+rows. Reruns agree, since the random number is a hash of the row. Of a text only its
+number of words is kept, so its length does not matter; columns to keep must not begin
+with ``m_``, other names clash with nothing.
 """
 
 from __future__ import annotations
@@ -69,6 +71,12 @@ def source_targets(sizes: DataFrame, shares: tuple[int, ...] = (1, 2, 3)) -> Dat
     return stepped.withColumn("m_target", F.least(F.col("m_limit"), F.col("m_weight") * level)).select("m_source", "m_total", "m_target")
 
 
+def cell(rank: Column, key: Column) -> Column:
+    """The part of its source's ranks that a row is in; rows without a rank add nothing to any sum and are dealt out by key."""
+    ranked = F.floor(rank / (1 + rank) * CELLS)
+    return F.coalesce(ranked, F.pmod(F.xxhash64(key), F.lit(CELLS))).cast("int")
+
+
 def _running(df: DataFrame, value: str, out: str) -> DataFrame:
     """``out``: the sum of ``value`` over the rows of the same source up to this one in rank order."""
     cells = df.groupBy("m_source", "m_cell").agg(F.sum(value).alias("m_sum"))
@@ -104,7 +112,7 @@ def mixture(docs: DataFrame, size: Column, source: Column, key: Column, keep: li
         .withColumn("m_copies", F.floor("m_asked").cast("int"))
         .withColumn("m_part", F.col("m_asked") - F.col("m_copies"))
         .withColumn("m_rank", F.when(F.col("m_part") > 0, odds))
-        .withColumn("m_cell", F.coalesce(F.floor(F.col("m_rank") / (1 + F.col("m_rank")) * CELLS), F.lit(0)).cast("int"))
+        .withColumn("m_cell", cell(F.col("m_rank"), F.col("m_key")))
         .drop("m_t", "m_weight", "m_mass")
     )
     # sizes of rows in question only; whole rows are joined by key at the end
