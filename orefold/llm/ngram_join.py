@@ -167,6 +167,9 @@ def link_classes(docs: DataFrame, keep: list[str], text: str = "text", k: int =
     roots = scratch.keep(components(links), "ngram-roots")
 
     placed = x.join(roots, F.col("x_cls") == F.col("node"), "left").withColumn("x_root", F.coalesce("root", "x_cls")).drop("node", "root")
+    # a gram whose classes are all linked to each other already leads to no further pair
+    mixed = placed.groupBy("gram").agg(F.min("x_root").alias("low"), F.max("x_root").alias("high")).where("low <> high").select("gram")
+    placed = placed.join(mixed, "gram", "left_semi")
     other = placed.select("gram", *[F.col(c).alias(f"y{c[1:]}" if c[0] == "x" else f"y_{c}") for c in placed.columns if c != "gram"])
     # what the two can still share from this n-gram on must do
     rest = F.least(F.col("x_shared") - F.col("place"), F.col("y_shared") - F.col("y_place"))
