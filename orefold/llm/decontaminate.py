@@ -12,12 +12,14 @@ longer item), each block a further pass over the documents in place: no document
 shuffled, joined or moved, and no hot passage gathers anywhere.
 
 Defined cases: null texts and texts without words have no hits; a null item id is
-reported as the empty string; items with equal ids count as one; rows with equal ids
+reported as the empty string; items with equal ids count as one, and repeated rows are read once; rows with equal ids
 are judged one by one; an empty benchmark leaves all documents clean.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -30,6 +32,8 @@ from orefold.llm.words import ALNUM, Texts, grams, list_array, text_slices
 WINDOW = 10
 GRAM = 5
 BLOCK_BYTES = 16 << 20
+# Pairs of a document's and an item's fingerprint that are extended at once.
+PAIRS = 200_000
 ADDED = T.StructType(
     [
         T.StructField("d_words", T.LongType()),
@@ -85,19 +89,21 @@ class Items:
                 self.short[n] = (whole[order], items[order])
 
 
-def _ranges(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each i, the pairs (i, j) with j from first[i] to last[i]."""
-    counts = last - first
-    i = np.repeat(np.arange(len(first)), counts)
-    return i, np.arange(len(i)) - np.repeat(np.cumsum(counts) - counts, counts) + first[i]
+def _ranges(first: np.ndarray, last: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each i, the pairs (i, j) with j from first[i] to last[i], ``PAIRS`` of them at a time."""
+    ends = np.cumsum(last - first)
+    total = int(ends[-1]) if len(ends) else 0
+    for low in range(0, total, PAIRS):
+        nth = np.arange(low, min(low + PAIRS, total))
+        i = np.searchsorted(ends, nth, "right")
+        yield i, last[i] - (ends[i] - nth)
 
 
 def _windows(block: Items, hashes: np.ndarray, rows: np.ndarray, row: np.ndarray):
     """Hit windows as (start, length, item)."""
     at, prints = fingerprints(hashes, rows)
-    which, j = _ranges(np.searchsorted(block.prints, prints, "left"), np.searchsorted(block.prints, prints, "right"))
-    p, q = at[which], block.at[j]
-    if len(p):
+    for which, j in _ranges(np.searchsorted(block.prints, prints, "left"), np.searchsorted(block.prints, prints, "right")):
+        p, q = at[which], block.at[j]
         item, doc = block.row[q], row[p]
         reach = np.arange(-(WINDOW - GRAM), WINDOW)
         a, b = p[:, None] + reach, q[:, None] + reach
@@ -110,8 +116,8 @@ def _windows(block: Items, hashes: np.ndarray, rows: np.ndarray, row: np.ndarray
         found = grams(hashes, n)
         start = np.flatnonzero(row[: len(found)] == row[n - 1 : n - 1 + len(found)])
         start = start[np.isin(found[start], whole)]
-        which, j = _ranges(np.searchsorted(whole, found[start], "left"), np.searchsorted(whole, found[start], "right"))
-        yield start[which], n, items[j]
+        for which, j in _ranges(np.searchsorted(whole, found[start], "left"), np.searchsorted(whole, found[start], "right")):
+            yield start[which], n, items[j]
 
 
 def _scan(shared, before: bool):
@@ -159,6 +165,7 @@ def hits(docs: DataFrame, keep: list[str], text: str, benchmark: DataFrame, item
     """``keep`` with ``d_words`` (words), ``d_spans`` (hit words, end exclusive) and ``d_items`` (ids)."""
     spark = docs.sparkSession
     items = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("i"), F.coalesce(F.col(item_text), F.lit("")).alias("t"))
+    items = items.distinct()
     measured = items.agg(F.sum(F.octet_length("t") + F.octet_length("i") + 64).alias("n")).first()["n"] or 0
     blocks = -(-measured // BLOCK_BYTES) or 1
     columns = [F.col(f"`{c}`") for c in keep]

@@ -7,7 +7,9 @@ and assigned secrets (``password``), each only where its score, raised or lowere
 within ``NEAR`` characters, reaches ``ACCEPT``. Spans count code points, end exclusive.
 
 Defined cases: null and empty texts have no spans; texts are read whole; spans of
-different kinds may overlap; rows with equal ids are judged one by one.
+different kinds may overlap; of equal spans of one kind there is one, and spans stand by
+kind, start and end, so there are no ties; rows with equal ids are judged one by one; an
+empty table gives no rows; extra columns pass through ``keep``, whatever their names.
 """
 
 from __future__ import annotations

@@ -13,7 +13,9 @@ bound has no cutoff and keeps its documents.
 
 Defined cases: a null text has no words; a null stratum is a stratum of its own; a
 label given twice for a document counts as good if any of them is good; rows may
-repeat; rows with equal ids are judged one by one; an empty table gives no rows.
+repeat; rows with equal ids are judged one by one; an empty table gives no rows; texts of
+any length are counted whole, each by one task; of cutoffs with equal gain the loosest is
+taken; columns to keep stand in a struct of their own, so their names clash with nothing.
 """
 
 from __future__ import annotations
