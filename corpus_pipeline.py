@@ -1,7 +1,17 @@
 """A corpus pipeline over ``documents``: five stages, each an operator of ``orefold.llm``.
 
 Every stage takes the rows its predecessor left and returns documents of the same
-columns, except the last, which returns what the mix takes of each.
+columns, except the last, which returns what the mix takes of each. ``run`` stores the
+result of each stage but the last below ``spark.checkpoint.dir``, so that the next
+reads it as often as it needs and a lost executor repeats no stage; a stored result goes
+as soon as the next one is stored.
+
+Defined cases: null and empty texts have no words, so the first stage rejects them; a
+document labelled twice counts as good if any label says so; rows with equal ids are
+judged each by its text, and of near copies with equal ids one row stays; null ids count
+as larger than all others; null sources mix as a source of their own; texts of any
+length are read whole; an empty table gives no rows; further columns pass through all
+stages but the last, whatever their names.
 """
 
 from __future__ import annotations
@@ -10,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orefold.llm import decontaminate, mixing, ngram_join, pii, quality_rules
+from orefold.llm.scratch import Scratch
 
 # Cutoffs learnt from labels, components of a graph and a random order are not SQL.
 ORACLE_SQL = None
@@ -69,7 +80,11 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages one after the other over ``documents``."""
+    scratch, stored = Scratch(spark), None
     docs = _table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = scratch.keep(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if stored is not None:
+            scratch.drop(stored)
+        stored = docs
+    return STAGES[-1][1](spark, docs, sf_dir)
