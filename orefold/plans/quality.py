@@ -20,36 +20,42 @@ from orefold.plans import gold
 from orefold.plans.silver import NEWEST_FIRST, sales_measures
 
 OLDEST_BIRTH = dt.date(1924, 1, 1)
+# Names of the columns that checks add to their results.
+RANK = "flag_last"
+RECORDS = "record_count"
+COPIES = "duplicate_count"
+CATEGORY, NUMBER = "cat_id", "product_number"
+OLD_SALES, OLD_PRICE = "old_sls_sales", "old_sls_price"
 
 
 # -- raw customers -----------------------------------------------------------
 
 def numbered_customers(customers: DataFrame) -> DataFrame:
     """Every record with its age rank inside the customer id, newest first."""
-    return number_within(customers, ["cst_id"], NEWEST_FIRST, "flag_last")
+    return number_within(customers, ["cst_id"], NEWEST_FIRST, RANK)
 
 
 def superseded_customers(customers: DataFrame) -> DataFrame:
     """Records that are not the newest of their id; without an id counts as one id."""
-    return numbered_customers(customers).where(F.col("flag_last") != 1)
+    return numbered_customers(customers).where(F.col(RANK) != 1)
 
 
 def newest_customers(customers: DataFrame) -> DataFrame:
-    return latest_per_key(customers, ["cst_id"], NEWEST_FIRST, "flag_last")
+    return latest_per_key(customers, ["cst_id"], NEWEST_FIRST, RANK)
 
 
 def bad_customer_ids(customers: DataFrame) -> DataFrame:
-    return repeated_keys(customers, "cst_id", "record_count", include_null=True)
+    return repeated_keys(customers, "cst_id", RECORDS, include_null=True)
 
 
 # -- raw products ------------------------------------------------------------
 
 def bad_product_ids(products: DataFrame) -> DataFrame:
-    return repeated_keys(products, "prd_id", "record_count", include_null=True)
+    return repeated_keys(products, "prd_id", RECORDS, include_null=True)
 
 
 def with_category_id(products: DataFrame) -> DataFrame:
-    return products.withColumn("cat_id", c.category_id(F.col("prd_key")))
+    return products.withColumn(CATEGORY, c.category_id(F.col("prd_key")))
 
 
 def products_without_category(products: DataFrame, categories: DataFrame) -> DataFrame:
@@ -57,7 +63,7 @@ def products_without_category(products: DataFrame, categories: DataFrame) -> Dat
 
     A NULL id in the list hides every finding; see ``null_category_ids``.
     """
-    return rows_not_in(with_category_id(products), "cat_id", categories, "id")
+    return rows_not_in(with_category_id(products), CATEGORY, categories, "id")
 
 
 def null_category_ids(categories: DataFrame) -> DataFrame:
@@ -65,8 +71,8 @@ def null_category_ids(categories: DataFrame) -> DataFrame:
 
 
 def products_sold(products: DataFrame, sales: DataFrame) -> DataFrame:
-    keyed = with_category_id(products).withColumn("product_number", c.product_number(F.col("prd_key")))
-    return rows_used(keyed, "product_number", sales, "sls_prd_key")
+    keyed = with_category_id(products).withColumn(NUMBER, c.product_number(F.col("prd_key")))
+    return rows_used(keyed, NUMBER, sales, "sls_prd_key")
 
 
 def bad_costs(products: DataFrame) -> DataFrame:
@@ -111,9 +117,9 @@ def repaired_measures(sales: DataFrame) -> DataFrame:
     return (
         _disagreeing(sales)
         .select(
-            F.col("sls_sales").alias("old_sls_sales"),
+            F.col("sls_sales").alias(OLD_SALES),
             "sls_quantity",
-            F.col("sls_price").alias("old_sls_price"),
+            F.col("sls_price").alias(OLD_PRICE),
             repaired["sls_sales"].alias("sls_sales"),
             repaired["sls_price"].alias("sls_price"),
         )
@@ -145,20 +151,20 @@ def odd_birth_dates(demographics: DataFrame, as_of: dt.date) -> DataFrame:
 # -- star schema -------------------------------------------------------------
 
 def repeated_customer_keys(customers: DataFrame) -> DataFrame:
-    return repeated_keys(customers, "customer_key", "duplicate_count")
+    return repeated_keys(customers, "customer_key", COPIES)
 
 
 def repeated_product_keys(products: DataFrame) -> DataFrame:
-    return repeated_keys(products, "product_key", "duplicate_count")
+    return repeated_keys(products, "product_key", COPIES)
 
 
 def repeated_customer_ids(customers: DataFrame) -> DataFrame:
     """Business keys that would multiply facts; the surrogate key cannot show it."""
-    return repeated_keys(customers, "customer_id", "duplicate_count")
+    return repeated_keys(customers, "customer_id", COPIES)
 
 
 def repeated_product_numbers(products: DataFrame) -> DataFrame:
-    return repeated_keys(products, "product_number", "duplicate_count")
+    return repeated_keys(products, "product_number", COPIES)
 
 
 def facts_without_customer(facts: DataFrame, customers: DataFrame) -> DataFrame:

@@ -160,10 +160,11 @@ def test_dimensions_are_measured_while_they_are_stored(spark, small):
     """What a lookup needs to know of its side costs no job once the side has been stored."""
     lake = Lake(spark, small)
     customers, products = lake.dimensions
+    sales = lake.clean("crm_sales_details")
     spark.sparkContext.setJobGroup("measuring", "measuring")
     try:
         sizes = [measure(d) for d in (customers, products)]
-        gold.fact_sales(lake.clean("crm_sales_details"), products, customers)
+        gold.fact_sales(sales, products, customers)
         jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("measuring")
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
