@@ -17,7 +17,8 @@ places, and each string is found at the anchor it selects.
    suffixes sharing their first n bytes are neighbours.
 4. For each offset of a string before its anchor, the smallest id among the suffixes that
    agree on the bytes after and before the anchor decides; the removed strings of a
-   suffix all cover the anchor and make one interval.
+   suffix all cover the anchor and make one interval. A partition packs its intervals
+   by bucket of texts, where those of a text meet.
 
 A gram found in more than ``HOT_TEXTS`` texts is not merged in one task: its strings
 are hashed and get their smallest id by a grouped minimum, combined before the shuffle,
@@ -469,7 +470,8 @@ def merge_runs(runs: list[tuple[list[bytes], list[int]]]) -> tuple[list[int], li
 
 # --- step 4: the smallest id per string ---------------------------------------------------
 
-_SPANS = "d_key long, d_rank long, d_starts binary, d_ends binary"
+_SPANS = "d_bucket int, d_blob binary"
+_SPANS_OF_TEXT = "d_key long, d_rank long, starts binary, ends binary"
 
 
 def _intervals(rows, common, after, before, rank, group):
@@ -525,8 +527,17 @@ def _intervals(rows, common, after, before, rank, group):
     return far, near
 
 
-def _merge_partition(table: pa.Table) -> pa.Table:
-    """Merge the runs of a partition and return the removed intervals by text."""
+def _merge_partition(buckets: int):
+    """Merges the runs of a partition and returns the removed intervals, packed by bucket of texts."""
+
+    def run(table: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([_by_bucket(*_merged(table), buckets)])
+
+    return run
+
+
+def _merged(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text, its rank, start and end of each interval that the runs of a partition show."""
     runs, rest = [], []
     for blob in table.column("d_run").to_pylist():
         common, tails, after, before, which, place, keys, ranks = unpack(blob)
@@ -553,20 +564,50 @@ def _merge_partition(table: pa.Table) -> pa.Table:
     group = where[np.concatenate([x[5] + base[r] for r, x in enumerate(rest)])]
     far, near = _intervals(stacked[source], prefix, after, before, rank, group)
     hit = far >= 0
-    return _by_text(key[hit], rank[hit], place[hit] - far[hit], place[hit] - near[hit] + LENGTH)
+    return key[hit], rank[hit], place[hit] - far[hit], place[hit] - near[hit] + LENGTH
 
 
-def _by_text(key: np.ndarray, rank: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Table:
-    order = np.lexsort((start, key))
+def _united_by_text(key: np.ndarray, rank: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts with their ranks, and the intervals of all of them, united: text (its number), start and end."""
+    order = np.lexsort((start, rank, key))
     key, rank, start, end = key[order], rank[order], start[order], end[order]
-    firsts = run_starts(key)
-    starts, ends = [], []
-    for i, j in zip(firsts, np.append(firsts[1:], len(key))):
-        s, e = united(start[i:j], end[i:j])
-        starts.append(s.astype("<u4").tobytes())
-        ends.append(e.astype("<u4").tobytes())
-    columns = [pa.array(key[firsts], pa.int64()), pa.array(rank[firsts], pa.int64()), pa.array(starts, pa.binary()), pa.array(ends, pa.binary())]
-    return pa.table(columns, names=["d_key", "d_rank", "d_starts", "d_ends"])
+    first = first_of_runs(key, rank)
+    # each text gets a stretch of its own, wider than any text, so that no two meet
+    text = np.cumsum(first) - 1
+    wide = int(end.max(initial=0)) + 1
+    start, end = united(start + text * wide, end + text * wide)
+    text = start // wide
+    return key[first], rank[first], text, start - text * wide, end - text * wide
+
+
+def _by_bucket(key: np.ndarray, rank: np.ndarray, start: np.ndarray, end: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """A row per bucket of texts, whatever the number of texts."""
+    key, rank, text, start, end = _united_by_text(key, rank, start, end)
+    bucket = _bucket(key, buckets)[text]
+    order = np.argsort(bucket, kind="stable")
+    text, start, end, bucket = text[order], start[order], end[order], bucket[order]
+    edges = np.searchsorted(bucket, np.arange(buckets + 1))
+    rows = []
+    for b in range(buckets):
+        i, j = edges[b], edges[b + 1]
+        if i < j:
+            own, which = np.unique(text[i:j], return_inverse=True)
+            rows.append((b, pack(which.astype(np.uint32), start[i:j].astype(np.uint32), end[i:j].astype(np.uint32), key[own], rank[own])))
+    return pa.RecordBatch.from_arrays([pa.array([x[0] for x in rows], pa.int32()), pa.array([x[1] for x in rows], pa.binary())], names=["d_bucket", "d_blob"])
+
+
+def _spans_by_text(table: pa.Table) -> pa.Table:
+    """One row per text of a bucket, with its intervals from all partitions."""
+    columns: list = [[], [], [], []]
+    for blob in table.column("d_blob"):
+        which, start, end, keys, ranks = unpack(blob.as_py())
+        for c, x in zip(columns, (keys[which], ranks[which], start.astype(np.int64), end.astype(np.int64))):
+            c.append(x)
+    key, rank, text, start, end = _united_by_text(*(np.concatenate(c) for c in columns))
+    edges = np.searchsorted(text, np.arange(len(key) + 1))
+    start, end = start.astype("<u4"), end.astype("<u4")
+    blobs = [[x[i:j].tobytes() for i, j in zip(edges[:-1], edges[1:])] for x in (start, end)]
+    return pa.table([pa.array(key, pa.int64()), pa.array(rank, pa.int64()), *[pa.array(b, pa.binary()) for b in blobs]], names=["d_key", "d_rank", "starts", "ends"])
 
 
 # --- hot grams -----------------------------------------------------------------------------
@@ -587,7 +628,7 @@ def _hot_strings(batches):
         )
 
 
-def _hot_spans(joined: DataFrame) -> DataFrame:
+def _hot_spans(joined: DataFrame, buckets: int) -> DataFrame:
     strings = joined.mapInArrow(_hot_strings, "d_string long, d_key long, d_rank long, d_at long").distinct()
     least = strings.groupBy(F.col("d_string").alias("s")).agg(F.min("d_rank").alias("least"))
     gone = strings.join(least, F.col("d_string") == F.col("s")).where("least < d_rank").select("d_key", "d_rank", "d_at")
@@ -595,7 +636,7 @@ def _hot_spans(joined: DataFrame) -> DataFrame:
     def spans(batches):
         for batch in batches:
             key, rank, at = (c.to_numpy() for c in batch.columns)
-            yield from _by_text(key, rank, at, at + LENGTH).to_batches()
+            yield _by_bucket(key, rank, at, at + LENGTH, buckets)
 
     return gone.mapInArrow(spans, _SPANS)
 
@@ -613,9 +654,7 @@ def _cut(with_text: bool):
                 raw = texts.data.tobytes()
                 for r in range(len(texts)):
                     i = texts.first + r
-                    start, end = (np.frombuffer(b"".join(batch.column(c)[i].as_py()), "<u4").astype(np.int64) for c in (2, 3))
-                    order = np.argsort(start, kind="stable")
-                    start, end = united(start[order], end[order])
+                    start, end = (np.frombuffer(batch.column(c)[i].as_py(), "<u4").astype(np.int64) for c in (2, 3))
                     body = raw[texts.offsets[r] : texts.offsets[r + 1]]
                     edges = [0, *np.stack([start, end], axis=1).ravel().tolist(), len(body)]
                     rest = b"".join(body[a:b] for a, b in zip(edges[::2], edges[1::2]))
@@ -704,13 +743,13 @@ def _deduplicated(docs: DataFrame, keep: list[str], doc_id: str, text: str, with
     if parts > 1:
         heads = [r.head for r in texts.join(sampled, ["d_key", "d_rank"]).select("d_key", "d_rank", "d_text", "places", "hot").mapInArrow(_heads, "head binary").limit(SAMPLED_HEADS).collect()]
     runs = joined.mapInArrow(_sorted_runs(_splitters(heads, parts)), _RUNS)
-    spans = runs.groupBy("d_part").applyInArrow(_merge_partition, _SPANS)
+    spans = runs.groupBy("d_part").applyInArrow(_merge_partition(buckets), _SPANS)
     if found["hot"]:
-        spans = spans.unionByName(_hot_spans(joined))
+        spans = spans.unionByName(_hot_spans(joined, buckets))
     spans = scratch.keep(spans, "suffix-spans")
     scratch.drop(places)
 
-    cuts = spans.groupBy("d_key", "d_rank").agg(F.collect_list("d_starts").alias("starts"), F.collect_list("d_ends").alias("ends"))
+    cuts = spans.groupBy("d_bucket").applyInArrow(_spans_by_text, _SPANS_OF_TEXT)
     result = texts.join(cuts, ["d_key", "d_rank"]).select("d_key", "d_text", "starts", "ends").mapInArrow(_cut(with_text), "r_key long, r_removed long, r_spans long, r_sha256 string, r_text string")
     # stored here, where batches of texts are small
     result = scratch.keep(result.dropDuplicates(["r_key"]), "suffix-cuts")

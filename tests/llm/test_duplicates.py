@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -123,6 +124,36 @@ def test_substrings(copies, monkeypatch, limits):
     check_substrings(copies)
 
 
+@pytest.mark.parametrize("limits, buckets", [({}, 1), ({"BUCKET_BYTES": 10_000}, 12)])
+def test_substrings_of_a_partition_take_a_row_per_bucket(copies, monkeypatch, limits, buckets):
+    """Not a row per text and partition, of which there are more than in proportion to the texts."""
+    rows, parts = {}, []
+    keep, splitters = suffix_dedup.Scratch.keep, suffix_dedup._splitters
+
+    def counted(self, df, label):
+        stored = keep(self, df, label)
+        rows[label] = stored.count()
+        return stored
+
+    monkeypatch.setattr(suffix_dedup.Scratch, "keep", counted)
+    monkeypatch.setattr(suffix_dedup, "_splitters", lambda sample, n: parts.append(n) or splitters(sample, n))
+    for name, value in {"SUFFIXES_PER_TASK": 200, **limits}.items():
+        monkeypatch.setattr(suffix_dedup, name, value)
+    check_substrings(copies)
+    assert 0 < rows["suffix-spans"] <= max(1, parts[0]) * buckets
+
+
+def test_intervals_of_texts_are_united_apart():
+    key, rank = np.array([5, 5, -3, 5, -3, 7]), np.array([1, 1, 2, 1, 2, 9])
+    start, end = np.array([60, 0, 0, 50, 100, 0]), np.array([120, 50, 100, 70, 110, 4])
+    table = pa.Table.from_batches([suffix_dedup._by_bucket(key[s], rank[s], start[s], end[s], 3) for s in (slice(0, 3), slice(3, 6), slice(0, 0))])
+    got = []
+    for bucket in set(table.column("d_bucket").to_pylist()):
+        one = suffix_dedup._spans_by_text(table.filter(pa.compute.equal(table.column("d_bucket"), bucket)))
+        got += [(r["d_key"], r["d_rank"], *[np.frombuffer(r[c], "<u4").tolist() for c in ("starts", "ends")]) for r in one.to_pylist()]
+    assert sorted(got) == [(-3, 2, [0], [110]), (5, 1, [0], [120]), (7, 9, [0], [4])]
+
+
 def test_substrings_edges(spark, odd_documents, no_documents):
     check_substrings(odd_documents)
     assert suffix_dedup.deduplicated(no_documents, ["doc_id"]).count() == 0
