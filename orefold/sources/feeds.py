@@ -98,17 +98,20 @@ class Feeds:
         orders = self.source("orders").select(
             "o_orderkey", order_key.alias("sls_order_dt"), F.col("o_custkey").alias("sls_cust_id")
         )
-        return self._sales_lines().join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        # what is read meets in the join: it is shorter than the texts made of it
+        lines = self.source("lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate")
+        return self._sales_lines(lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")))
 
-    def _sales_lines(self) -> DataFrame:
+    def _sales_lines(self, joined: DataFrame) -> DataFrame:
         kind = F.col("l_orderkey") % 20
         line = F.col("l_partkey") % 100
         whole = F.floor("l_extendedprice")
         quantity = F.col("l_quantity").cast("int")
         price = F.floor(F.col("l_extendedprice") / F.col("l_quantity"))
         shipped = _date_key(F.col("l_shipdate"))
-        return self.source("lineitem").select(
-            "l_orderkey",
+        return joined.select(
+            "sls_order_dt",
+            "sls_cust_id",
             F.concat(F.lit("SO"), F.col("l_orderkey").cast("string")).alias("sls_ord_num"),
             F.when(line == 17, "P-UNKNOWN")
             .otherwise(F.concat(F.lit("P"), _padded(_family(F.col("l_partkey")), 6)))

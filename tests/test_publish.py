@@ -357,3 +357,10 @@ def test_parts_of_a_mart_are_rebuilt_alone(spark, small):
     assert column(again.select("part").distinct(), "part") == [3]
     want = marts.sales_by_product_group(changed, lake.products).select(*groups, "lines", "orders", "quantity", "sales_amount")
     assert bag(marts.merged_sales(mixed, groups)) == bag(want)
+
+
+def test_sales_feed_joins_what_it_reads(spark, small):
+    """Texts are made of the columns after lines and orders have met, so the shuffle carries none."""
+    plan = Lake(spark, small).raw("crm_sales_details")._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.index("SO") < plan.index("Join Inner")
+    assert "concat" not in plan[plan.index("Join Inner") :]
