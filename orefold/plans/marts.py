@@ -9,29 +9,47 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orefold.operators.joins import left_lookup
-from orefold.operators.skew import narrowed
+from orefold.operators.skew import measure, narrowed
 from orefold.plans.gold import SALES_NAMES
+from orefold.session import limit
 
 CUSTOMER_COLUMNS = ["customer_id", "customer_number", "first_name", "last_name", "country", "marital_status", "gender", "birthdate", "create_date"]
 PRODUCT_COLUMNS = ["product_id", "product_number", "product_name", "category_id", "category", "subcategory", "maintenance", "cost", "product_line", "start_date"]
 
 
+def _looked_up(lines: DataFrame, *sides: tuple[DataFrame, str, str]) -> DataFrame:
+    """Lines with all sides (table, the lines' key, the table's key).
+
+    A side too large to broadcast has the lines shuffled, so those come first, while
+    lines are short, and of them the one that makes lines less long.
+    """
+    most = limit(lines.sparkSession, "broadcastBytes")
+
+    def turn(side: tuple[DataFrame, str, str]) -> tuple[bool, float]:
+        rows, size = measure(side[0])
+        return size <= most, size / max(1, rows)
+
+    for side, line_key, key in sorted(sides, key=turn):
+        lines = left_lookup(lines, side, line_key, key)
+    return lines
+
+
 def flat_sales(facts: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     """One wide row per sales line; every line stays, known or not."""
-    named = left_lookup(facts, narrowed(products, "product_key", *PRODUCT_COLUMNS), "product_key", "product_key")
-    return left_lookup(named, narrowed(customers, "customer_key", *CUSTOMER_COLUMNS), "customer_key", "customer_key")
+    product = narrowed(products, "product_key", *PRODUCT_COLUMNS), "product_key", "product_key"
+    customer = narrowed(customers, "customer_key", *CUSTOMER_COLUMNS), "customer_key", "customer_key"
+    return _looked_up(facts, product, customer).select(*facts.columns, *PRODUCT_COLUMNS, *CUSTOMER_COLUMNS)
 
 
 def flat_lines(sales: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     """The rows of ``flat_sales`` straight from cleaned sales: each dimension is joined once, key and attributes together."""
-    number, customer = "product_number", "customer_id"
-    named = left_lookup(sales, narrowed(products, "product_key", *PRODUCT_COLUMNS), "sls_prd_key", number)
+    product = narrowed(products, "product_key", *PRODUCT_COLUMNS), "sls_prd_key", "product_number"
+    customer = narrowed(customers, "customer_key", *CUSTOMER_COLUMNS), "sls_cust_id", "customer_id"
+    named = _looked_up(sales, product, customer)
     # a lookup returns its key column no more: it is the line's own where one was found
-    named = named.withColumn(number, F.when(F.col("product_key").isNotNull(), F.col("sls_prd_key")))
-    named = left_lookup(named, narrowed(customers, "customer_key", *CUSTOMER_COLUMNS), "sls_cust_id", customer)
-    named = named.withColumn(customer, F.when(F.col("customer_key").isNotNull(), F.col("sls_cust_id")))
+    found = {key: F.when(F.col(surrogate).isNotNull(), F.col(line)) for surrogate, line, key in (("product_key", *product[1:]), ("customer_key", *customer[1:]))}
     lines = [F.col(old).alias(new) for new, old in SALES_NAMES.items()]
-    return named.select(*lines, *PRODUCT_COLUMNS, *CUSTOMER_COLUMNS)
+    return named.withColumns(found).select(*lines, *PRODUCT_COLUMNS, *CUSTOMER_COLUMNS)
 
 
 def _totals() -> list[Column]:

@@ -364,3 +364,43 @@ def test_sales_feed_joins_what_it_reads(spark, small):
     plan = Lake(spark, small).raw("crm_sales_details")._jdf.queryExecution().optimizedPlan().toString()
     assert 0 < plan.index("SO") < plan.index("Join Inner")
     assert "concat" not in plan[plan.index("Join Inner") :]
+
+
+def test_flat_sales_look_up_first_what_shuffles_the_lines(spark):
+    """Long rows of a broadcast side are added after the shuffle; of two shuffled sides the one with shorter rows comes first."""
+    product = {"product_key": 1, "product_number": "P1", **{c: None for c in marts.PRODUCT_COLUMNS if c != "product_number"}}
+    customer = {"customer_key": 1, "customer_id": 1, **{c: None for c in marts.CUSTOMER_COLUMNS if c != "customer_id"}}
+    types = {**schemas.GOLD["dim_products"], **schemas.GOLD["dim_customers"]}
+
+    def table(rows, key):
+        names = [key, *(marts.PRODUCT_COLUMNS if key == "product_key" else marts.CUSTOMER_COLUMNS)]
+        return spark.createDataFrame([tuple(r[n] for n in names) for r in rows], schemas.struct({n: types[n] for n in names}))
+
+    short = [{**product, "product_key": i, "product_number": f"P{i}"} for i in range(3)]
+    long = [{**customer, "customer_key": i, "customer_id": i // 2, "first_name": "n" * 400} for i in range(40)]
+    customers, products = table(long, "customer_key"), table(short, "product_key")
+    silver = {**schemas.BRONZE["crm_sales_details"], **{d: "date" for d in ("sls_order_dt", "sls_ship_dt", "sls_due_dt")}}
+    lines = [(f"SO{i}", f"P{i % 5}" if i % 6 else None, i if i % 7 else None, None, None, None, i, 1, i) for i in range(30)]
+    sales = spark.createDataFrame(lines, schemas.struct(silver))
+    facts = gold.fact_sales(sales, products, customers)
+
+    def order(flat, *keys):
+        """The keys as they stand in the plan, the last join first."""
+        joins = [x for x in flat._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join LeftOuter" in x]
+        return [next(k for k in keys if k in x) for x in joins[:2]]
+
+    results = []
+    # neither side fits, only the products fit, only the customers fit (after their names are cut), both fit
+    cut = customers.withColumn("first_name", F.lit(None).cast("string")).limit(1)
+    for limit, side, last_first in ((0, customers, ["customer", "product"]), (2000, customers, ["product", "customer"]), (60, cut, ["customer", "product"]), (1 << 20, customers, None)):
+        spark.conf.set("spark.orefold.broadcastBytes", str(limit))
+        try:
+            flats = marts.flat_lines(sales, side, products), marts.flat_sales(gold.fact_sales(sales, products, side), side, products)
+            if last_first:
+                assert order(flats[0], "product", "customer") == last_first, limit
+                assert order(flats[1], "product", "customer") == last_first, limit
+            assert bag(flats[0]) == bag(flats[1])
+            results += [bag(flats[0])] if side is customers else []
+        finally:
+            spark.conf.unset("spark.orefold.broadcastBytes")
+    assert results[0] == results[1] == results[2] and facts.count() == sum(results[0].values())
