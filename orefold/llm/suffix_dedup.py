@@ -12,9 +12,10 @@ places, and each string is found at the anchor it selects.
    and exchanged front-coded: of each suffix only what differs from the one before.
 3. A task merges its runs with a loser tree that carries the length of the common
    prefix with the last winner: of two candidates the one with the longer prefix is
-   smaller without looking at a byte, and bytes known to be equal are never compared
-   again. The result is the sorted order with its common prefixes, in which all
-   suffixes sharing their first n bytes are neighbours.
+   smaller without looking at a byte; others are compared as one number each. The result
+   is the sorted order with its common prefixes, in which all suffixes sharing their
+   first n bytes are neighbours. All runs are decoded at once, since their number grows
+   with the texts.
 4. For each offset of a string before its anchor, the smallest id among the suffixes that
    agree on the bytes after and before the anchor decides; the removed strings of a
    suffix all cover the anchor and make one interval. A partition packs its intervals
@@ -55,8 +56,12 @@ HOT_TEXTS = 200_000
 # Anchors of a range, and suffixes of a partition, that a task holds at once.
 ANCHORS_PER_TASK = 250_000
 SUFFIXES_PER_TASK = 150_000
+# Ranges, buckets and partitions beyond which they grow instead, and how many times larger they may get:
+# every batch is cut into all of them, so the pieces grow with the square of the texts.
+MANY_PIECES = 128
+MOST_ANCHORS, MOST_SUFFIXES, MOST_BYTES = 4, 2, 2
 # Anchors and suffixes that a task gathers before it hands a batch on.
-BATCH_ANCHORS = 400_000
+BATCH_ANCHORS = 1_000_000
 # Texts that a task remembers, to leave out their copies.
 SEEN_TEXTS = 500_000
 BATCH_SUFFIXES = 150_000
@@ -324,13 +329,16 @@ def _common(rows: np.ndarray) -> np.ndarray:
     return out
 
 
-def front_code(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Common prefix lengths of sorted rows, and the bytes beyond them."""
+def front_code(rows: np.ndarray, starts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Common prefix lengths of sorted rows, and the bytes beyond them; rows at ``starts`` begin anew."""
     common = _common(rows)
+    if starts is not None:
+        common[starts] = 0
     return common, rows[np.arange(WIDTH) >= common[:, None]]
 
 
 def front_decode(common: np.ndarray, tails: np.ndarray) -> np.ndarray:
+    """The rows of one run, or of several one after the other, each of which begins with a whole row."""
     n = len(common)
     out = np.zeros((n, WIDTH), dtype=np.uint8)
     own = np.arange(WIDTH) >= common[:, None]
@@ -355,12 +363,14 @@ def _sorted_runs(splitters: np.ndarray):
             heads = np.ascontiguousarray(rows[:, :SEED]).view(f"S{SEED}").ravel()
             edges = np.concatenate([[0], np.searchsorted(heads, splitters, "left"), [len(rows)]])
             parts = [p for p in range(len(edges) - 1) if edges[p] < edges[p + 1]]
+            common, tails = front_code(rows, edges[parts])
+            ends = np.concatenate([[0], np.cumsum(WIDTH - common.astype(np.int64))])
+            after, before, place = after.astype(np.uint8), before.astype(np.uint8), place.astype(np.uint32)
             blobs = []
             for p in parts:
-                s = slice(edges[p], edges[p + 1])
-                common, tails = front_code(rows[s])
-                texts, one, which = np.unique(key[s], return_index=True, return_inverse=True)
-                blobs.append(pack(common, tails, after[s].astype(np.uint8), before[s].astype(np.uint8), which.astype(np.uint32), place[s].astype(np.uint32), texts, rank[s][one]))
+                i, j = edges[p], edges[p + 1]
+                texts, one, which = np.unique(key[i:j], return_index=True, return_inverse=True)
+                blobs.append(pack(common[i:j], tails[ends[i] : ends[j]], after[i:j], before[i:j], which.astype(np.uint32), place[i:j], texts, rank[i:j][one]))
             yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(blobs, pa.binary())], names=["d_part", "d_run"])
 
         size = 0
@@ -392,16 +402,9 @@ def _with_places(batches, column: int):
 # --- step 3: merge with a loser tree that knows common prefixes -----------------------------
 
 
-def _mismatch(a: bytes, b: bytes, known: int) -> int:
-    """Length of the common prefix, of which ``known`` bytes need no look."""
-    low, high = known, WIDTH
-    while low < high:
-        middle = (low + high + 1) // 2
-        if a[low:middle] == b[low:middle]:
-            low = middle
-        else:
-            high = middle - 1
-    return low
+def _mismatch(a: int, b: int) -> int:
+    """Length of the common prefix of two strings, each as one number: the highest bit that differs tells it."""
+    return WIDTH - ((a ^ b).bit_length() + 7 >> 3)
 
 
 def merge_runs(runs: list[tuple[list[bytes], list[int]]]) -> tuple[list[int], list[int]]:
@@ -416,34 +419,23 @@ def merge_runs(runs: list[tuple[list[bytes], list[int]]]) -> tuple[list[int], li
     leaves = 1
     while leaves < len(runs):
         leaves *= 2
-    ends = [len(r[0]) for r in runs] + [0] * (leaves - len(runs))
-    strings = [r[0] for r in runs] + [[]] * (leaves - len(runs))
+    numbers = [[int.from_bytes(x, "big") for x in r[0]] for r in runs] + [[]] * (leaves - len(runs))
+    ends = [len(r) for r in numbers]
     commons = [r[1] for r in runs] + [[]] * (leaves - len(runs))
     at = [0] * leaves
     known = [0 if e else -1 for e in ends]  # -1: used up, loses every game
+    front = [r[0] if r else 0 for r in numbers]
     loser = [0] * leaves
 
-    def game(x: int, y: int) -> tuple[int, int]:
-        """(winner, loser); the loser's known prefix becomes that with the winner."""
-        kx, ky = known[x], known[y]
-        if kx > ky:
-            return x, y
-        if ky > kx:
-            return y, x
-        if kx < 0:
-            return x, y
-        a, b = strings[x][at[x]], strings[y][at[y]]
-        n = _mismatch(a, b, kx)
-        if n == WIDTH or a[n] < b[n]:
-            known[y] = n
-            return x, y
-        known[x] = n
-        return y, x
-
     def build(node: int) -> int:
         if node >= leaves:
             return node - leaves
-        won, lost = game(build(2 * node), build(2 * node + 1))
+        x, y = build(2 * node), build(2 * node + 1)
+        if known[x] == known[y] >= 0:
+            won, lost = (x, y) if front[x] <= front[y] else (y, x)
+            known[lost] = _mismatch(front[x], front[y])
+        else:
+            won, lost = (x, y) if known[x] >= known[y] else (y, x)
         loser[node] = lost
         return won
 
@@ -455,16 +447,26 @@ def merge_runs(runs: list[tuple[list[bytes], list[int]]]) -> tuple[list[int], li
         prefix.append(known[winner])
         i = at[winner] + 1
         at[winner] = i
-        known[winner] = commons[winner][i] if i < ends[winner] else -1
+        if i < ends[winner]:
+            most, front[winner] = commons[winner][i], numbers[winner][i]
+        else:
+            most = -1
         node = (leaves + winner) // 2
         while node:
             other = loser[node]
-            kx, ky = known[winner], known[other]
-            if kx < ky:
-                loser[node], winner = winner, other
-            elif kx == ky >= 0:
-                winner, loser[node] = game(winner, other)
+            rival = known[other]
+            if most < rival:
+                known[winner], loser[node] = most, winner
+                winner, most = other, rival
+            elif most == rival >= 0:
+                a, b = front[winner], front[other]
+                if a <= b:
+                    known[other] = WIDTH - ((a ^ b).bit_length() + 7 >> 3)
+                else:
+                    known[winner], loser[node] = WIDTH - ((a ^ b).bit_length() + 7 >> 3), winner
+                    winner = other
             node //= 2
+        known[winner] = most
     return order, prefix
 
 
@@ -538,30 +540,30 @@ def _merge_partition(buckets: int):
 
 def _merged(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Text, its rank, start and end of each interval that the runs of a partition show."""
-    runs, rest = [], []
-    for blob in table.column("d_run").to_pylist():
-        common, tails, after, before, which, place, keys, ranks = unpack(blob)
-        rows = front_decode(common, tails)
-        # the padding is told apart from zero bytes by the lengths
-        full = np.concatenate([rows, after[:, None], before[:, None]], axis=1)
-        first = np.ones(len(rows), dtype=bool)
-        first[1:] = (full[1:] != full[:-1]).any(axis=1)
-        runs.append((rows[first], np.where(np.arange(first.sum()) == 0, 0, common[first])))
-        rest.append((after, before, keys[which], ranks[which], place, np.cumsum(first) - 1))
-    strings = [([bytes(x) for x in rows], common.tolist()) for rows, common in runs]
-    order, prefix = merge_runs(strings)
-    del strings
+    blobs = [unpack(blob) for blob in table.column("d_run").to_pylist()]
+    common, tails, after, before = (np.concatenate([b[c] for b in blobs]) for c in range(4))
+    place = np.concatenate([b[5] for b in blobs]).astype(np.int64)
+    key, rank = (np.concatenate([b[c][b[4]] for b in blobs]) for c in (6, 7))
+    edges = np.cumsum([0, *[len(b[0]) for b in blobs]])
+    del blobs
+    rows = front_decode(common, tails)
+    # the padding is told apart from zero bytes by the lengths
+    first = first_of_runs(after, before) | (common < WIDTH)
+    first[edges[:-1]] = True
+    base = np.concatenate([[0], np.cumsum(first)])[edges].tolist()
+    group = np.cumsum(first) - 1
+    stacked, common = rows[first], common[first].tolist()
+    del rows, tails
+    raw = stacked.tobytes()
+    order, prefix = merge_runs([([raw[k * WIDTH : (k + 1) * WIDTH] for k in range(i, j)], common[i:j]) for i, j in zip(base, base[1:])])
+    del raw
     order, prefix = np.array(order), np.array(prefix)
-    base = np.concatenate([[0], np.cumsum([len(r[0]) for r in runs])])
-    stacked = np.concatenate([r[0] for r in runs])
     # a run's strings come out in the order they went in
     source = np.empty(len(order), np.int64)
-    for r in range(len(runs)):
-        source[order == r] = base[r] + np.arange(len(runs[r][0]))
-    where = np.empty(len(order), np.int64)
-    where[source] = np.arange(len(order))
-    after, before, key, rank, place = (np.concatenate([x[i] for x in rest]).astype(np.int64) for i in range(5))
-    group = where[np.concatenate([x[5] + base[r] for r, x in enumerate(rest)])]
+    by_run = np.argsort(order, kind="stable")
+    source[by_run] = np.arange(len(order))
+    group = by_run[group]
+    after, before = after.astype(np.int64), before.astype(np.int64)
     far, near = _intervals(stacked[source], prefix, after, before, rank, group)
     hit = far >= 0
     return key[hit], rank[hit], place[hit] - far[hit], place[hit] - near[hit] + LENGTH
@@ -665,6 +667,11 @@ def _cut(with_text: bool):
     return run
 
 
+def _pieces(total: int, each: int, most: int) -> int:
+    """Pieces of ``each``; where they are many, of up to ``most`` times as much."""
+    return -(-total // max(each, min(most * each, total // MANY_PIECES)))
+
+
 def _splitters(sample: list[bytes], parts: int) -> np.ndarray:
     """Bounds that cut a sorted sample of suffix heads in equal parts."""
     heads = np.unique(np.frombuffer(b"".join(sample), f"S{SEED}")) if sample else np.empty(0, f"S{SEED}")
@@ -724,8 +731,8 @@ def _deduplicated(docs: DataFrame, keep: list[str], doc_id: str, text: str, with
     size = meta.agg(F.sum("d_bytes")).first()[0] or 0
     texts = docs.select(*own, body.alias("d_text")).where(F.octet_length("d_text") >= LENGTH)
 
-    ranges = max(1, -(-size * 2 // ((OFFSETS + 1) * ANCHORS_PER_TASK)))
-    buckets = max(1, -(-size // BUCKET_BYTES))
+    ranges = max(1, _pieces(size * 2 // (OFFSETS + 1), ANCHORS_PER_TASK, MOST_ANCHORS))
+    buckets = max(1, _pieces(size, BUCKET_BYTES, MOST_BYTES))
     leaders = scratch.keep(meta.groupBy("d_key").agg(F.min("d_rank").alias("d_rank"), F.max("d_bytes").alias("d_bytes")), "suffix-leaders")
     different = leaders.where(F.col("d_bytes") >= LENGTH)
     hot = _hot_grams(texts, different, different.count())
@@ -738,7 +745,7 @@ def _deduplicated(docs: DataFrame, keep: list[str], doc_id: str, text: str, with
 
     # splitters come from the suffixes of a bounded sample of texts; they only balance the work
     sampled = F.broadcast(by_text.orderBy(F.xxhash64("d_key")).limit(SAMPLED_TEXTS).select("d_key", "d_rank", "places", "hot"))
-    parts = -(-(found["cold"] or 0) // (4 * SUFFIXES_PER_TASK))
+    parts = _pieces((found["cold"] or 0) // 4, SUFFIXES_PER_TASK, MOST_SUFFIXES)
     heads = []
     if parts > 1:
         heads = [r.head for r in texts.join(sampled, ["d_key", "d_rank"]).select("d_key", "d_rank", "d_text", "places", "hot").mapInArrow(_heads, "head binary").limit(SAMPLED_HEADS).collect()]

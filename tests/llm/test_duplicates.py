@@ -154,6 +154,34 @@ def test_intervals_of_texts_are_united_apart():
     assert sorted(got) == [(-3, 2, [0], [110]), (5, 1, [0], [120]), (7, 9, [0], [4])]
 
 
+def test_runs_of_a_partition_cost_little_each(monkeypatch):
+    """The more texts, the more runs in each of more partitions: what is done for every run grows with their square."""
+    rng = random.Random(3)
+    shared = [" ".join(prose(rng, 12)) for _ in range(6)]
+    texts = pa.array([f"{' '.join(prose(rng, 5))} {rng.choice(shared)} {' '.join(prose(rng, 5))}\0" for _ in range(60)])
+    every = [row.astype("<u4").tobytes() for part in text_slices(texts) for at in [suffix_dedup.anchors(part.data, part.offsets)] for row in [at[1][at[0] == r] - part.offsets[r] for r in range(len(part))]]
+    batches = [pa.RecordBatch.from_arrays([pa.array([7 * i]), pa.array([i]), texts[i : i + 1], pa.array([every[i]])], names=["k", "r", "t", "p"]) for i in range(60)]
+    decode, calls = suffix_dedup.front_decode, []
+    monkeypatch.setattr(suffix_dedup, "front_decode", lambda *coded: calls.append(len(coded[0])) or decode(*coded))
+
+    def merged(batch):
+        monkeypatch.setattr(suffix_dedup, "BATCH_SUFFIXES", batch)
+        runs = pa.Table.from_batches(list(suffix_dedup._sorted_runs(np.empty(0, f"S{suffix_dedup.SEED}"))(iter(batches))))
+        return len(runs), sorted(zip(*[c.tolist() for c in suffix_dedup._merged(runs)]))
+
+    one, many = merged(10**6), merged(1)
+    assert one[0] == 1 and many[0] == 60 and one[1] == many[1] and one[1]
+    assert calls == [sum(len(e) // 4 for e in every)] * 2
+
+
+def test_pieces_of_a_batch_grow_slower_than_the_texts():
+    """Every batch is cut into all ranges, and every range and partition into all buckets."""
+    anchors, each = 48_000_000, suffix_dedup.ANCHORS_PER_TASK
+    few, many = (suffix_dedup._pieces(n, each, suffix_dedup.MOST_ANCHORS) for n in (anchors, 12 * anchors))
+    assert few < many < 6 * few and 12 * anchors / many <= suffix_dedup.MOST_ANCHORS * each
+    assert [suffix_dedup._pieces(n, 10, 4) for n in (0, 1, 10, 11)] == [0, 1, 1, 2]
+
+
 def test_substrings_edges(spark, odd_documents, no_documents):
     check_substrings(odd_documents)
     assert suffix_dedup.deduplicated(no_documents, ["doc_id"]).count() == 0
