@@ -17,19 +17,27 @@ CUSTOMER_COLUMNS = ["customer_id", "customer_number", "first_name", "last_name",
 PRODUCT_COLUMNS = ["product_id", "product_number", "product_name", "category_id", "category", "subcategory", "maintenance", "cost", "product_line", "start_date"]
 
 
-def _looked_up(lines: DataFrame, *sides: tuple[DataFrame, str, str]) -> DataFrame:
-    """Lines with all sides (table, the lines' key, the table's key).
+# A table to look up, the lines' key and the table's key.
+Side = tuple[DataFrame, str, str]
+
+
+def _is_large(side: Side) -> bool:
+    return measure(side[0])[1] > limit(side[0].sparkSession, "broadcastBytes")
 
-    A side too large to broadcast has the lines shuffled, so those come first, while
-    lines are short, and of them the one that makes lines less long.
-    """
-    most = limit(lines.sparkSession, "broadcastBytes")
 
-    def turn(side: tuple[DataFrame, str, str]) -> tuple[bool, float]:
+def _in_turn(*sides: Side) -> list[Side]:
+    """A side too large to broadcast has the lines shuffled, so those come first, while lines are short, and of them the one that makes lines less long."""
+
+    def turn(side: Side) -> tuple[bool, float]:
         rows, size = measure(side[0])
-        return size <= most, size / max(1, rows)
+        return not _is_large(side), size / max(1, rows)
+
+    return sorted(sides, key=turn)
 
-    for side, line_key, key in sorted(sides, key=turn):
+
+def _looked_up(lines: DataFrame, *sides: Side) -> DataFrame:
+    """Lines with all sides."""
+    for side, line_key, key in _in_turn(*sides):
         lines = left_lookup(lines, side, line_key, key)
     return lines
 
@@ -41,10 +49,33 @@ def flat_sales(facts: DataFrame, customers: DataFrame, products: DataFrame) -> D
     return _looked_up(facts, product, customer).select(*facts.columns, *PRODUCT_COLUMNS, *CUSTOMER_COLUMNS)
 
 
-def flat_lines(sales: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
-    """The rows of ``flat_sales`` straight from cleaned sales: each dimension is joined once, key and attributes together."""
+def _sides(customers: DataFrame, products: DataFrame) -> tuple[Side, Side]:
     product = narrowed(products, "product_key", *PRODUCT_COLUMNS), "sls_prd_key", "product_number"
     customer = narrowed(customers, "customer_key", *CUSTOMER_COLUMNS), "sls_cust_id", "customer_id"
+    return product, customer
+
+
+def flat_lines(sales: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+    """The rows of ``flat_sales`` straight from cleaned sales: each dimension is joined once, key and attributes together."""
+    return _flat(sales, *_sides(customers, products))
+
+
+def flat_parts(sales: DataFrame, customers: DataFrame, products: DataFrame) -> list[DataFrame]:
+    """``flat_lines`` in parts for one write after the other, of about ``linesAtOnce`` lines where lines are shuffled.
+
+    Lines of a key of the first lookup stay together, so what they get from it compresses
+    as well as in one write; a key with many lines makes its part larger.
+    """
+    sides = _sides(customers, products)
+    first, key, _ = side = _in_turn(*sides)[0]
+    parts = -(-sales.count() // max(1, limit(first.sparkSession, "linesAtOnce"))) if _is_large(side) else 1
+    if parts <= 1:
+        return [_flat(sales, *sides)]
+    part = F.pmod(F.xxhash64(key), F.lit(parts))
+    return [_flat(sales.where(part == n), *sides) for n in range(parts)]
+
+
+def _flat(sales: DataFrame, product: Side, customer: Side) -> DataFrame:
     named = _looked_up(sales, product, customer)
     # a lookup returns its key column no more: it is the line's own where one was found
     found = {key: F.when(F.col(surrogate).isNotNull(), F.col(line)) for surrogate, line, key in (("product_key", *product[1:]), ("customer_key", *customer[1:]))}

@@ -24,7 +24,7 @@ from orefold import schemas
 from orefold.operators.skew import aside, hot_keys, measure, short_list
 from orefold.plans import audit, errors, gold, marts, quality, silver
 from orefold.operators.ordering import OCCURRENCE, number_within
-from orefold.session import hadoop_path, limit, stash
+from orefold.session import hadoop_path, limit, shuffles_dropped, stash
 from orefold.sources.flatfiles import read_feed, read_feed_tolerant
 
 # Load order of the two jobs.
@@ -87,9 +87,9 @@ class Warehouse:
         return f"{self.root}/{layer}/{table}/run-{run}"
 
     def _create_table(self, name: str, columns: dict[str, str], folder: str) -> None:
-        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schemas.ddl(columns)}) USING parquet LOCATION '{folder}'")
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schemas.ddl(columns)}) USING parquet OPTIONS (compression 'zstd') LOCATION '{folder}'")
 
-    def replace(self, layer: str, table: str, df: DataFrame, run_id: str) -> int:
+    def replace(self, layer: str, table: str, df: DataFrame | Sequence[DataFrame], run_id: str) -> int:
         """Full refresh; returns the row count, taken while writing.
 
         The rows go to a folder of their own, new for every attempt, through a table
@@ -103,9 +103,10 @@ class Warehouse:
         self._unmark(layer, table, staged.attempt)
         return staged.rows
 
-    def stage(self, layer: str, table: str, df: DataFrame, run_id: str, mark: str | None = None) -> Staged:
+    def stage(self, layer: str, table: str, df: DataFrame | Sequence[DataFrame], run_id: str, mark: str | None = None) -> Staged:
         """Write ``df`` beside a table, as a table of its own; ``mark`` is part of its name.
 
+        Several are written one after the other, and what one has shuffled goes before the next.
         A file tells as long as the attempt is not finished that its folder is in use.
         """
         mark = mark or uuid.uuid4().hex
@@ -117,13 +118,17 @@ class Warehouse:
         self._create_table(name, columns, folder)
         staged = Staged(name, folder, attempt, 0)
         try:
-            seen = Observation()
-            rows = df.select(*columns).observe(seen, F.count(F.lit(1)).alias("rows"))
-            rows.write.insertInto(name)
+            rows = 0
+            for part in [df] if isinstance(df, DataFrame) else df:
+                seen = Observation()
+                counted = part.select(*columns).observe(seen, F.count(F.lit(1)).alias("rows"))
+                with shuffles_dropped(self.spark):
+                    counted.write.insertInto(name)
+                rows += seen.get["rows"]
         except BaseException:
             self.discard(layer, table, staged)
             raise
-        return staged._replace(rows=seen.get["rows"])
+        return staged._replace(rows=rows)
 
     def discard(self, layer: str, table: str, staged: Staged) -> None:
         """Take a staged table and its folder away."""
@@ -207,7 +212,7 @@ def _entry(run_id: str, layer: str, table: str, started: dt.datetime, status: st
 
 
 def _run(
-    warehouse: Warehouse, layer: str, steps: Mapping[str, Callable[[], DataFrame]], run_id: str,
+    warehouse: Warehouse, layer: str, steps: Mapping[str, Callable[[], DataFrame | Sequence[DataFrame]]], run_id: str,
     rejected: Callable[[str], int] | None = None, afterwards: Callable[[str], None] | None = None,
 ) -> DataFrame:
     """Refresh tables in order; the first failure is raised. ``afterwards`` is called when a table is live.
@@ -500,7 +505,7 @@ def publish_marts(warehouse: Warehouse, as_of: dt.date, run_id: str, only: Seque
     facts, customers, products = star(warehouse)
     groups = ("category", "product_line")
     steps = {
-        "flat_sales": lambda: marts.flat_lines(warehouse.table("silver", "crm_sales_details"), customers, products),
+        "flat_sales": lambda: marts.flat_parts(warehouse.table("silver", "crm_sales_details"), customers, products),
         "sales_by_product_group_parts": lambda: marts.partial_sales(facts, products, "product_key", groups),
         "sales_by_product_group": lambda: marts.merged_sales(warehouse.table("mart", "sales_by_product_group_parts"), groups),
         "sales_by_customer_group": lambda: marts.sales_by_customer_group(facts, customers),

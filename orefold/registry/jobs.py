@@ -16,7 +16,7 @@ from orefold.plans import silver
 from orefold.plans import warehouse as w
 from orefold.registry import checks, tables
 from orefold.registry.lake import AS_OF, Lake
-from orefold.session import scratch_path
+from orefold.session import remove, scratch_path
 from orefold.sources.flatfiles import feed_paths, read_feed, write_feed
 
 RUN_TS = dt.datetime.combine(AS_OF, dt.time())
@@ -25,16 +25,17 @@ RUN_TS = dt.datetime.combine(AS_OF, dt.time())
 def write_feeds(lake: Lake, folder: str) -> dict[str, str]:
     paths = feed_paths(folder)
     for table, path in paths.items():
-        write_feed(lake.raw(table), path)
+        write_feed(lake.raw(table), path, "gzip")
     return paths
 
 
 def _loaded(lake: Lake, last_layer: str) -> tuple[w.Warehouse, DataFrame]:
-    """A fresh warehouse loaded up to a layer, and the log of that layer."""
-    run_id = w.new_run_id()
+    """A fresh warehouse loaded up to a layer, and the log of that layer; the extracts go once they are loaded."""
+    run_id, feeds = w.new_run_id(), scratch_path(lake.spark, "feeds")
     house = w.Warehouse(lake.spark, scratch_path(lake.spark, "warehouse"), f"run_{run_id}_")
     house.create()
-    log = w.load_bronze(house, write_feeds(lake, scratch_path(lake.spark, "feeds")), run_id)
+    log = w.load_bronze(house, write_feeds(lake, feeds), run_id)
+    remove(lake.spark, feeds)
     if last_layer != "bronze":
         log = w.load_silver(house, AS_OF, RUN_TS, run_id)
     if last_layer == "gold":
@@ -64,8 +65,9 @@ def _stored(lake: Lake, layer: str, table: str) -> DataFrame:
     house = w.Warehouse(lake.spark, scratch_path(lake.spark, "warehouse"), f"run_{w.new_run_id()}_")
     house.create()
     path = scratch_path(lake.spark, "feed")
-    write_feed(lake.raw(table), path)
+    write_feed(lake.raw(table), path, "gzip")
     house.replace("bronze", table, read_feed(lake.spark, path, schemas.BRONZE[table]), "run")
+    remove(lake.spark, path)
     if layer == "silver":
         cleaned = silver.clean(table, house.table("bronze", table), AS_OF)
         house.replace("silver", table, w.with_load_time(cleaned, RUN_TS), "run")

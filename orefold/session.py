@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import re
 import tempfile
+import threading
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark import inheritable_thread_target
@@ -22,6 +24,8 @@ LIMITS = {
     # The same for the list of hot keys, which rows must meet before they are
     # shuffled by key.
     "spark.orefold.hotListBytes": 64 << 20,
+    # Lines that are shuffled at once where a wide table is stored.
+    "spark.orefold.linesAtOnce": 50_000_000,
 }
 
 SETTINGS = {
@@ -109,6 +113,38 @@ def hadoop_path(spark: SparkSession, path: str):
     return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), location
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing reads any more."""
+    files, folder = hadoop_path(spark, path)
+    files.delete(folder, True)
+
+
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_cleaning = threading.Lock()
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Within, the shuffle files of a query go when it ends, not when the driver collects its garbage.
+
+    For queries that run once, such as writes; threads may be within side by side.
+    """
+    with _cleaning:
+        depth, before = getattr(spark, "_orefold_dropping", (0, None))
+        if not depth:
+            before = spark.conf.get(_CLEANUP, "false")
+            spark.conf.set(_CLEANUP, "true")
+        spark._orefold_dropping = depth + 1, before
+    try:
+        yield
+    finally:
+        with _cleaning:
+            depth, before = spark._orefold_dropping
+            if depth == 1:
+                spark.conf.set(_CLEANUP, before)
+            spark._orefold_dropping = depth - 1, before
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete what this application stashed; tables built on it can no longer be read."""
     files, folder = hadoop_path(spark, _own_scratch(spark))
@@ -124,5 +160,6 @@ def stash(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    with shuffles_dropped(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

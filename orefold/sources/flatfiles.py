@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from orefold.operators.skew import measure, same_key, set_aside
 from orefold.schemas import BRONZE, struct
-from orefold.session import limit, stash
+from orefold.session import limit, shuffles_dropped, stash
 
 REJECT_COLUMN = "rejected_line"
 # Condition in the error of a malformed line, as Spark's own readers name it.
@@ -103,13 +103,18 @@ def read_feed_tolerant(
     return parsed.where(F.col(REJECT_COLUMN).isNull()).drop(REJECT_COLUMN), rejected
 
 
-def write_feed(df: DataFrame, path: str) -> None:
-    """Write an extract the reader understands: NULL and empty text are both empty fields."""
-    (
+def write_feed(df: DataFrame, path: str, compression: str = "none") -> None:
+    """Write an extract the reader understands: NULL and empty text are both empty fields.
+
+    A compressed file is read by one task; there is one per task that wrote.
+    """
+    writer = (
         df.write.option("header", True)
         .option("emptyValue", "")
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSS")
-        .csv(path)
+        .option("compression", compression)
     )
+    with shuffles_dropped(df.sparkSession):
+        writer.csv(path)
